@@ -10,6 +10,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import NumericType
 
 from tidemark.operators.evaluation import SCORE_THRESHOLD, predicted
 from tidemark.operators.merge import left_any_join
@@ -39,6 +40,14 @@ def training_frame(features: DataFrame, columns: Sequence[str] = FEATURES, label
     )
 
 
+def check_signature(frame: DataFrame, columns: Sequence[str] = FEATURES) -> None:
+    """Raises unless the frame has every feature as a number, as the model was trained on."""
+    kinds = {f.name: f.dataType for f in frame.schema.fields}
+    wrong = [c for c in columns if not isinstance(kinds.get(c), NumericType)]
+    if wrong:
+        raise ValueError(f"not numeric or missing in the scoring frame: {wrong}")
+
+
 def train(
     frame: DataFrame, weight: float, columns: Sequence[str] = FEATURES, params: Boosting = PRIMARY, label: str = LABEL
 ) -> PipelineModel:
@@ -60,6 +69,7 @@ def train(
 
 def score(model: PipelineModel, frame: DataFrame, threshold: float = SCORE_THRESHOLD) -> DataFrame:
     """Adds `churn_score` and `churn_pred`; the model's own columns are dropped."""
+    check_signature(frame)
     scored = model.transform(frame)
     probability = vector_to_array("probability").getItem(1)
     return scored.withColumn("churn_score", probability).select(

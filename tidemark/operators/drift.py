@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.ranking import exact_quantiles
+from tidemark.operators.ranking import quantiles_of_counts
+from tidemark.session import settle
 
 STABLE_BELOW = 0.1
 FREEZE_ABOVE = 0.2
@@ -38,23 +39,23 @@ def psi_report(
 ) -> DataFrame:
     """Rows (feature, psi, state, n_reference, n_current) over all rows of both frames.
 
-    Bin edges are the exact quantiles of the reference; the outer bins are open. Values collapse to
-    (bin, count) before anything is joined.
+    Bin edges are the exact quantiles of the reference; the outer bins are open. Each frame is read
+    once: both collapse to counts per distinct value, which give the edges and the bins.
     """
-    ref, cur = unpivot(reference, features), unpivot(current, features)
+    one, none = F.lit(1), F.lit(0)
+    both = unpivot(reference, features).select("feature", "value", one.alias("r"), none.alias("c"))
+    both = both.unionByName(unpivot(current, features).select("feature", "value", none.alias("r"), one.alias("c")))
+    values = settle(both.groupBy("feature", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c")), "drift-values")
     probs = [i / bins for i in range(bins + 1)]
     edges = (
-        exact_quantiles(ref, "feature", features, "value", probs)
+        quantiles_of_counts(values, "feature", "value", "r", probs)
         .groupBy("feature")
         .agg(F.array_sort(F.collect_set("quantile")).alias("edges"))  # at most bins + 1 values
         .select("feature", "edges", F.slice("edges", F.lit(2), F.greatest(F.size("edges") - 2, F.lit(0))).alias("inner"))
     )
-    both = ref.select("feature", "value", F.lit(1).alias("r"), F.lit(0).alias("c")).unionByName(
-        cur.select("feature", "value", F.lit(0).alias("r"), F.lit(1).alias("c"))
-    )
     bin_no = F.size(F.filter(F.coalesce("inner", F.array().cast("array<double>")), lambda e: e <= F.col("value")))
     binned = (
-        both.join(F.broadcast(edges), "feature", "left")
+        values.join(F.broadcast(edges), "feature", "left")  # one row per name in `features`
         .groupBy("feature", bin_no.alias("bin"))
         .agg(F.sum("r").alias("r"), F.sum("c").alias("c"), F.first(F.size("edges")).alias("n_edges"))
     )
@@ -77,14 +78,11 @@ def psi_report(
         .otherwise(total)
     )
     listed = reference.sparkSession.createDataFrame([(f,) for f in features], "feature string")
-    return (
-        listed
-        .join(sizes, "feature", "left")
-        .select(
-            "feature",
-            F.coalesce(psi, F.lit(float("nan"))).alias("psi"),
-            drift_state(F.coalesce(psi, F.lit(float("nan"))), threshold).alias("state"),
-            F.coalesce("n_reference", F.lit(0)).alias("n_reference"),
-            F.coalesce("n_current", F.lit(0)).alias("n_current"),
-        )
+    measured = F.coalesce(psi, F.lit(float("nan")))
+    return listed.join(sizes, "feature", "left").select(
+        "feature",
+        measured.alias("psi"),
+        drift_state(measured, threshold).alias("state"),
+        F.coalesce("n_reference", F.lit(0)).alias("n_reference"),
+        F.coalesce("n_current", F.lit(0)).alias("n_current"),
     )

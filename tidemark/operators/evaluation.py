@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.operators.ranking import exact_quantiles, running_totals
+from tidemark.operators.ranking import quantiles_of_counts, running_totals
+from tidemark.session import settle
 
 MIN_ROC_AUC = 0.72
 SCORE_THRESHOLD = 0.5
@@ -24,9 +23,7 @@ def class_weight(df: DataFrame, label: str = "churn_label") -> DataFrame:
     return df.agg(neg.alias("negatives"), pos.alias("positives"), (neg / F.greatest(pos, F.lit(1))).alias("weight"))
 
 
-def model_metrics(
-    scored: DataFrame, group: str, domain: Sequence, label: str = "churn_label", score: str = "churn_score"
-) -> DataFrame:
+def model_metrics(scored: DataFrame, group: str, label: str = "churn_label", score: str = "churn_score") -> DataFrame:
     """ROC-AUC, average precision and Brier score per `group` (a model version, say).
 
     Rows collapse to one per distinct score; running totals from the highest score down then give
@@ -41,7 +38,7 @@ def model_metrics(
         )
         .where(F.col("pos") + F.col("neg") > 0)
     )
-    curve = running_totals(counts, group, domain, "_down", ["pos", "neg"])
+    curve = running_totals(settle(counts, "score-counts"), group, "_down", ["pos", "neg"])
     pos, neg = F.col("pos"), F.col("neg")
     # Twice the pairs won: each negative loses to the positives above it and draws with its own step.
     wins = F.sum(neg * (F.col("upto_pos") * 2 - pos))
@@ -67,16 +64,23 @@ def model_metrics(
 
 
 def scoring_summary(scoring: DataFrame, score: str = "churn_score", label: str = "churn_pred") -> DataFrame:
-    """Rows, positives, mean and exact 95th percentile of a scoring partition."""
-    long = scoring.select(
-        F.inline(F.array(F.struct(F.lit(score).alias("measure"), F.col(score).cast("double").alias("value")))),
-        F.col(label).alias("label"),
+    """Rows, positives, mean and exact 95th percentile of a scoring partition, in one pass over it.
+
+    Every row has a score and a 0/1 label.
+    """
+    cells = F.array(F.struct(F.lit(score).alias("measure"), F.col(score).cast("double").alias("value")))
+    long = scoring.select(F.inline(cells), F.col(label).cast("bigint").alias("label"))
+    counts = settle(
+        long.groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives")),
+        "score-values",
     )
-    p95 = exact_quantiles(long, "measure", [score], "value", [0.95])
-    counts = long.groupBy("measure").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("label").alias("positives"), F.avg("value").alias("mean_score")
+    p95 = quantiles_of_counts(counts.where(F.col("value").isNotNull()), "measure", "value", "n", [0.95])
+    totals = counts.groupBy("measure").agg(
+        F.sum("n").alias("rows"),
+        F.sum("positives").alias("positives"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum(F.when(F.col("value").isNotNull(), F.col("n")))).alias("mean_score"),
     )
-    return counts.join(F.broadcast(p95), "measure", "left").select(
+    return totals.join(F.broadcast(p95), "measure", "left").select(  # one row each
         "rows", "positives", F.round("mean_score", 6).alias("mean_score"), F.round("quantile", 6).alias("p95_score")
     )
 

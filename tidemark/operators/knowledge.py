@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -82,19 +83,24 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def cosine(a: Column, b: Column) -> Column:
-    norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return F.when(norm > 0, dot(a, b) / F.when(norm > 0, norm))
+def cosine(vector: Column, query: Column, query_norm: Column) -> Column:
+    """Cosine similarity; NULL where either vector is zero. The query's norm comes ready."""
+    return F.round(F.try_divide(dot(vector, query), F.sqrt(dot(vector, vector)) * query_norm), 6)
+
+
+def literal_query(vector: Sequence[float]) -> tuple[Column, Column]:
+    """A query vector and its norm as constants."""
+    values = [float(x) for x in vector]
+    return F.array(*[F.lit(x) for x in values]), F.lit(math.sqrt(sum(x * x for x in values)))
 
 
 def vector_topk(
-    vectors: DataFrame, query: Sequence[float] | Column, k: int = 5, where: Column | None = None, id_col: str = "vec_id"
+    vectors: DataFrame, query: Sequence[float], k: int = 5, where: Column | None = None, id_col: str = "vec_id"
 ) -> DataFrame:
     """Exact top-k of one query over the filtered collection, ties to the smaller id."""
     kept = vectors if where is None else vectors.where(where)
-    q = query if isinstance(query, Column) else F.array(*[F.lit(float(x)) for x in query])
     return (
-        kept.withColumn("score", F.round(cosine(F.col("embedding"), q), 6))
+        kept.withColumn("score", cosine(F.col("embedding"), *literal_query(query)))
         .orderBy(F.desc_nulls_last("score"), id_col)
         .limit(k)
     )
@@ -103,7 +109,7 @@ def vector_topk(
 def topk_by_payload(vectors: DataFrame, queries: DataFrame, payload: str, k: int = 5, id_col: str = "vec_id") -> DataFrame:
     """Top-k inside each payload value, for one query per payload value.
 
-    `queries` has columns (payload, query_id, query). Every task keeps only its own k best rows per
+    `queries` has columns (payload, query_id, query, query_norm). Every task keeps only its own k best rows per
     payload value before the shuffle (window group limit), so a value holding a third of the
     collection sends k rows per task, not its whole group.
     """
@@ -111,7 +117,7 @@ def topk_by_payload(vectors: DataFrame, queries: DataFrame, payload: str, k: int
     return (
         vectors.join(queries, payload)
         .where(F.col(id_col) != F.col("query_id"))
-        .select(payload, "query_id", id_col, F.round(cosine(F.col("embedding"), F.col("query")), 6).alias("score"))
+        .select(payload, "query_id", id_col, cosine(F.col("embedding"), F.col("query"), F.col("query_norm")).alias("score"))
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
     )
@@ -119,9 +125,9 @@ def topk_by_payload(vectors: DataFrame, queries: DataFrame, payload: str, k: int
 
 def first_of_payload(vectors: DataFrame, payload: str, id_col: str = "vec_id") -> DataFrame:
     """The smallest id of each payload value as that value's query."""
-    return vectors.groupBy(payload).agg(
-        F.min(id_col).alias("query_id"), F.min_by("embedding", id_col).alias("query")
-    )
+    first = vectors.groupBy(payload).agg(F.min(F.struct(F.col(id_col).alias("id"), F.col("embedding").alias("v"))).alias("f"))
+    query = F.col("f.v")
+    return first.select(payload, F.col("f.id").alias("query_id"), query.alias("query"), F.sqrt(dot(query, query)).alias("query_norm"))
 
 
 MAX_QUESTIONS = 64
@@ -141,7 +147,7 @@ def retrieval_hits(
         F.struct(
             F.lit(qid).cast("bigint").alias("query_id"),
             F.lit(expected).alias("expected"),
-            F.round(cosine(F.col("embedding"), F.array(*[F.lit(float(x)) for x in vector])), 6).alias("score"),
+            cosine(F.col("embedding"), *literal_query(vector)).alias("score"),
         )
         for qid, expected, vector in questions
     ]

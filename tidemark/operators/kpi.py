@@ -56,7 +56,9 @@ def monthly_report(fact: DataFrame, features: DataFrame) -> DataFrame:
     churn = features.groupBy(month_number("report_date")).agg(
         (F.sum("churn_label") / F.count(F.lit(1))).alias("churn_rate")
     )
-    return money.join(churn, "month", "full")
+    figures = ["revenue", "margin", "churn_rate"]
+    stacked = money.unionByName(churn, allowMissingColumns=True)  # one row per month on each side
+    return stacked.groupBy("month").agg(*[F.max(c).alias(c) for c in figures])
 
 
 def scd2_counts(dim: DataFrame) -> DataFrame:

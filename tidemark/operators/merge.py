@@ -29,11 +29,12 @@ def left_any_join(left: DataFrame, right: DataFrame, key: str, order: list[str])
 
 
 def with_match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    return left.join(right.select(*keys), keys, "left_semi")
+    """Left rows whose key exists on the right; right keys are made unique before they are shuffled."""
+    return left.join(right.select(*keys).distinct(), keys, "left_semi")
 
 
 def without_match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    return left.join(right.select(*keys), keys, "left_anti")
+    return left.join(right.select(*keys).distinct(), keys, "left_anti")
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -64,4 +65,4 @@ def orphans(fact: DataFrame, fk: str, dim: DataFrame, pk: str | None = None) ->
     """
     pk = pk or fk
     used = fact.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("fact_rows"))
-    return used.join(dim.select(F.col(pk).alias(fk)), fk, "left_anti")
+    return without_match(used, dim.select(F.col(pk).alias(fk)), [fk])

@@ -11,9 +11,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-RESULT_COLUMNS = ["table", "id", "type", "severity", "ok", "violations"]
+RESULT_SCHEMA = "table string, id string, type string, severity string, ok boolean, violations bigint"
 APPROVED, REJECTED = "aprobado", "rechazado"
 CRITICAL, WARN = "critical", "warn"
 
@@ -152,9 +152,7 @@ def validate(df: DataFrame, contract: Contract, as_of: datetime | date) -> DataF
     verdicts = run_checks(df, contract.table, contract_checks(contract, df.columns), as_of)
     structure = [(contract.table, f"{contract.table}_columnas", "columnas", CRITICAL, not missing, len(missing))]
     structure += [(contract.table, c.name, c.type, c.severity, False, None) for c in lost]
-    fixed = df.sparkSession.createDataFrame(
-        structure, "table string, id string, type string, severity string, ok boolean, violations bigint"
-    )
+    fixed = df.sparkSession.createDataFrame(structure, RESULT_SCHEMA)
     return fixed.unionByName(verdicts)
 
 
@@ -251,8 +249,6 @@ def anomaly_volume(sales: DataFrame, as_of: date, days: int = 30, factor: float
 
 def volume_7d(sales: DataFrame, tolerance_percent: int = 20, days: int = 7) -> DataFrame:
     """Each day against the mean of the previous `days` days; one row per day reaches the window."""
-    from pyspark.sql import Window
-
     daily = daily_orders(sales)
     before = Window.orderBy("order_date").rowsBetween(-days, -1)
     total, n = F.sum("orders_count").over(before), F.count("orders_count").over(before)

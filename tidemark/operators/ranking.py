@@ -11,113 +11,101 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKETS = 64
+from tidemark.session import settle
 
+BUCKETS = 256
 
-def running_totals(
-    counts: DataFrame,
-    group: str,
-    domain: Sequence,
-    order: str,
-    sums: Sequence[str],
-    buckets: int = BUCKETS,
-) -> DataFrame:
-    """Adds `upto_<c>`: the sum of `c` over rows of the same group with `order` up to this row's.
 
-    `counts` has one row per (group, order). `domain` lists the group values: the cut points and
-    offsets that are broadcast hold `len(domain) * buckets` rows at most. A group outside the domain
-    is still totalled exactly, as one bucket.
+def running_totals(counts: DataFrame, group: str, order: str, sums: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+    """Adds per `c` in `sums`: `upto_<c>`, its sum over the group's rows with `order` up to this row's,
+    and `total_<c>`, its sum over the group.
+
+    `counts` has one row per (group, order) and is read three times, so pass a settled table. Cut
+    points (one row per group) and offsets (one per bucket) are settled too: their size is then
+    known, and Spark broadcasts them only if they are small.
     """
     cuts = [i / buckets for i in range(1, buckets)]
-    known = counts.where(F.col(group).isin(list(domain)))
-    edges = known.groupBy(group).agg(F.percentile_approx(order, cuts, 10000).alias("_edges"))
+    edges = settle(counts.groupBy(group).agg(F.percentile_approx(order, cuts, 10000).alias("_edges")), "edges")
     below = F.size(F.filter("_edges", lambda e: e < F.col(order)))
-    placed = (
-        counts.join(F.broadcast(edges), group, "left")
-        .withColumn("_bucket", F.coalesce(below, F.lit(0)))
-        .drop("_edges")
-    )
-    per_bucket = (
-        placed.where(F.col(group).isin(list(domain)))
-        .groupBy(group, "_bucket")
-        .agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
-    )
-    earlier = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select(
-        group, "_bucket", *[F.sum(f"_sum_{c}").over(earlier).alias(f"_before_{c}") for c in sums]
-    )
+    placed = counts.join(edges, group).withColumn("_bucket", below).drop("_edges")
+    per_bucket = placed.groupBy(group, "_bucket").agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
+    whole = Window.partitionBy(group)
+    earlier = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = [F.coalesce(F.sum(f"_sum_{c}").over(earlier), F.lit(0)).alias(f"_before_{c}") for c in sums]
+    totals = [F.sum(f"_sum_{c}").over(whole).alias(f"total_{c}") for c in sums]
+    offsets = settle(per_bucket.select(group, "_bucket", *before, *totals), "offsets")
     inside = Window.partitionBy(group, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     local = placed.select("*", *[F.sum(c).over(inside).alias(f"_upto_{c}") for c in sums])
-    return local.join(F.broadcast(offsets), [group, "_bucket"], "left").select(
+    return local.join(offsets, [group, "_bucket"]).select(
         *counts.columns,
-        *[(F.coalesce(f"_before_{c}", F.lit(0)) + F.col(f"_upto_{c}")).alias(f"upto_{c}") for c in sums],
+        *[(F.col(f"_before_{c}") + F.col(f"_upto_{c}")).alias(f"upto_{c}") for c in sums],
+        *[f"total_{c}" for c in sums],
     )
 
 
-def exact_quantiles(
-    df: DataFrame, group: str, domain: Sequence, value: str, probs: Sequence[float], buckets: int = BUCKETS
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float], buckets: int = BUCKETS) -> DataFrame:
+    """Exact quantiles with linear interpolation: rows (group, p, quantile). NULLs are ignored.
+
+    One pass over `df`, which collapses to its distinct values.
+    """
+    counted = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
+    counted = counted.groupBy(group, value).agg(F.count(F.lit(1)).alias("n"))
+    return quantiles_of_counts(settle(counted, "value-counts"), group, value, "n", probs, buckets)
+
+
+def quantiles_of_counts(
+    counts: DataFrame, group: str, value: str, weight: str, probs: Sequence[float], buckets: int = BUCKETS
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation: rows (group, p, quantile). NULLs are ignored."""
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(group, value)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") > 0)
-    )
-    ranked = running_totals(counts, group, domain, value, ["n"], buckets)
-    sizes = counts.groupBy(group).agg(F.sum("n").alias("_total")).where(F.col(group).isin(list(domain)))
+    """`exact_quantiles` over a settled table of distinct values and their whole-number weights."""
+    counts = counts.where(F.col(weight) > 0).select(group, value, F.col(weight).alias("n"))
+    ranked = running_totals(counts, group, value, ["n"], buckets)
 
     def position(p: float) -> Column:
-        at = F.lit(float(p)) * (F.col("_total") - 1)
+        at = F.lit(float(p)) * (F.col("total_n") - 1)
         return F.struct(F.lit(float(p)).alias("p"), F.floor(at).alias("lo"), (at - F.floor(at)).alias("frac"))
 
-    wanted = sizes.select(group, F.array(*[position(p) for p in probs]).alias("_wanted"))
     # A row covers the ranks [upto - n, upto); a quantile needs rank lo and, between ranks, lo + 1.
     first, last = F.col("upto_n") - F.col("n"), F.col("upto_n")
-    hits = (
-        ranked.join(F.broadcast(wanted), group)
-        .select(
-            group,
-            F.col(value).cast("double").alias("_v"),
-            F.inline(
-                F.filter(
-                    "_wanted",
-                    lambda w: ((w["lo"] >= first) & (w["lo"] < last))
-                    | ((w["frac"] > 0) & (w["lo"] + 1 >= first) & (w["lo"] + 1 < last)),
-                )
-            ),
-        )
-        .groupBy(group, "p", "frac")
-        .agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    matched = F.filter(
+        F.array(*[position(p) for p in probs]),
+        lambda w: ((w["lo"] >= first) & (w["lo"] < last))
+        | ((w["frac"] > 0) & (w["lo"] + 1 >= first) & (w["lo"] + 1 < last)),
     )
-    return hits.select(group, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("frac")).alias("quantile"))
+    hits = ranked.select(group, F.col(value).cast("double").alias("_v"), F.inline(matched))
+    ends = hits.groupBy(group, "p", "frac").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    return ends.select(group, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("frac")).alias("quantile"))
 
 
-def stratified_split(
-    df: DataFrame, key: str, label: str, test_percent: int = 20, seed: int = 42
-) -> DataFrame:
+def stratified_split(df: DataFrame, key: str, label: str, test_percent: int = 20, seed: int = 42) -> DataFrame:
     """Adds `in_test`: exactly round(n * percent / 100) rows of every label, chosen by a seeded hash.
 
-    The hash prefix cuts a label into 4096 even buckets. Bucket counts tell which buckets lie wholly
-    inside the test share; only the one bucket on the border is ordered row by row.
+    The hash prefix cuts a label into 4096 even buckets; their counts show in which bucket the test
+    share ends, and only that bucket is ordered row by row to find the last hash inside. Three light
+    passes over (key, label): pass a stored frame.
     """
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
-    hashed = df.withColumn("_hash", digest).withColumn("_bucket", F.conv(F.substring("_hash", 1, 3), 16, 10).cast("int"))
-    counts = hashed.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.partitionBy(label).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(label)
-    take = F.floor((F.sum("_n").over(whole) * test_percent * 2 + 100) / 200)
-    share = counts.select(
-        label, "_bucket", (take - (F.sum("_n").over(upto) - F.col("_n"))).alias("_take"), "_n"
-    )
-    sized = hashed.join(share, [label, "_bucket"])
-    border = (F.col("_take") > 0) & (F.col("_take") < F.col("_n"))
-    inside = Window.partitionBy(label, "_bucket").orderBy("_hash", key)
-    settled = sized.where(~border).select(*df.columns, (F.col("_take") >= F.col("_n")).cast("int").alias("in_test"))
-    ordered = sized.where(border).select(
-        *df.columns, (F.row_number().over(inside) <= F.col("_take")).cast("int").alias("in_test")
+    bucket = F.conv(F.substring(digest, 1, 3), 16, 10).cast("int")
+    slim = df.select(F.col(key).cast("string").alias("_key"), F.col(label).alias("_label"), digest.alias("_hash"), bucket.alias("_bucket"))
+    counts = slim.groupBy("_label", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy("_label").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    take = F.floor((F.sum("_n").over(Window.partitionBy("_label")) * test_percent * 2 + 100) / 200)
+    share = counts.select("_label", "_bucket", "_n", (take - (F.sum("_n").over(upto) - F.col("_n"))).alias("_take"))
+    # The bucket holding the last test row of its label; a label with no test row has none.
+    border = settle(share.where((F.col("_take") >= 1) & (F.col("_take") <= F.col("_n"))), "split-border")
+    inside = Window.partitionBy("_label").orderBy("_hash", "_key")
+    same = F.col("s._label").eqNullSafe(F.col("b._label")) & (F.col("s._bucket") == F.col("b._bucket"))
+    last = (
+        slim.alias("s")
+        .join(border.alias("b"), same)
+        .select("s._label", "s._hash", "s._key", "b._take")
+        .withColumn("_row", F.row_number().over(inside))
+        .where(F.col("_row") == F.col("_take"))
+        .select("_label", F.struct("_hash", "_key").alias("_last"))
     )
-    return settled.unionByName(ordered)
+    last = settle(last, "split-last")
+    mine = F.struct(digest.alias("_hash"), F.col(key).cast("string").alias("_key"))
+    chosen = F.coalesce(mine <= F.col("_last"), F.lit(False)).cast("int")
+    return df.join(last, df[label].eqNullSafe(last["_label"]), "left").select(*df.columns, chosen.alias("in_test"))
 
 
 def hash_sample(df: DataFrame, key: Column, per_mille: int) -> DataFrame:

@@ -14,7 +14,9 @@ from tidemark.operators import churn, evaluation, merge, quality
 from tidemark.operators.ranking import stratified_split
 from tidemark.plans import marts
 from tidemark.schemas import KEYS
+from tidemark.session import settle
 from tidemark.sources import bronze, tables
+from tidemark.sources.files import Files
 
 
 class GateRejected(RuntimeError):
@@ -30,11 +32,14 @@ def ingest(
     again by the next run. Rerunning a day replaces its partition and its audit row.
     """
     spark = source.sparkSession
-    window = bronze.extract_window(source, after, until)
     path = f"{lake}/bronze/{entity}"
-    bronze.write_partitions(window.drop("dt").withColumn("dt", F.lit(dt)), path)
-    landed = spark.read.parquet(path).where(F.col("dt") == F.lit(dt))
-    differing = quality.reconcile_counts(window.withColumn("dt", F.lit(dt)), landed, ["dt"])
+    window = bronze.extract_window(source, after, until).drop("dt").withColumn("dt", F.lit(dt))
+    Files(spark, path).make(path)
+    bronze.write_partitions(window, path)
+    if window.isEmpty():
+        Files(spark, path).delete(f"{path}/dt={dt}")  # an empty window replaces what the day held
+    landed = spark.read.schema(window.schema).parquet(path).where(F.col("dt") == F.lit(dt))
+    differing = quality.reconcile_counts(window, landed, ["dt"])
     bad = differing.first()
     if bad is not None:
         raise GateRejected(f"{entity} dt={dt}: source {bad.source_rows} rows, bronze {bad.target_rows}")
@@ -119,6 +124,26 @@ def check_marts(stored: dict[str, DataFrame], as_of: datetime | date) -> DataFra
     return reduce(DataFrame.unionByName, parts)
 
 
+def check_stored(spark: SparkSession, as_of: datetime | date, database: str = "default") -> DataFrame:
+    """`check_marts` over stored tables; a table that is not there fails its contract."""
+    missing = quality.RESULT_SCHEMA
+    parts = []
+    for contract in contracts.CONTRACTS:
+        table = f"{database}.{contract.table.split('.')[1]}"
+        if spark.catalog.tableExists(table):
+            parts.append(quality.validate(spark.table(table), contract, as_of))
+        else:
+            row = (contract.table, f"{contract.table}_existe", "existe", quality.CRITICAL, False, None)
+            parts.append(spark.createDataFrame([row], missing))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def register_views(frames: dict[str, DataFrame]) -> None:
+    """Staging and intermediate frames as views for SQL users; nothing is stored."""
+    for name, df in frames.items():
+        df.createOrReplaceTempView(name)
+
+
 def transform(
     entities: dict[str, DataFrame], as_of: date, start: date, database: str = "default"
 ) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -134,21 +159,21 @@ class Trained:
     metrics: DataFrame
 
 
-def train_churn(features: DataFrame, params: churn.Boosting = churn.PRIMARY, scratch: str | None = None) -> Trained:
+def train_churn(features: DataFrame, params: churn.Boosting = churn.PRIMARY) -> Trained:
     """Split, weight, fit and evaluate.
 
-    With `scratch` the split is written to that shared folder once, since boosting reads it many
-    times and a lost executor must not recompute the marts behind it.
+    The training frame and its split are settled in the shared folder: the split and the boosting
+    read them many times, and a lost executor must not recompute the marts behind them.
     """
-    split = stratified_split(churn.training_frame(features), "customer_id", churn.LABEL, seed=churn.SEED)
-    if scratch:
-        split.write.mode("overwrite").parquet(scratch)
-        split = features.sparkSession.read.parquet(scratch)
+    frame = settle(churn.training_frame(features), "training")
+    split = settle(stratified_split(frame, "customer_id", churn.LABEL, seed=churn.SEED), "split")
     fit, test = (split.where(F.col("in_test") == flag).drop("in_test") for flag in (0, 1))
-    weight = evaluation.class_weight(fit).first()["weight"]
-    model = churn.train(fit, weight, params=params)
-    scored = churn.score(model, test).withColumn("part", F.element_at(F.array(F.lit("test")), F.lit(1)))
-    return Trained(model, test, evaluation.model_metrics(scored, "part", ["test"]))
+    balance = evaluation.class_weight(fit).first()
+    if balance.negatives + balance.positives == 0:
+        raise ValueError("no labelled feature rows to train on")
+    model = churn.train(fit, balance.weight, params=params)
+    scored = churn.score(model, test).withColumn("part", F.lit("test"))
+    return Trained(model, test, evaluation.model_metrics(scored, "part"))
 
 
 def score_partition(
@@ -160,4 +185,6 @@ def score_partition(
     path = f"{lake}/silver/scoring"
     bronze.write_partitions(scored, path, "scoring_dt")
     written = features.sparkSession.read.parquet(path).where(F.col("scoring_dt") == F.lit(scoring_dt))
+    if written.isEmpty():
+        raise ValueError("the feature table gave no rows to score")
     return evaluation.scoring_summary(written)

@@ -322,6 +322,24 @@ def customer_features(
     )
 
 
+def point_in_time_features(
+    sales: DataFrame, tickets: DataFrame, cutoff: date, churn_days: int = CHURN_DAYS
+) -> DataFrame:
+    """Features known at `cutoff`, labelled by what came after: no order in the next `churn_days` days.
+
+    The snapshot's own label follows from `recency_days`; this one does not leak.
+    """
+    known = customer_features(sales, tickets, cutoff, churn_days).drop("churn_label")
+    start = F.lit(cutoff)
+    later = (
+        sales.where(~F.col("status").isin(*EXCLUDED_STATUSES))
+        .where((F.col("order_date") > start) & (F.col("order_date") <= F.date_add(start, churn_days)))
+        .groupBy("customer_id")
+        .agg(F.lit(0).alias("churn_label"))
+    )
+    return known.join(later, "customer_id", "left").withColumn("churn_label", F.coalesce("churn_label", F.lit(1)))
+
+
 def new_snapshot(features: DataFrame, loaded_until: date | None) -> DataFrame:
     """Feature rows to add: only a snapshot later than the last one loaded."""
     return features if loaded_until is None else features.where(F.col("report_date") > F.lit(loaded_until))

@@ -226,6 +226,7 @@ CTES: dict[str, str] = {
   FROM stg_payments pay LEFT JOIN stg_orders ord ON ord.order_id = pay.order_id
   LEFT JOIN dim_date d ON d.date_day = CAST(pay.paid_at AS DATE)""",
     "customer_features": features(AS_OF),
+    "features_halfyear": features(f"({AS_OF} - 180)"),
     "features_before": features(f"({AS_OF} - 30)"),
     "ingest_audit": "\n  UNION ALL ".join(
         f"""SELECT 'run-' || strftime(dt, '%Y%m%d') AS run_id, '{e}' AS entity, dt, count(*) AS rows_read,

@@ -12,7 +12,7 @@ from tidemark.plans import jobs
 from tidemark.registry.core import query
 from tidemark.registry.marts import Planned
 from tidemark.registry.quality import GATE_SQL, verdicts
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, settle
 from tidemark.sources import bronze
 from tidemark.sources.adapter import Bronze
 
@@ -38,7 +38,7 @@ def version_metrics(b: Bronze) -> DataFrame:
     score = (F.col("recency_days") * v + number() * 7919 % 1000) / (v * F.lit(365.0) + F.lit(1000.0))
     listed = F.explode(F.array(*[F.lit(i) for i in VERSIONS])).alias("version")
     scored = Planned(b).features().select("customer_id", "recency_days", "churn_label", listed)
-    return evaluation.model_metrics(scored.withColumn("churn_score", score), "version", VERSIONS)
+    return evaluation.model_metrics(scored.withColumn("churn_score", score), "version")
 
 
 @query(
@@ -66,7 +66,7 @@ def class_weight(b):
        FROM customer_features""",
 )
 def stratified_split(b):
-    frame = Planned(b).features().select("customer_id", "churn_label")
+    frame = settle(Planned(b).features().select("customer_id", "churn_label"), "labels")
     return ranking.stratified_split(frame, "customer_id", "churn_label")
 
 
@@ -191,7 +191,7 @@ def model_gate(b):
 
 
 def trained(b: Bronze) -> jobs.Trained:
-    return jobs.train_churn(Planned(b).features(), SMALL, scratch_path(b.spark, "training"))
+    return jobs.train_churn(Planned(b).features(), SMALL)
 
 
 @query("part:s positives:i negatives:i roc_auc:d pr_auc:d brier:d")

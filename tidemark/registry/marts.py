@@ -234,6 +234,22 @@ def customer_features_by_order(b):
     return Planned(b).features(grain="order")
 
 
+@query(
+    "customer_id:s recency_days:i orders_total:i churn_label:i",
+    f"""SELECT f.customer_id, f.recency_days, f.orders_total,
+               CASE WHEN EXISTS (SELECT 1 FROM stg_orders o WHERE o.customer_id = f.customer_id
+                      AND o.status NOT IN ('cancelled', 'refunded') AND o.order_id IN (SELECT order_id FROM order_lines)
+                      AND o.order_date > {AS_OF} - 180 AND o.order_date <= {AS_OF}) THEN 0 ELSE 1 END AS churn_label
+        FROM features_halfyear f""",
+)
+def features_point_in_time(b):
+    """Features half a year ago, labelled by the orders since then."""
+    p = Planned(b)
+    cutoff = b.as_of - timedelta(days=180)
+    sales = p.sales(first=cutoff - timedelta(days=365), last=b.as_of)
+    return marts.point_in_time_features(sales, p.stg("support_tickets", last=cutoff), cutoff)
+
+
 @query(
     "order_id:s product_id:s customer_id:s order_date:s line_total:d customer_sk:s",
     """SELECT f.order_id, f.product_id, f.customer_id, f.order_date, f.line_total, c.customer_sk

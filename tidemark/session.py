@@ -1,10 +1,10 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings, the shared scratch folder and intermediate tables in it."""
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE sizes shuffle partitions from real bytes, splits skewed join sides and rebalanced write
 # partitions, and swaps in a broadcast only after it has measured the side. Broadcasts by plan
@@ -50,3 +50,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for one run of `name` under the shared root."""
     app = spark.sparkContext.applicationId
     return f"{checkpoint_root(spark)}/tidemark/{app}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Writes `df` to the shared folder and returns the written table. Runs a job.
+
+    For a frame that is read several times: the work behind it runs once, a lost executor costs a
+    re-read instead of a recomputation, and later plans know its size.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes this application's scratch tables; call it when no result reads them any more."""
+    from tidemark.sources.files import Files
+
+    root = f"{checkpoint_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    Files(spark, root).delete(root)

@@ -34,8 +34,13 @@ def read_jdbc_window(
     return spark.read.jdbc(url, table, predicates=jdbc_predicates(after, until, slices), properties=properties)
 
 
-def watermark_lookup(audit: DataFrame, entities: list[str]) -> DataFrame:
-    """Last watermark per entity; the epoch for an entity never ingested."""
+def watermark_lookup(audit: DataFrame, entities: list[str], before: date | None = None) -> DataFrame:
+    """Last watermark per entity; the epoch for an entity never ingested.
+
+    `before` ignores runs of that day and later, so that repeating a day reads its whole window.
+    """
+    if before is not None:
+        audit = audit.where(F.col("dt") < F.lit(before))
     listed = audit.sparkSession.createDataFrame([(e,) for e in entities], "entity string")
     latest = audit.groupBy("entity").agg(F.max("watermark").alias("watermark"))
     return listed.join(latest, "entity", "left").select(
@@ -67,6 +72,8 @@ def audit_latest(audit: DataFrame, n: int = 5) -> DataFrame:
 def write_partitions(df: DataFrame, path: str, partition: str = "dt") -> None:
     """Replaces exactly the partitions present in `df`; a second run changes nothing.
 
+    A partition `df` has no row for is left as it is.
+
     The rebalance gathers each partition's rows into few files, and AQE splits a partition that is
     too large for one task.
     """

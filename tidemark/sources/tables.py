@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -51,6 +52,17 @@ def _folder(partition: str, value: str | None) -> str:
     return f"{partition}={text}"
 
 
+def drop_old_partitions(spark: SparkSession, path: str, partition: str, as_of: date, days: int) -> list[str]:
+    """Retention without a rewrite: deletes date partitions older than `days`; returns their folders."""
+    fs, oldest = Files(spark, path), (as_of - timedelta(days=days)).isoformat()
+    prefix = f"{partition}="
+    dated = [n for n in fs.names(path) if n.startswith(prefix) and n != f"{prefix}{NULL_PARTITION}"]
+    old = [n for n in dated if n[len(prefix) :] < oldest]
+    for name in old:
+        fs.delete(f"{path}/{name}")
+    return old
+
+
 def finish_publish(spark: SparkSession, path: str) -> list[str]:
     """Completes or drops staged runs left behind by a lost driver. Returns the runs completed."""
     fs, done = Files(spark, path), []
