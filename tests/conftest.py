@@ -20,6 +20,7 @@ def spark(tmp_path_factory):
         spark__checkpoint__dir=str(base / "shared"),
         spark__sql__warehouse__dir=str(base / "warehouse"),
         spark__driver__memory="6g",
+        spark__sql__maxMetadataStringLength="10000",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

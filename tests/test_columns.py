@@ -50,11 +50,11 @@ def test_pad_key_keeps_long_numbers(spark):
 
 @pytest.mark.parametrize(
     "num, den, want",
-    [("1.00", "3.00", 0.3333), ("2.00", "3.00", 0.6667), ("-2.00", "3.00", -0.6667), ("0.05", "1000.00", 0.0001), ("1.00", "0.00", None)],
+    [("1.00", "3.00", 0.3333), ("2.00", "3.00", 0.6667), ("-2.00", "3.00", -0.6667), ("0.05", "1000.00", 0.0001), ("-0.05", "1000.00", -0.0001), ("1.00", "0.00", None)],
 )
 def test_ratio4(spark, num, den, want):
     df = spark.createDataFrame([(Decimal(num), Decimal(den))], "a decimal(18,2), b decimal(18,2)")
-    assert df.select(c.ratio4(F.col("a"), F.col("b")).alias("y")).first().y == want
+    assert df.select(c.ratio4(c.cents("a"), c.cents("b")).alias("y")).first().y == want
 
 
 @pytest.mark.parametrize(

@@ -36,15 +36,24 @@ def has_text(c: Column | str) -> Column:
     return c.isNotNull() & (F.trim(c.cast("string")) != "")
 
 
-def pad_key(prefix: str, n: Column | str, width: int) -> Column:
-    """`prefix` + zero-padded number. Numbers wider than `width` keep all their digits."""
-    digits = _col(n).cast("string")
-    return F.concat(F.lit(prefix), F.when(F.length(digits) >= width, digits).otherwise(F.lpad(digits, width, "0")))
+def pad_sql(prefix: str, n: str, width: int) -> str:
+    """SQL text of `prefix` + zero-padded number. Numbers wider than `width` keep all their digits."""
+    digits = f"cast({n} as string)"
+    return f"concat('{prefix}', CASE WHEN length({digits}) >= {width} THEN {digits} ELSE lpad({digits}, {width}, '0') END)"
 
 
-def pick(values: list[str] | tuple[str, ...], index: Column) -> Column:
-    """`values[index]`, with `index` counted from 0."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def pad_key(prefix: str, n: str, width: int) -> Column:
+    return F.expr(pad_sql(prefix, n, width))
+
+
+def pick_sql(values: list[str] | tuple[str, ...], index: str) -> str:
+    """SQL text of `values[index]`, with `index` counted from 0."""
+    items = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({items}), cast(({index}) + 1 as int))"
+
+
+def pick(values: list[str] | tuple[str, ...], index: str) -> Column:
+    return F.expr(pick_sql(values, index))
 
 
 def mask_phone(c: Column | str) -> Column:
@@ -74,20 +83,19 @@ def money_of(df: DataFrame, name: str) -> Column:
 
 
 def cents(c: Column | str) -> Column:
-    """Whole cents of a Decimal(.,2) as bigint; later divisions stay in integers."""
+    """Whole cents of an amount as bigint; later arithmetic stays in long integers."""
     return (_col(c) * 100).cast("bigint")
 
 
-def div_half_up(numerator: Column, denominator: Column) -> Column:
-    """Integer division rounding half away from zero; NULL for a denominator of 0."""
-    den = F.when(denominator != 0, denominator)
-    magnitude = F.call_function("div", F.abs(numerator) * 2 + F.abs(den), F.abs(den) * 2)
-    return F.when((numerator < 0) != (den < 0), -magnitude).otherwise(magnitude)
-
+def ratio4(numerator_cents: Column, denominator_cents: Column) -> Column:
+    """Ratio of two amounts in cents as double, rounded half away from zero to 4 digits.
 
-def ratio4(numerator: Column, denominator: Column) -> Column:
-    """Ratio of two amounts as double, rounded to 4 digits in integer arithmetic."""
-    return div_half_up(cents(numerator) * 10000, cents(denominator)).cast("double") / F.lit(10000.0)
+    Integer arithmetic keeps it exact. NULL unless the denominator is positive.
+    """
+    den = F.when(denominator_cents > 0, denominator_cents)
+    scaled = numerator_cents * 20000
+    half_up = F.call_function("div", scaled + F.when(scaled < 0, -den).otherwise(den), den * 2)
+    return half_up.cast("double") / F.lit(10000.0)
 
 
 def timestamp_of(df: DataFrame, name: str) -> Column:

@@ -72,7 +72,11 @@ class Marts:
 def build_marts(
     entities: dict[str, DataFrame], as_of: date, start: date, categories: DataFrame | None = None, dedup: bool = True
 ) -> Marts:
-    """Plans every mart from Bronze entities. `dedup` keeps the latest version of each key first."""
+    """Plans every mart from Bronze entities.
+
+    `dedup` first keeps the latest version of each business key, as an entity extracted on several
+    days has several; leave it off for a source that holds every row once.
+    """
     spark = next(iter(entities.values())).sparkSession
     if dedup:
         entities = {name: merge.dedup_latest(df, KEYS[name]) for name, df in entities.items()}
@@ -145,10 +149,10 @@ def register_views(frames: dict[str, DataFrame]) -> None:
 
 
 def transform(
-    entities: dict[str, DataFrame], as_of: date, start: date, database: str = "default"
+    entities: dict[str, DataFrame], as_of: date, start: date, database: str = "default", dedup: bool = True
 ) -> tuple[dict[str, DataFrame], DataFrame]:
     """Builds and stores the marts, then the one-row quality gate. Returns both."""
-    stored = store_marts(build_marts(entities, as_of, start), database)
+    stored = store_marts(build_marts(entities, as_of, start, dedup=dedup), database)
     return stored, quality.quality_gate(check_marts(stored, as_of))
 
 

@@ -157,7 +157,7 @@ def dim_product(products: DataFrame, orders: DataFrame, lines: DataFrame, catego
         F.col("priority").alias("category_priority"),
     )
     margin = F.col("unit_price") - F.col("cost_amount")
-    rate = F.when(F.col("unit_price") > 0, ratio4(margin, F.col("unit_price"))).otherwise(F.lit(0.0))
+    rate = F.when(F.col("unit_price") > 0, ratio4(cents(margin), cents("unit_price"))).otherwise(F.lit(0.0))
     return (
         products.join(sold, "product_id", "left")
         .join(lookup, "category", "left")
@@ -232,7 +232,8 @@ def fct_orders(
         F.col("updated_at").alias("product_updated_at"),
     )
     margin = F.col("line_total") - F.col("quantity") * F.col("cost_amount")
-    rate = F.when(F.col("line_total") > 0, ratio4(margin, F.col("line_total"))).otherwise(F.lit(0.0))
+    margin_cents = cents("line_total") - F.col("quantity") * cents("cost_amount")
+    rate = F.when(F.col("line_total") > 0, ratio4(margin_cents, cents("line_total"))).otherwise(F.lit(0.0))
     return sales_lines(orders, lines, calendar).join(p, "product_id", "left").select(
         "order_id", "product_id", "customer_id", "date_key", "order_date", "ordered_at", "status", "channel",
         "seller_id", "product_sk", "category", "brand", "quantity", "unit_price", "discount_pct", "line_total",
@@ -268,6 +269,13 @@ def fct_payments(
     )
 
 
+def order_values(sales: DataFrame) -> DataFrame:
+    """Lines folded into orders: the grain the features are counted from."""
+    return sales.groupBy("customer_id", "order_id", "order_date", "status").agg(
+        F.count(F.lit(1)).alias("line_count"), F.sum("line_total").alias("order_value")
+    )
+
+
 def customer_features(
     sales: DataFrame,
     tickets: DataFrame,
@@ -275,7 +283,18 @@ def customer_features(
     churn_days: int = CHURN_DAYS,
     grain: str = "line",
 ) -> DataFrame:
-    """Churn features per customer at `as_of`, from the order-line fact (or `sales_lines`).
+    """Churn features per customer at `as_of`, from the order-line fact (or `sales_lines`)."""
+    return features_of_orders(order_values(sales), tickets, as_of, churn_days, grain)
+
+
+def features_of_orders(
+    values: DataFrame,
+    tickets: DataFrame,
+    as_of: date,
+    churn_days: int = CHURN_DAYS,
+    grain: str = "line",
+) -> DataFrame:
+    """`customer_features` from `order_values`, which several snapshots can share.
 
     `grain="line"` counts lines of the last 30 days, `grain="order"` counts orders. Lines are
     reduced per order, then per customer, so a customer with very many orders is spread over tasks.
@@ -283,11 +302,8 @@ def customer_features(
     if grain not in ("line", "order"):
         raise ValueError(f"grain must be 'line' or 'order', not {grain!r}")
     today = F.lit(as_of)
-    per_order = (
-        sales.where(~F.col("status").isin(*EXCLUDED_STATUSES))
-        .where((F.col("order_date") >= F.date_sub(today, 365)) & (F.col("order_date") <= today))
-        .groupBy("customer_id", "order_id", "order_date")
-        .agg(F.count(F.lit(1)).alias("line_count"), F.sum("line_total").alias("order_value"))
+    per_order = values.where(~F.col("status").isin(*EXCLUDED_STATUSES)).where(
+        (F.col("order_date") >= F.date_sub(today, 365)) & (F.col("order_date") <= today)
     )
     recent = F.col("order_date") >= F.date_sub(today, 30)
     counted = F.col("line_count") if grain == "line" else F.lit(1)

@@ -166,8 +166,7 @@ def bias_metrics(b):
 
 
 def psi(b: Bronze) -> DataFrame:
-    p = Planned(b)
-    return drift.psi_report(p.features(days_ago=30), p.features(), churn.FEATURES)
+    return drift.psi_report(*Planned(b).two_snapshots(days_ago=30), churn.FEATURES)
 
 
 @query(

@@ -219,11 +219,11 @@ def handoff_messages(b: Bronze) -> DataFrame:
             x
             for key, value in {
                 "run_id": F.when(n % 11 == 0, "run_1").otherwise(F.concat(F.lit("run_2001_"), n.cast("string"))),
-                "from": F.when(n % 13 == 0, "nobody").otherwise(pick(messages.AGENTS, n % 7)),
-                "to": pick(messages.AGENTS, (n + 1) % 7),
-                "intent": pick(messages.INTENTS, n % 7),
-                "status": F.when(n % 17 == 0, "done").otherwise(pick(messages.STATUSES, n % 3)),
-                "next_agent": pick(messages.NEXT_AGENTS, n % 8),
+                "from": F.when(n % 13 == 0, "nobody").otherwise(pick(messages.AGENTS, "event_id % 7")),
+                "to": pick(messages.AGENTS, "(event_id + 1) % 7"),
+                "intent": pick(messages.INTENTS, "event_id % 7"),
+                "status": F.when(n % 17 == 0, "done").otherwise(pick(messages.STATUSES, "event_id % 3")),
+                "next_agent": pick(messages.NEXT_AGENTS, "event_id % 8"),
                 "ts": F.when(n % 19 == 0, "yesterday").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
             }.items()
             for x in (F.lit(key), value)
@@ -275,8 +275,8 @@ def validate_handoffs(b):
 def routing_metrics(b):
     n = F.col("event_id")
     log = b.raw("events").select(
-        pick(messages.INTENTS, n % 7).alias("intent"),
-        F.when(n % 70 == 3, "platform").otherwise(pick(messages.AGENTS, n % 7)).alias("agent"),
+        pick(messages.INTENTS, "event_id % 7").alias("intent"),
+        F.when(n % 70 == 3, "platform").otherwise(pick(messages.AGENTS, "event_id % 7")).alias("agent"),
         F.when(F.col("event_type") == "error", "fallido").otherwise("ok").alias("status"),
         (F.col("user_id") % 4).alias("retries"),
         F.col("value").cast("double").alias("duration_s"),

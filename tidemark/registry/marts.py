@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -11,6 +12,7 @@ from tidemark.operators.staging import STAGING
 from tidemark.plans import marts
 from tidemark.registry.core import query
 from tidemark.registry.ctes import AS_OF
+from tidemark.session import settle
 from tidemark.sources import tables
 from tidemark.sources.adapter import Bronze
 
@@ -22,11 +24,15 @@ class Planned:
 
     def __init__(self, b: Bronze):
         self.b, self.as_of = b, b.as_of
+        self._stg: dict[tuple, DataFrame] = {}
 
     def stg(self, entity: str, **bounds) -> DataFrame:
-        return STAGING[entity](self.b.entity(entity), **bounds)
+        key = (entity, *sorted(bounds.items()))
+        if key not in self._stg:
+            self._stg[key] = STAGING[entity](self.b.entity(entity), **bounds)
+        return self._stg[key]
 
-    @property
+    @cached_property
     def calendar(self) -> DataFrame:
         return marts.dim_date(self.b.spark, self.as_of, CAL_START)
 
@@ -61,6 +67,14 @@ class Planned:
             **options,
         )
 
+    def two_snapshots(self, days_ago: int) -> tuple[DataFrame, DataFrame]:
+        """Features `days_ago` and today over one settled pass of the orders."""
+        then = self.as_of - timedelta(days=days_ago)
+        first = then - timedelta(days=365)
+        values = settle(marts.order_values(self.sales(first=first, last=self.as_of)), "order-values")
+        tickets = self.stg("support_tickets", first=then - timedelta(days=90), last=self.as_of)
+        return tuple(marts.features_of_orders(values, tickets, day) for day in (then, self.as_of))
+
 
 STG_ORDERS = (
     "order_id:s customer_id:s ordered_at:s status:s channel:s total_amount:d order_date:s updated_at:s ingested_dt:s"

@@ -13,6 +13,7 @@ from tidemark.plans.jobs import check_marts
 from tidemark.registry.core import query
 from tidemark.registry.ctes import AS_OF
 from tidemark.registry.marts import Planned
+from tidemark.session import settle
 
 
 def table(p: Planned, name: str) -> DataFrame:
@@ -246,8 +247,9 @@ def _contract_sql() -> str:
 
 
 def verdicts(b) -> DataFrame:
-    p = Planned(b)
-    stored = {c.table.split(".")[1]: table(p, c.table.split(".")[1]) for c in contracts.CONTRACTS}
+    """Contract verdicts over stored marts, as the checks read them more than once."""
+    p, names = Planned(b), [c.table.split(".")[1] for c in contracts.CONTRACTS]
+    stored = {name: settle(table(p, name), name) for name in names}
     return check_marts(stored, b.as_of)
 
 

@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Python call sites in error messages cost several JVM round trips per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

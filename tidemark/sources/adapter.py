@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.functions.columns import cent, pad_key, pick
+from tidemark.functions.columns import pad_sql, pick_sql
+from tidemark.sources.files import Files
 
 AS_OF = date(2001, 8, 2)
 
@@ -36,6 +37,7 @@ CATEGORY_BY_TYPE = {
 }
 SELLER_SLOTS = 97
 EVENT_SHIFT_DAYS = 8217
+SPREAD_FROM, SPREAD_TO = 1 << 20, 64 << 20  # file bytes
 
 
 class Bronze:
@@ -43,148 +45,130 @@ class Bronze:
 
     def __init__(self, spark: SparkSession, base: str, as_of: date = AS_OF):
         self.spark, self.base, self.as_of = spark, base.rstrip("/"), as_of
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/{table}.parquet")
-
-    def _days_back(self, days: Column) -> Column:
-        return F.date_sub(F.lit(self.as_of), days.cast("int")).cast("timestamp")
-
-    def _finish(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("dt", F.to_date("updated_at"))
+        """A benchmark table. A small one comes as one row group, which one task would read and
+        project alone, so its rows are spread over the cores; large tables split by themselves."""
+        if table not in self._raw:
+            path = f"{self.base}/{table}.parquet"
+            df = self.spark.read.parquet(path)
+            cores = self.spark.sparkContext.defaultParallelism
+            small = SPREAD_FROM <= Files(self.spark, path).size(path) <= SPREAD_TO
+            self._raw[table] = df.repartition(cores) if small and cores > 1 else df
+        return self._raw[table]
+
+    def _ago(self, days: str) -> str:
+        return f"cast(date_sub(DATE '{self.as_of}', cast({days} as int)) as timestamp)"
+
+    def _entity(self, table: str, *columns: str, where: str = "true") -> DataFrame:
+        return self.raw(table).where(where).selectExpr(*columns).selectExpr("*", "to_date(updated_at) AS dt")
 
     def orders(self) -> DataFrame:
-        key, when = F.col("o_orderkey"), F.col("o_orderdate")
-        odd = key % 2
-        status = (
-            F.when(F.col("o_orderstatus") == "O", pick(("pending", "paid"), odd))
-            .when(F.col("o_orderstatus") == "F", pick(("shipped", "delivered"), odd))
-            .otherwise(pick(("cancelled", "refunded"), odd))
-        )
-        return self._finish(
-            self.raw("orders").select(
-                pad_key("ORD-", key, 9).alias("order_id"),
-                pad_key("CUS-", "o_custkey", 7).alias("customer_id"),
-                when.alias("order_ts"),
-                status.alias("status"),
-                pick(ORDER_CHANNELS, key % 3).alias("channel"),
-                F.col("o_totalprice").cast("decimal(12,2)").alias("total_amount"),
-                when.alias("created_at"),
-                when.alias("updated_at"),
-            )
+        odd = "o_orderkey % 2"
+        return self._entity(
+            "orders",
+            f"{pad_sql('ORD-', 'o_orderkey', 9)} AS order_id",
+            f"{pad_sql('CUS-', 'o_custkey', 7)} AS customer_id",
+            "o_orderdate AS order_ts",
+            f"""CASE o_orderstatus WHEN 'O' THEN {pick_sql(('pending', 'paid'), odd)}
+                WHEN 'F' THEN {pick_sql(('shipped', 'delivered'), odd)}
+                ELSE {pick_sql(('cancelled', 'refunded'), odd)} END AS status""",
+            f"{pick_sql(ORDER_CHANNELS, 'o_orderkey % 3')} AS channel",
+            "cast(o_totalprice as decimal(12,2)) AS total_amount",
+            "o_orderdate AS created_at",
+            "o_orderdate AS updated_at",
         )
 
     def order_items(self) -> DataFrame:
-        quantity = F.col("l_quantity").cast("int")
-        gross = F.col("l_extendedprice").cast("decimal(12,2)")
-        discount = F.abs("l_discount")
-        net = F.round(gross * (F.lit(1) - discount.cast("decimal(4,2)")), 2)
-        gross_cents = (gross * 100).cast("bigint")
-        unit_cents = F.call_function("div", gross_cents * 2 + quantity, quantity * 2)
-        return self._finish(
-            self.raw("lineitem").select(
-                (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("order_item_id"),
-                pad_key("ORD-", "l_orderkey", 9).alias("order_id"),
-                pad_key("PRD-", "l_partkey", 7).alias("product_id"),
-                quantity.alias("quantity"),
-                (unit_cents.cast("decimal(10,0)") * cent()).cast("decimal(12,2)").alias("unit_price"),
-                (discount * 100).cast("decimal(5,2)").alias("discount_pct"),
-                net.cast("decimal(12,2)").alias("line_total"),
-                F.col("l_shipdate").alias("updated_at"),
-            )
+        gross, quantity = "cast(l_extendedprice as decimal(12,2))", "cast(l_quantity as int)"
+        unit_cents = f"(cast({gross} * 100 as bigint) * 2 + {quantity}) div ({quantity} * 2)"
+        return self._entity(
+            "lineitem",
+            "l_orderkey * 8 + l_linenumber AS order_item_id",
+            f"{pad_sql('ORD-', 'l_orderkey', 9)} AS order_id",
+            f"{pad_sql('PRD-', 'l_partkey', 7)} AS product_id",
+            f"{quantity} AS quantity",
+            f"cast(cast({unit_cents} as decimal(10,0)) * 0.01 as decimal(12,2)) AS unit_price",
+            "cast(abs(l_discount) * 100 as decimal(5,2)) AS discount_pct",
+            f"cast(round({gross} * (1 - cast(abs(l_discount) as decimal(4,2))), 2) as decimal(12,2)) AS line_total",
+            "l_shipdate AS updated_at",
         )
 
     def products(self) -> DataFrame:
-        key, price = F.col("p_partkey"), F.col("p_retailprice").cast("decimal(12,2)")
-        category = F.lit("otros")
-        for kind, name in CATEGORY_BY_TYPE.items():
-            category = F.when(F.col("p_type") == kind, F.lit(name)).otherwise(category)
-        return self._finish(
-            self.raw("part").select(
-                pad_key("PRD-", key, 7).alias("product_id"),
-                pad_key("sku-", key, 7).alias("sku"),
-                F.col("p_name").alias("product_name"),
-                category.alias("category"),
-                F.col("p_brand").alias("brand"),
-                price.alias("unit_price"),
-                F.round(price * F.lit("0.62").cast("decimal(3,2)"), 2).cast("decimal(12,2)").alias("cost_amount"),
-                pad_key("SEL-", key % SELLER_SLOTS, 5).alias("seller_id"),
-                (key % 17 != 0).alias("is_active"),
-                self._days_back(key % 300).alias("created_at"),
-                self._days_back(key % 45).alias("updated_at"),
-            )
+        price = "cast(p_retailprice as decimal(12,2))"
+        kinds = " ".join(f"WHEN '{kind}' THEN '{name}'" for kind, name in CATEGORY_BY_TYPE.items())
+        return self._entity(
+            "part",
+            f"{pad_sql('PRD-', 'p_partkey', 7)} AS product_id",
+            f"{pad_sql('sku-', 'p_partkey', 7)} AS sku",
+            "p_name AS product_name",
+            f"CASE p_type {kinds} ELSE 'otros' END AS category",
+            "p_brand AS brand",
+            f"{price} AS unit_price",
+            f"cast(round({price} * 0.62, 2) as decimal(12,2)) AS cost_amount",
+            f"{pad_sql('SEL-', f'p_partkey % {SELLER_SLOTS}', 5)} AS seller_id",
+            "p_partkey % 17 <> 0 AS is_active",
+            f"{self._ago('p_partkey % 300')} AS created_at",
+            f"{self._ago('p_partkey % 45')} AS updated_at",
         )
 
     def sellers(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        joined = self._days_back((key % 5 + 1) * 30)
-        return self._finish(
-            self.raw("supplier").select(
-                pad_key("SEL-", key, 5).alias("seller_id"),
-                F.col("s_name").alias("seller_name"),
-                pick(SELLER_REGIONS, F.col("s_nationkey") % 5).alias("region"),
-                pick(SELLER_CHANNELS, key % 3).alias("channel"),
-                joined.alias("joined_at"),
-                joined.alias("updated_at"),
-            )
+        joined = self._ago("(s_suppkey % 5 + 1) * 30")
+        return self._entity(
+            "supplier",
+            f"{pad_sql('SEL-', 's_suppkey', 5)} AS seller_id",
+            "s_name AS seller_name",
+            f"{pick_sql(SELLER_REGIONS, 's_nationkey % 5')} AS region",
+            f"{pick_sql(SELLER_CHANNELS, 's_suppkey % 3')} AS channel",
+            f"{joined} AS joined_at",
+            f"{joined} AS updated_at",
         )
 
     def customers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self._finish(
-            self.raw("customer").select(
-                pad_key("CUS-", key, 7).alias("customer_id"),
-                F.col("c_name").alias("full_name"),
-                F.concat(F.lit(" Cliente"), key.cast("string"), F.lit("@Example.com ")).alias("email"),
-                F.concat(F.lit("+34 6"), F.lpad((key * 7919 % 100000000).cast("string"), 8, "0")).alias("phone"),
-                pick(CITIES, key % 8).alias("city"),
-                pick(CITY_REGIONS, key % 8).alias("region"),
-                pick(SEGMENTS, key % 3).alias("segment"),
-                F.when(key % 11 != 0, pick(GENDERS, key % 3)).alias("gender"),
-                pick(AGE_BANDS, key % 5).alias("age_band"),
-                F.date_add(F.lit(date(1994, 6, 1)), (key % 400).cast("int")).cast("timestamp").alias("created_at"),
-                self._days_back(key % 60).alias("updated_at"),
-            )
+        return self._entity(
+            "customer",
+            f"{pad_sql('CUS-', 'c_custkey', 7)} AS customer_id",
+            "c_name AS full_name",
+            "concat(' Cliente', cast(c_custkey as string), '@Example.com ') AS email",
+            "concat('+34 6', lpad(cast(c_custkey * 7919 % 100000000 as string), 8, '0')) AS phone",
+            f"{pick_sql(CITIES, 'c_custkey % 8')} AS city",
+            f"{pick_sql(CITY_REGIONS, 'c_custkey % 8')} AS region",
+            f"{pick_sql(SEGMENTS, 'c_custkey % 3')} AS segment",
+            f"CASE WHEN c_custkey % 11 <> 0 THEN {pick_sql(GENDERS, 'c_custkey % 3')} END AS gender",
+            f"{pick_sql(AGE_BANDS, 'c_custkey % 5')} AS age_band",
+            "cast(date_add(DATE '1994-06-01', cast(c_custkey % 400 as int)) as timestamp) AS created_at",
+            f"{self._ago('c_custkey % 60')} AS updated_at",
         )
 
     def payments(self) -> DataFrame:
-        orders = self.orders()
-        paid_at = F.col("order_ts") + F.expr("interval 2 hours")
-        number = F.substring("order_id", 5, 30)
-        status = (
-            F.when(F.col("status") == "cancelled", "rejected")
-            .when(F.col("status").isin("refunded", "pending"), F.col("status"))
-            .otherwise("approved")
-        )
-        void = F.col("status").isin("cancelled", "refunded")
-        return self._finish(
-            orders.select(
-                F.concat(F.lit("PAY-"), number).alias("payment_id"),
-                "order_id",
-                paid_at.alias("paid_at"),
-                pick(PAYMENT_METHODS, number.cast("bigint") % 4).alias("payment_method"),
-                F.when(void, F.lit(0)).otherwise(F.col("total_amount")).cast("decimal(12,2)").alias("paid_amount"),
-                status.alias("payment_status"),
-                paid_at.alias("updated_at"),
-            )
+        """One payment two hours after each order."""
+        number = "substring(order_id, 5)"
+        return self.orders().selectExpr(
+            f"concat('PAY-', {number}) AS payment_id",
+            "order_id",
+            "order_ts + interval 2 hours AS paid_at",
+            f"{pick_sql(PAYMENT_METHODS, f'cast({number} as bigint) % 4')} AS payment_method",
+            "CASE WHEN status IN ('cancelled', 'refunded') THEN cast(0 as decimal(12,2)) ELSE total_amount END AS paid_amount",
+            """CASE WHEN status = 'cancelled' THEN 'rejected' WHEN status IN ('refunded', 'pending') THEN status
+               ELSE 'approved' END AS payment_status""",
+            "order_ts + interval 2 hours AS updated_at",
+            "to_date(order_ts + interval 2 hours) AS dt",
         )
 
     def support_tickets(self) -> DataFrame:
-        key = F.col("event_id")
-        opened = F.col("ts") - F.make_dt_interval(F.lit(EVENT_SHIFT_DAYS))
-        return self._finish(
-            self.raw("events")
-            .where(F.col("event_type") == "error")
-            .select(
-                pad_key("TCK-", key, 9).alias("ticket_id"),
-                pad_key("CUS-", "user_id", 7).alias("customer_id"),
-                F.when(key % 4 != 0, pad_key("ORD-", key, 9)).alias("order_id"),
-                opened.alias("opened_at"),
-                pick(TICKET_TOPICS, key % 5).alias("topic"),
-                pick(TICKET_PRIORITIES, key % 3).alias("priority"),
-                pick(TICKET_STATUSES, key % 4).alias("status"),
-                opened.alias("updated_at"),
-            )
+        opened = f"ts - make_dt_interval({EVENT_SHIFT_DAYS})"
+        return self._entity(
+            "events",
+            f"{pad_sql('TCK-', 'event_id', 9)} AS ticket_id",
+            f"{pad_sql('CUS-', 'user_id', 7)} AS customer_id",
+            f"CASE WHEN event_id % 4 <> 0 THEN {pad_sql('ORD-', 'event_id', 9)} END AS order_id",
+            f"{opened} AS opened_at",
+            f"{pick_sql(TICKET_TOPICS, 'event_id % 5')} AS topic",
+            f"{pick_sql(TICKET_PRIORITIES, 'event_id % 3')} AS priority",
+            f"{pick_sql(TICKET_STATUSES, 'event_id % 4')} AS status",
+            f"{opened} AS updated_at",
+            where="event_type = 'error'",
         )
 
     def entity(self, name: str) -> DataFrame:

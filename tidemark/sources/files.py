@@ -19,6 +19,10 @@ class Files:
             return []
         return sorted(status.getPath().getName() for status in self._fs.listStatus(self._path(path)))
 
+    def size(self, path: str) -> int:
+        """Bytes under a file or folder."""
+        return self._fs.getContentSummary(self._path(path)).getLength()
+
     def make(self, path: str) -> None:
         self._fs.mkdirs(self._path(path))
 

@@ -36,8 +36,8 @@ def numbered(spark: SparkSession, rows: int) -> DataFrame:
     return spark.range(1, rows + 1).select(F.col("id").alias("n"))
 
 
-def _cycle(values, n: Column) -> Column:
-    return pick(values, (n - 1) % len(values))
+def _cycle(values: tuple[str, ...]) -> Column:
+    return pick(values, f"(n - 1) % {len(values)}")
 
 
 def _ago(anchor: datetime, days: Column, hours: Column | None = None) -> Column:
@@ -62,10 +62,10 @@ def seed_sellers(ids: DataFrame, anchor: datetime) -> DataFrame:
     n = F.col("n")
     joined = _ago(anchor, n * 30)
     return ids.select(
-        pad_key("SEL-", n, 3).alias("seller_id"),
+        pad_key("SEL-", "n", 3).alias("seller_id"),
         F.concat(F.lit("Vendedor "), n.cast("string")).alias("seller_name"),
-        _cycle(SELLER_REGIONS, n).alias("region"),
-        _cycle(SELLER_CHANNELS, n).alias("channel"),
+        _cycle(SELLER_REGIONS).alias("region"),
+        _cycle(SELLER_CHANNELS).alias("channel"),
         joined.alias("joined_at"),
         joined.alias("updated_at"),
     )
@@ -74,15 +74,15 @@ def seed_sellers(ids: DataFrame, anchor: datetime) -> DataFrame:
 def seed_customers(ids: DataFrame, anchor: datetime) -> DataFrame:
     n = F.col("n")
     return ids.select(
-        pad_key("CUS-", n, 5).alias("customer_id"),
+        pad_key("CUS-", "n", 5).alias("customer_id"),
         F.concat(F.lit("Cliente "), n.cast("string")).alias("full_name"),
         F.concat(F.lit("cliente"), n.cast("string"), F.lit("@example.com")).alias("email"),
         F.concat(F.lit("+34 6"), F.lpad((n * 7919 % 100000000).cast("string"), 8, "0")).alias("phone"),
-        _cycle(CITIES, n).alias("city"),
-        _cycle(CITY_REGIONS, n).alias("region"),
-        _cycle(SEGMENTS, n).alias("segment"),
-        _cycle(GENDERS, n).alias("gender"),
-        _cycle(AGE_BANDS, n).alias("age_band"),
+        _cycle(CITIES).alias("city"),
+        _cycle(CITY_REGIONS).alias("region"),
+        _cycle(SEGMENTS).alias("segment"),
+        _cycle(GENDERS).alias("gender"),
+        _cycle(AGE_BANDS).alias("age_band"),
         _ago(anchor, n % 400).alias("created_at"),
         _ago(anchor, n % 60).alias("updated_at"),
     )
@@ -92,14 +92,14 @@ def seed_products(ids: DataFrame, anchor: datetime, sellers: int = ROWS["sellers
     n = F.col("n")
     price = _price_cents(n)
     return ids.select(
-        pad_key("PRD-", n, 5).alias("product_id"),
-        pad_key("SKU-", n, 5).alias("sku"),
+        pad_key("PRD-", "n", 5).alias("product_id"),
+        pad_key("SKU-", "n", 5).alias("sku"),
         F.concat(F.lit("Producto "), n.cast("string")).alias("product_name"),
-        _cycle(SEED_CATEGORIES, n).alias("category"),
+        _cycle(SEED_CATEGORIES).alias("category"),
         F.concat(F.lit("Marca "), ((n - 1) % 12 + 1).cast("string")).alias("brand"),
         _money(price).alias("unit_price"),
         _money(_half_up(price * 62, 100)).alias("cost_amount"),
-        pad_key("SEL-", (n - 1) % sellers + 1, 3).alias("seller_id"),
+        pad_key("SEL-", f"(n - 1) % {sellers} + 1", 3).alias("seller_id"),
         (n % 17 != 0).alias("is_active"),
         _ago(anchor, n % 300).alias("created_at"),
         _ago(anchor, n % 45).alias("updated_at"),
@@ -143,11 +143,11 @@ def seed_orders(
     totals = _lines(ids, products).groupBy("n").agg(F.sum(net).alias("net"))
     moment = _ago(anchor, n % 120, n % 11)
     return totals.select(
-        pad_key("ORD-", n, 6).alias("order_id"),
-        pad_key("CUS-", n * 37 % customers + 1, 5).alias("customer_id"),
+        pad_key("ORD-", "n", 6).alias("order_id"),
+        pad_key("CUS-", f"n * 37 % {customers} + 1", 5).alias("customer_id"),
         moment.alias("order_ts"),
-        _cycle(ORDER_STATUSES, n).alias("status"),
-        _cycle(ORDER_CHANNELS, n).alias("channel"),
+        _cycle(ORDER_STATUSES).alias("status"),
+        _cycle(ORDER_CHANNELS).alias("channel"),
         _money(_half_up(F.col("net"), 1000)).alias("total_amount"),
         moment.alias("created_at"),
         moment.alias("updated_at"),
@@ -158,7 +158,7 @@ def seed_payments(ids: DataFrame, orders: DataFrame) -> DataFrame:
     """One payment per numbered order that exists."""
     n, status = F.col("n"), F.col("status")
     paid_at = F.col("order_ts") + F.expr("interval 2 hours")
-    joined = ids.withColumn("order_id", pad_key("ORD-", n, 6)).join(
+    joined = ids.withColumn("order_id", pad_key("ORD-", "n", 6)).join(
         orders.select("order_id", "order_ts", "status", "total_amount"), "order_id"
     )
     verdict = (
@@ -169,10 +169,10 @@ def seed_payments(ids: DataFrame, orders: DataFrame) -> DataFrame:
     )
     void = status.isin("cancelled", "refunded")
     return joined.select(
-        pad_key("PAY-", n, 6).alias("payment_id"),
+        pad_key("PAY-", "n", 6).alias("payment_id"),
         "order_id",
         paid_at.alias("paid_at"),
-        _cycle(PAYMENT_METHODS, n).alias("payment_method"),
+        _cycle(PAYMENT_METHODS).alias("payment_method"),
         F.when(void, F.lit(0)).otherwise(F.col("total_amount")).cast("decimal(12,2)").alias("paid_amount"),
         verdict.alias("payment_status"),
         paid_at.alias("updated_at"),
@@ -184,12 +184,12 @@ def seed_support_tickets(
 ) -> DataFrame:
     n = F.col("n")
     return ids.select(
-        pad_key("TCK-", n, 5).alias("ticket_id"),
-        pad_key("CUS-", n * 37 % customers + 1, 5).alias("customer_id"),
-        pad_key("ORD-", n * 13 % orders + 1, 6).alias("order_id"),
+        pad_key("TCK-", "n", 5).alias("ticket_id"),
+        pad_key("CUS-", f"n * 37 % {customers} + 1", 5).alias("customer_id"),
+        pad_key("ORD-", f"n * 13 % {orders} + 1", 6).alias("order_id"),
         _ago(anchor, n % 120, n % 9).alias("opened_at"),
-        _cycle(TICKET_TOPICS, n).alias("topic"),
-        _cycle(TICKET_PRIORITIES, n).alias("priority"),
-        _cycle(TICKET_STATUSES, n).alias("status"),
+        _cycle(TICKET_TOPICS).alias("topic"),
+        _cycle(TICKET_PRIORITIES).alias("priority"),
+        _cycle(TICKET_STATUSES).alias("status"),
         _ago(anchor, n % 120).alias("updated_at"),
     )
