@@ -66,7 +66,12 @@ class Marts:
     dim_seller: DataFrame
     fct_orders: DataFrame
     fct_payments: DataFrame
-    customer_features: DataFrame
+    tickets: DataFrame
+    as_of: date
+
+    def customer_features(self, fact: DataFrame | None = None) -> DataFrame:
+        """Features from `fact`; give the stored fact so that its joins do not run again."""
+        return marts.customer_features(self.fct_orders if fact is None else fact, self.tickets, self.as_of)
 
 
 def build_marts(
@@ -83,7 +88,6 @@ def build_marts(
     s = marts.silver(entities)
     calendar = marts.dim_date(spark, as_of, start)
     lookup = marts.category_map(spark) if categories is None else categories
-    sales = marts.sales_lines(s["orders"], s["order_items"], calendar)
     return Marts(
         calendar,
         marts.dim_customer(s["customers"], s["orders"]),
@@ -91,7 +95,8 @@ def build_marts(
         marts.dim_seller(s["sellers"], s["products"], as_of),
         marts.fct_orders(s["orders"], s["order_items"], s["products"], calendar),
         marts.fct_payments(s["payments"], s["orders"], calendar),
-        marts.customer_features(sales, s["support_tickets"], as_of),
+        s["support_tickets"],
+        as_of,
     )
 
 
@@ -112,7 +117,10 @@ def store_marts(planned: Marts, database: str = "default") -> dict[str, DataFram
     """Full rebuild of all marts as tables; returns the stored tables."""
     stored = {}
     for name, sort_by in LAYOUT.items():
-        df = getattr(planned, name)
+        if name == "customer_features":
+            df = planned.customer_features(stored["fct_orders"])
+        else:
+            df = getattr(planned, name)
         if name == "fct_orders":
             df = df.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
         if name == "fct_payments":

@@ -10,6 +10,7 @@ from tidemark import contracts
 from tidemark.functions.columns import has_text
 from tidemark.operators import quality
 from tidemark.plans.jobs import check_marts
+from tidemark.plans.marts import customer_features
 from tidemark.registry.core import query
 from tidemark.registry.ctes import AS_OF
 from tidemark.registry.marts import Planned
@@ -248,8 +249,14 @@ def _contract_sql() -> str:
 
 def verdicts(b) -> DataFrame:
     """Contract verdicts over stored marts, as the checks read them more than once."""
-    p, names = Planned(b), [c.table.split(".")[1] for c in contracts.CONTRACTS]
-    stored = {name: settle(table(p, name), name) for name in names}
+    p = Planned(b)
+    fact = settle(p.fct_orders(), "fct_orders")
+    features = customer_features(fact, p.stg("support_tickets"), b.as_of)
+    stored = {
+        "fct_orders": fact,
+        "dim_customer": settle(p.dim_customer(), "dim_customer"),
+        "customer_features": settle(features, "customer_features"),
+    }
     return check_marts(stored, b.as_of)
 
 
