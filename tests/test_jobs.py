@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import churn
 from tidemark.operators.staging import STAGING
 from tidemark.plans import jobs
+from tidemark.registry.marts import Planned
 from tidemark.sources.adapter import AS_OF, Bronze
 
 SF = "/root/testdata/sf0.001"
@@ -74,6 +75,23 @@ def test_train_and_score(spark, stored, tmp_path):
         jobs.train_churn(frames["customer_features"].limit(0), TINY)
 
 
+def test_incremental_fact_equals_a_rebuild(spark, tmp_path, rows):
+    p = Planned(Bronze(spark, SF))
+    path, cutoff = str(tmp_path / "fact"), date(2001, 6, 1)
+
+    def build(last):
+        def upto(since):
+            month = F.date_format("order_date", "yyyy-MM").alias("month")
+            return p.fct_orders(since, last=last).select("order_id", "product_id", "order_date", "line_total", month)
+
+        return upto
+
+    steps = [jobs.refresh_fact(spark, path, build(day), ["order_id"], "month", "order_date") for day in (cutoff, AS_OF, AS_OF)]
+    assert steps[0] is None and steps[1] <= cutoff < steps[2]
+    columns = ["order_id", "product_id", "order_date", "line_total", "month"]
+    assert rows(spark.read.parquet(path), *columns) == rows(build(AS_OF)(None), *columns)
+
+
 def source(spark, *table):
     return spark.createDataFrame(list(table), "k int, v string, updated_at timestamp")
 

@@ -76,7 +76,6 @@ def no_broadcast(spark):
     yield
     for k in conf:
         spark.conf.unset(k)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "32m")
 
 
 def final_plan(df):

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.operators.merge import insert_ignore
+from tidemark.session import settle
 
 CHUNK_TOKENS = 800
 CHUNK_STEP = 680  # 15 % overlap
@@ -109,7 +110,7 @@ def vector_topk(
 def topk_by_payload(vectors: DataFrame, queries: DataFrame, payload: str, k: int = 5, id_col: str = "vec_id") -> DataFrame:
     """Top-k inside each payload value, for one query per payload value.
 
-    `queries` has columns (payload, query_id, query, query_norm). Every task keeps only its own k best rows per
+    `queries` has columns (payload, query_id, query, query_norm), see `first_of_payload`. Every task keeps only its own k best rows per
     payload value before the shuffle (window group limit), so a value holding a third of the
     collection sends k rows per task, not its whole group.
     """
@@ -124,10 +125,17 @@ def topk_by_payload(vectors: DataFrame, queries: DataFrame, payload: str, k: int
 
 
 def first_of_payload(vectors: DataFrame, payload: str, id_col: str = "vec_id") -> DataFrame:
-    """The smallest id of each payload value as that value's query."""
-    first = vectors.groupBy(payload).agg(F.min(F.struct(F.col(id_col).alias("id"), F.col("embedding").alias("v"))).alias("f"))
-    query = F.col("f.v")
-    return first.select(payload, F.col("f.id").alias("query_id"), query.alias("query"), F.sqrt(dot(query, query)).alias("query_norm"))
+    """The vector of the smallest id of each payload value, as that value's query.
+
+    Ids are found without reading vectors; both steps are settled, so that their joins with the
+    collection know how few rows they bring and need not shuffle it.
+    """
+    first = settle(vectors.groupBy(payload).agg(F.min(id_col).alias(id_col)), "first-ids")
+    query = F.col("embedding")
+    chosen = vectors.join(first, [payload, id_col]).select(
+        payload, F.col(id_col).alias("query_id"), query.alias("query"), F.sqrt(dot(query, query)).alias("query_norm")
+    )
+    return settle(chosen, "first-vectors")
 
 
 MAX_QUESTIONS = 64

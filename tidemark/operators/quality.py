@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -127,10 +128,7 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check], as_of: dateti
         if is_unique_check(check):
             counted = surplus_rows(df, check.columns)
             parts.append(counted.select(F.inline(F.array(_verdict(check, table, F.col("violations"))))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(DataFrame.unionByName, parts, df.sparkSession.createDataFrame([], RESULT_SCHEMA))
 
 
 def contract_checks(contract: Contract, present: Sequence[str]) -> list[Check]:
@@ -214,15 +212,15 @@ def source_freshness(
     sources: dict[str, DataFrame], as_of: datetime | date, column: str = "updated_at", warn_hours: int = 24, error_hours: int = 48
 ) -> DataFrame:
     """Newest row of each source against a warning and an error age."""
-    out: DataFrame | None = None
-    for name, df in sources.items():
-        one = df.agg(minutes_late(column, as_of).alias("minutes_late")).select(F.lit(name).alias("source"), "minutes_late")
-        out = one if out is None else out.unionByName(one)
+    ages = [
+        df.agg(minutes_late(column, as_of).alias("minutes_late")).select(F.lit(name).alias("source"), "minutes_late")
+        for name, df in sources.items()
+    ]
     late = F.col("minutes_late")
     status = (
         F.when(late.isNull() | (late > error_hours * 60), "error").when(late > warn_hours * 60, "warn").otherwise("pass")
     )
-    return out.withColumn("status", status)
+    return reduce(DataFrame.unionByName, ages).withColumn("status", status)
 
 
 def daily_orders(sales: DataFrame) -> DataFrame:
@@ -248,7 +246,10 @@ def anomaly_volume(sales: DataFrame, as_of: date, days: int = 30, factor: float
 
 
 def volume_7d(sales: DataFrame, tolerance_percent: int = 20, days: int = 7) -> DataFrame:
-    """Each day against the mean of the previous `days` days; one row per day reaches the window."""
+    """Each day against the mean of the previous `days` days.
+
+    The window runs in one task, over one row per calendar day.
+    """
     daily = daily_orders(sales)
     before = Window.orderBy("order_date").rowsBetween(-days, -1)
     total, n = F.sum("orders_count").over(before), F.count("orders_count").over(before)

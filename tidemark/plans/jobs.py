@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import partial, reduce
@@ -130,6 +131,27 @@ def store_marts(planned: Marts, database: str = "default") -> dict[str, DataFram
     return stored
 
 
+def refresh_fact(
+    spark: SparkSession,
+    path: str,
+    build: Callable[[date | None], DataFrame],
+    keys: list[str],
+    partition: str,
+    business_day: str,
+) -> date | None:
+    """Incremental delete+insert of a fact stored at `path`; returns the day it restarted from.
+
+    `build(since)` gives the rows from the last loaded business day on (everything on the first
+    load). That day is a literal, so it prunes the source. Changes to older rows are not seen: build
+    by arrival date to catch them.
+    """
+    tables.finish_publish(spark, path)
+    loaded = any(n.startswith(f"{partition}=") for n in Files(spark, path).names(path))
+    since = tables.high_water(spark.read.parquet(path), business_day) if loaded else None
+    tables.upsert(build(since), path, keys, partition, partial(merge.delete_insert, keys=keys))
+    return since
+
+
 def check_marts(stored: dict[str, DataFrame], as_of: datetime | date) -> DataFrame:
     """Contract verdicts of the three contracted marts."""
     parts = [quality.validate(stored[c.table.split(".")[1]], c, as_of) for c in contracts.CONTRACTS]
@@ -138,7 +160,6 @@ def check_marts(stored: dict[str, DataFrame], as_of: datetime | date) -> DataFra
 
 def check_stored(spark: SparkSession, as_of: datetime | date, database: str = "default") -> DataFrame:
     """`check_marts` over stored tables; a table that is not there fails its contract."""
-    missing = quality.RESULT_SCHEMA
     parts = []
     for contract in contracts.CONTRACTS:
         table = f"{database}.{contract.table.split('.')[1]}"
@@ -146,7 +167,7 @@ def check_stored(spark: SparkSession, as_of: datetime | date, database: str = "d
             parts.append(quality.validate(spark.table(table), contract, as_of))
         else:
             row = (contract.table, f"{contract.table}_existe", "existe", quality.CRITICAL, False, None)
-            parts.append(spark.createDataFrame([row], missing))
+            parts.append(spark.createDataFrame([row], quality.RESULT_SCHEMA))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # AQE sizes shuffle partitions from real bytes, splits skewed join sides and rebalanced write
-# partitions, and swaps in a broadcast only after it has measured the side. Broadcasts by plan
-# estimate stay under the threshold below.
+# partitions, and swaps in a broadcast only after it has measured the side. The broadcast threshold
+# stays at Spark's default: file sizes are compressed, so a larger one would ship far more memory.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -17,7 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
     # Python call sites in error messages cost several JVM round trips per column expression.

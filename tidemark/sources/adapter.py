@@ -49,13 +49,14 @@ class Bronze:
 
     def raw(self, table: str) -> DataFrame:
         """A benchmark table. A small one comes as one row group, which one task would read and
-        project alone, so its rows are spread over the cores; large tables split by themselves."""
+        project alone, so its rows are spread over the cores by its leading columns; large tables
+        split by themselves."""
         if table not in self._raw:
             path = f"{self.base}/{table}.parquet"
             df = self.spark.read.parquet(path)
             cores = self.spark.sparkContext.defaultParallelism
             small = SPREAD_FROM <= Files(self.spark, path).size(path) <= SPREAD_TO
-            self._raw[table] = df.repartition(cores) if small and cores > 1 else df
+            self._raw[table] = df.repartition(cores, *df.columns[:2]) if small and cores > 1 else df
         return self._raw[table]
 
     def _ago(self, days: str) -> str:
