@@ -2,6 +2,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
+from tidemark.schemas import DDL
 from tidemark.sources import bronze
 from tidemark.sources.adapter import Bronze
 from tidemark.streaming.bronze_stream import stream_upsert
@@ -59,6 +60,17 @@ def test_scan_prunes_partitions_and_types_dt(spark, tmp_path):
     assert len(one.inputFiles()) >= 1
 
 
+def test_every_entity_lands_in_its_declared_types(spark, tmp_path):
+    b = Bronze(spark, SF)
+    for entity, declared in DDL.items():
+        path = str(tmp_path / entity)
+        small = bronze.as_declared(b.entity(entity), entity).where(F.crc32(F.col("dt").cast("string")) % 50 == 0)
+        bronze.write_partitions(small, path)
+        back = bronze.scan(spark, path, entity)
+        assert back.columns == [c.split()[0] for c in declared.split(", ")] + ["dt"]
+        assert bronze.content_checksum(back).first() == bronze.content_checksum(small).first()
+
+
 def test_path_date(spark, tmp_path, rows):
     path = str(tmp_path / "l")
     bronze.write_partitions(timed(spark, [(1, None, date(2024, 1, 1))]), path)

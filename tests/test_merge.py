@@ -37,6 +37,11 @@ def test_insert_ignore_leaves_the_target_alone(spark, rows):
     assert rows(merge.insert_ignore(target, batch, ["k"])) == [(1, "a"), (2, "y")]
 
 
+def test_frames_of_keys_only(spark, rows):
+    target, batch = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([(1,), (2,), (2,)], "k int")
+    assert rows(merge.insert_ignore(target, batch, ["k"])) == [(1,), (2,)]
+
+
 def test_left_any_join_keeps_the_grain(spark, rows):
     left = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     right = spark.createDataFrame([(2, 0, "old"), (2, 1, "new"), (3, 0, "only")], "k int, cur int, v string")

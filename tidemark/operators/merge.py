@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, functions as F
 def pick_one(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One whole row per key: the largest by `order`, then by the remaining columns."""
     rest = [c for c in df.columns if c not in keys and c not in order]
+    if not [*order, *rest]:
+        return df.distinct()
     best = F.max(F.struct(*order, *rest)).alias("_best")
     return df.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*df.columns)
 

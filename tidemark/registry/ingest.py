@@ -31,7 +31,7 @@ def audit(b: Bronze) -> DataFrame:
 def landed(b: Bronze, entity: str, name: str) -> str:
     """Writes a Bronze entity by `dt` to the shared scratch folder; returns its path."""
     path = scratch_path(b.spark, name)
-    bronze.write_partitions(b.entity(entity), path)
+    bronze.write_partitions(bronze.as_declared(b.entity(entity), entity), path)
     return path
 
 
@@ -168,7 +168,7 @@ def retention_keep(b):
 def bronze_stream_upsert(b):
     """Two runs of the stream: the first load, then a day on which every third product changed."""
     source, target, state = (scratch_path(b.spark, f"stream-{part}") for part in ("source", "target", "state"))
-    first = b.products().withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+    first = bronze.as_declared(b.products(), "products")
     schema = bronze_schema("products")
 
     def run() -> None:

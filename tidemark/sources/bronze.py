@@ -69,6 +69,11 @@ def audit_latest(audit: DataFrame, n: int = 5) -> DataFrame:
     return audit.orderBy(F.desc("dt"), "entity").limit(n)
 
 
+def as_declared(df: DataFrame, entity: str) -> DataFrame:
+    """The entity's declared columns in their declared types, plus `dt`."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in bronze_schema(entity).fields])
+
+
 def write_partitions(df: DataFrame, path: str, partition: str = "dt") -> None:
     """Replaces exactly the partitions present in `df`; a second run changes nothing.
 

@@ -116,6 +116,7 @@ def upsert(
     """Merges `batch` into the partitioned table at `path`, rewriting only the partitions it touches.
 
     `merge(target, batch)` gets the rows of those partitions, e.g. `delete_insert` or `merge_latest`.
+    The partition column is text, a date or a whole number.
     """
     spark = batch.sparkSession
     fs = Files(spark, path)
