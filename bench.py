@@ -76,6 +76,7 @@ def main() -> None:
         return time.perf_counter() - start
 
     run("gold_totals")
+    scale = Path(sf_dir).name.removeprefix("sf")
     seconds = {key: round(min(run(key) for _ in range(2)), 3) for key in keys}
     print(
         json.dumps(
@@ -84,7 +85,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
-                "sf": float(Path(sf_dir).name.removeprefix("sf") or 0),
+                "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale,
             }
         )
     )
