@@ -1,0 +1,136 @@
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from tidemark.llm import simhash
+from tidemark.llm.components import components
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def slow_fingerprint(text, n):
+    words = (text or "").translate(LOWER).encode().split()
+    shingles = [b" ".join(words[i : i + n]) for i in range(len(words) - n + 1)] or [b" ".join(words)] * bool(words)
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_groups(points, radius):
+    """Smallest reachable id for (id, fingerprint) rows, by all pairs."""
+    ids, fps = zip(*points)
+    label = list(range(len(points)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(points)):
+        for j in range(i):
+            if bin(fps[i] ^ fps[j]).count("1") <= radius:
+                a, b = find(i), find(j)
+                label[max(a, b)] = min(a, b)
+    least = defaultdict(lambda: None)
+    for i, d in enumerate(ids):
+        r = find(i)
+        least[r] = d if least[r] is None else least[r] if d is None else min(d, least[r])
+    return sorted(((d, f"{f:016x}", least[find(i)]) for i, (d, f) in enumerate(points)), key=str)
+
+
+def test_whole_operator_against_brute_force(edge, edge_list):
+    want = slow_groups([(d, slow_fingerprint(t, 4)) for d, t, *_ in edge_list], 4)
+    assert sorted(map(tuple, simhash.near_groups(edge).collect()), key=str) == want
+
+
+def planted(rnd, centres=8, each=60, flips=3):
+    out = set()
+    for c in rnd.integers(0, 2**63, centres, dtype=np.uint64):
+        for _ in range(each):
+            x = int(c)
+            for b in rnd.choice(64, rnd.integers(0, flips + 1), replace=False):
+                x ^= 1 << int(b)
+            out.add(x)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("bucket", [4096, 8])
+def test_links_lose_no_chain_in_small_and_large_buckets(spark, bucket):
+    fps = planted(np.random.default_rng(5))
+    rows = [(x - 2**64 if x >= 2**63 else x) for x in fps]
+    table = spark.createDataFrame([(x, x) for x in rows], "id long, f0 long")
+    found = simhash.groups(table.select(F.col("id").alias("doc_id"), "f0"), ["f0"], lambda t: simhash.link_exact(t, 4, 7, bucket))
+    have = defaultdict(set)
+    for r in found.collect():
+        have[r.component_id].add(r.doc_id)
+    want = defaultdict(set)
+    for d, _, c in slow_groups(list(zip(rows, fps)), 4):
+        want[c].add(d)
+    assert sorted(map(sorted, have.values())) == sorted(map(sorted, want.values()))
+
+
+def test_hot_bucket_gives_no_more_links_than_members(spark):
+    fps = planted(np.random.default_rng(6), centres=1, each=400, flips=2)
+    table = spark.createDataFrame([(x - 2**64 if x >= 2**63 else x,) * 2 for x in fps], "id long, f0 long")
+    assert simhash.link_exact(table, 4, 7).count() <= 35 * len(fps)
+
+
+def test_near_dedup_keeps_one_of_each_group(spark):
+    rnd = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(3000)]
+    rows, group = [], {}
+    for g in range(60):
+        base = list(rnd.choice(words, 200))
+        for c in range(4):
+            text = list(base)
+            for at in rnd.choice(200, 2 * (c > 0), replace=False):
+                text[at] = str(rnd.choice(words))
+            rows.append((len(rows), " ".join(text), 0))
+            group[len(rows) - 1] = g
+    rows += [rows[-1], (None, rows[0][1], 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, f0 int")
+    kept = simhash.near_dedup(docs)
+    assert kept.columns == docs.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert {group[i] for i in ids} == set(range(60))
+    assert len(ids) <= 63
+
+
+@pytest.mark.parametrize("bucket", [4096, 4])
+def test_wide_links_find_pairs_at_the_threshold(spark, bucket):
+    rnd = np.random.default_rng(8)
+    radius = simhash.radius_for(0.8, 128)
+    rows, n = [], 400
+    for i in range(n):
+        bits = rnd.integers(0, 2, 128)
+        other = bits.copy()
+        other[rnd.choice(128, radius, replace=False)] ^= 1
+        for j, b in enumerate((bits, other)):
+            f = np.packbits(b).view(">i8")
+            rows.append((2 * i + j, int(f[0]), int(f[1])))
+    table = spark.createDataFrame(rows, "id long, f0 long, f1 long")
+    masks, finer = simhash.block_masks(128, 32, 6, 96), simhash.block_masks(128, 32, 3, 16, seed=2)
+    links = {(min(a, b), max(a, b)) for a, b in simhash.link_wide(table, radius, masks, finer, bucket).collect()}
+    assert all(a // 2 == b // 2 for a, b in links)
+    assert len(links) >= 0.8 * n  # the farthest pairs that count; nearer ones meet more often
+
+
+def test_every_choice_of_blocks_covers_the_radius():
+    masks = [m[0] % 2**64 for m in simhash.block_masks(64, 7, 3)]
+    rnd = np.random.default_rng(9)
+    for _ in range(500):
+        d = sum(1 << int(b) for b in rnd.choice(64, 4, replace=False))
+        assert any(d & m == 0 for m in masks)
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(40)] + [(100, 105), (105, 103), (7, 7), (200, 201), (201, 200), (None, 3)]
+    out = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert out == {i: 0 for i in range(41)} | {100: 100, 103: 100, 105: 100, 200: 200, 201: 200}
+
+
+def test_empty_table(no_docs):
+    assert simhash.near_groups(no_docs).count() == 0
+    assert simhash.near_dedup(no_docs).count() == 0
