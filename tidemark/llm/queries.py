@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, simhash
+from tidemark.llm import chat, exact_dedup, mixing, packing, simhash, topk
 from tidemark.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,63 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.plan(read(spark, sf_dir, "documents")).drop("key")
+
+
+@query(
+    """
+    WITH rows AS (SELECT DISTINCT vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+    parts AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM rows),
+    bad AS (SELECT DISTINCT vec_id FROM parts WHERE x IS NULL OR NOT isfinite(x)),
+    v AS (
+        SELECT vec_id, i, CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+        FROM parts WHERE vec_id NOT IN (SELECT vec_id FROM bad)
+    ),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+        FROM v AS q JOIN v AS c ON q.i = c.i AND q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id
+        GROUP BY q.vec_id, c.vec_id
+    ),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """
+)
+def op10_max_score_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.settle(topk.usable(read(spark, sf_dir, "embeddings")), "integer_vectors")
+    return topk.top_k(vectors, vectors.where("id % 20 = 0"))
+
+
+@query(
+    r"""
+    WITH turns AS (
+        SELECT conv_id, CASE WHEN role IS NULL OR trim(role) = '' THEN 'unknown' ELSE role END AS speaker,
+               coalesce(text, '') AS text,
+               row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, role, text) - 1 AS place
+        FROM conversations
+    ),
+    people AS (SELECT DISTINCT conv_id, speaker AS me FROM turns WHERE speaker <> 'system'),
+    seen AS (
+        SELECT t.conv_id, p.me, t.place, t.place // 64 AS part, t.speaker = p.me AS mine,
+               '<|im_start|>' || CASE WHEN t.speaker = p.me THEN 'assistant' WHEN t.speaker = 'system' THEN 'system'
+                                      ELSE 'user name=' || t.speaker END || chr(10) AS head,
+               replace(t.text, '<|', '<' || chr(8203) || '|') || '<|im_end|>' || chr(10) AS body
+        FROM turns AS t JOIN people AS p ON t.conv_id IS NOT DISTINCT FROM p.conv_id
+    ),
+    sized AS (
+        SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, me, part ORDER BY place) AS upto FROM seen
+    ),
+    parts AS (
+        SELECT conv_id, me AS speaker, part, count(*) AS n_turns, sum(length(head) + length(body)) AS n_chars,
+               sha256(string_agg(head || body, '' ORDER BY place)) AS text_sha256,
+               coalesce(string_agg((upto - length(body)) || '-' || (upto - 1), ',' ORDER BY place) FILTER (WHERE mine), '') AS spans
+        FROM sized GROUP BY conv_id, me, part
+    )
+    SELECT conv_id, speaker, part,
+           CAST(sum(n_chars) OVER (PARTITION BY conv_id, speaker ORDER BY part) - n_chars AS BIGINT) AS "offset",
+           n_turns, text_sha256, spans
+    FROM parts
+    """
+)
+def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turned = chat.rotate(read(spark, sf_dir, "conversations"))
+    spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
+    return turned.select("conv_id", "speaker", "part", "offset", "n_turns", F.sha2("text", 256).alias("text_sha256"), spans.alias("spans"))

@@ -290,7 +290,7 @@ def near_dedup(
     similarity: float = 0.8,
     width: int = 128,
     keys: int = 96,
-    key_bits: int = 24,
+    key_bits: int = 20,
     text: str = "text",
     doc_id: str = "doc_id",
 ) -> DataFrame:
