@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact_dedup, mixing, packing, simhash
+from tidemark.llm import exact_dedup, language, mixing, packing, simhash
 from tidemark.llm.common import crc_mod, read, settle
 
 
+LEAST_SCORE = 0.4
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in one of the languages that the labels name; those without letters or a clear language go."""
+    columns = docs.columns
+    model = language.learn(docs, crc_mod(F.col("doc_id"), 4) != 2)
+    told = language.identify(docs.withColumn("_text", F.col("text")), model)
+    told = told.withColumnRenamed("_text", "text")
+    return told.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*columns)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
     return exact_dedup.keep(docs, crc_mod(F.col("doc_id"), 2) == 0)
@@ -29,6 +41,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("language_id", known_language),
     ("exact_dedup", drop_copies),
     ("simhash_near_dedup", drop_near_copies),
     ("source_mixing", mix_sources),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, exact_dedup, mixing, packing, simhash, topk
+from tidemark.llm import chat, exact_dedup, language, mixing, packing, simhash, topk
 from tidemark.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,6 +48,14 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.drop("in_history")
 
 
+@query()
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = read(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = language.learn(documents, ~held_out)
+    return language.identify(documents.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
 @query()
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.plan(read(spark, sf_dir, "documents")).drop("key")
