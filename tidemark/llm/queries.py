@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, exact_dedup, language, mixing, packing, simhash, topk
+from tidemark.llm import chat, exact_dedup, language, mixing, packing, quality, simhash, topk, toxicity
 from tidemark.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,18 @@ def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     turned = chat.rotate(read(spark, sf_dir, "conversations"))
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
     return turned.select("conv_id", "speaker", "part", "offset", "n_turns", F.sha2("text", 256).alias("text_sha256"), spans.alias("spans"))
+
+
+@query()
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    known = labels.where(~held_out & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.fit(documents.select("doc_id", "text").join(known, "doc_id"))
+    scored = toxicity.score(documents.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query()
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"))
