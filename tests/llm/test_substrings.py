@@ -1,0 +1,94 @@
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from tidemark.llm import substrings
+
+
+def brute(rows, length):
+    """Removes bytes by looking every string of `length` bytes up in a table of all of them."""
+    texts = [(t or "").encode() for _, t in rows]
+    seen = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for (d, _), t in zip(rows, texts):
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                gone[i : i + length] = True
+        edges = np.flatnonzero(np.diff(gone.astype(int), prepend=0, append=0)).reshape(-1, 2)
+        out.append((d, len(t), [tuple(map(int, e)) for e in edges], np.frombuffer(t, np.uint8)[~gone].tobytes()))
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted(((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in df.collect()), key=str)
+
+
+def corpus(seed, alphabet, n=60, longest=120):
+    rnd = random.Random(seed)
+    say = lambda k: "".join(rnd.choice(alphabet) for _ in range(k))
+    passages = [say(rnd.randint(8, 40)) for _ in range(6)]
+    rows = []
+    for i in range(n):
+        parts = [say(rnd.randint(0, longest // 3)) for _ in range(3)]
+        for _ in range(rnd.choice([0, 0, 1, 2])):
+            parts.insert(rnd.randrange(4), rnd.choice(passages))
+        rows.append((i, "".join(parts)))
+    rows += [(900, None), (901, ""), (902, "abc"), rows[3], (None, rows[4][1]), (903, "ab" * 300), (904, passages[0]), (905, rows[5][1][:-1] + "q")]
+    return rows
+
+
+SHAPES = [dict(length=12, period=7, chunk=64, names=8), dict(length=12, period=7, chunk=10**6, names=10**6), dict(length=20, period=13, chunk=500, names=50), dict(length=31, period=31, chunk=300, names=20)]
+
+
+@pytest.mark.parametrize("shape", SHAPES)
+@pytest.mark.parametrize("alphabet", ["ab", "abcdeéß日"])
+def test_matches_brute_force(spark, shape, alphabet):
+    rows = corpus(len(alphabet), alphabet)
+    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, chunk int, blob string").repartition(4)
+    assert got(substrings.remove_repeats(docs, **shape)) == brute(rows, shape["length"])
+
+
+def test_production_length(spark):
+    rnd = random.Random(9)
+    base = [" ".join("".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(rnd.randint(20, 200))) for _ in range(40)]
+    rows = list(enumerate(base))
+    for i in range(40, 90):  # near copies, and passages at any shift
+        t = rnd.choice(base)
+        k = rnd.randrange(len(t))
+        rows.append((i, rnd.choice([t[:k] + "#" + t[k:], rnd.choice(base)[: rnd.randrange(90)] + t[k : k + 350], t])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert got(substrings.remove_repeats(docs, chunk=20_000, names=500)) == brute(rows, 200)
+
+
+def test_blocks_of_a_long_text_agree(monkeypatch):
+    text = np.random.default_rng(0).integers(0, 4, 5000).astype(np.uint8)
+    at = np.arange(0, 4900)
+    whole = substrings.Names(text).short(at, 50)
+    monkeypatch.setattr(substrings, "BLOCK", 777)
+    assert (substrings.Names(text).short(at, 50) == whole).all()
+    by_text = defaultdict(set)
+    for i, name in zip(at.tolist(), whole.tolist()):
+        by_text[text[i : i + 50].tobytes()].add(name)
+    assert all(len(v) == 1 for v in by_text.values()) and len(set(whole.tolist())) == len(by_text)
+
+
+def test_every_cover_covers():
+    for period, cover in substrings.COVERS.items():
+        assert {(a - b) % period for a in cover for b in cover} == set(range(period))
+
+
+def test_union():
+    rnd = np.random.default_rng(1)
+    start = np.sort(rnd.integers(0, 50, 20))
+    end = np.minimum(start + rnd.integers(1, 9, 20), 50)
+    want = np.zeros(50, bool)
+    for a, b in zip(start, end):
+        want[a:b] = True
+    assert (substrings.union(start, end, 50) == want).all()
+
+
+def test_empty_table(spark):
+    assert substrings.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0

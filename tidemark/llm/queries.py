@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, exact_dedup, language, mixing, packing, quality, simhash, topk, toxicity
+from tidemark.llm import chat, exact_dedup, language, mixing, packing, quality, simhash, substrings, topk, toxicity
 from tidemark.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,6 +121,15 @@ def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turned.select("conv_id", "speaker", "part", "offset", "n_turns", F.sha2("text", 256).alias("text_sha256"), spans.alias("spans"))
 
 
+@query()
+def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(read(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return cut.select(
+        "doc_id", "n_bytes", gone.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query()
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
