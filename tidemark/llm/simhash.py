@@ -28,6 +28,7 @@ from tidemark.llm.components import components
 
 BUCKET = 4096
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+WIDTH, KEYS, KEY_BITS = 128, 128, 20  # of the wide fingerprints
 CHUNK = 1 << 16  # shingles whose bits are counted at once
 
 
@@ -93,6 +94,11 @@ def block_masks(width: int, blocks: int, shared: int, keys: int | None = None, s
     return masks
 
 
+def wide_masks(width: int = WIDTH, keys: int = KEYS, key_bits: int = KEY_BITS) -> tuple[list, list]:
+    """Masks for `link_wide`: drawn choices of 4-bit blocks, and 12 bits more for large buckets."""
+    return block_masks(width, width // 4, key_bits // 4, keys), block_masks(width, width // 4, 3, 16, seed=2)
+
+
 def radius_for(similarity: float, width: int, slack: float = 0.5) -> int:
     """Bits that fingerprints of two shingle sets of this Jaccard similarity and like size differ in.
 
@@ -288,9 +294,9 @@ def near_dedup(
     documents: DataFrame,
     words: int = 5,
     similarity: float = 0.8,
-    width: int = 128,
-    keys: int = 96,
-    key_bits: int = 20,
+    width: int = WIDTH,
+    keys: int = KEYS,
+    key_bits: int = KEY_BITS,
     text: str = "text",
     doc_id: str = "doc_id",
 ) -> DataFrame:
@@ -301,8 +307,7 @@ def near_dedup(
     expected share of pairs found at each similarity is in the README. Of rows that repeat an id and a fingerprint one stays.
     """
     radius = radius_for(similarity, width)
-    masks = block_masks(width, width // 4, key_bits // 4, keys)
-    finer = block_masks(width, width // 4, 3, 16, seed=2)
+    masks, finer = wide_masks(width, keys, key_bits)
     names = [f"f{k}" for k in range(width // 64)]
     slim = documents.select(row_hash(documents).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     marked = settle(fingerprints(slim, words, width), "simhash_wide")

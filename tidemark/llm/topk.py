@@ -5,8 +5,8 @@ posting list; relative to the column's least (or, for a negative query weight, g
 contribution is nonnegative, so a term has a score bound: weight times the column's spread. For each
 query the terms are ordered by their bounds. The terms whose bounds together cannot lift a vector
 from the floor to the k-th best score so far are non-essential. Only essential lists are traversed for
-all vectors of a block; the other terms are probed, largest bound first, for the vectors that can
-still reach the k-th best score.
+all vectors of a block; the other terms are probed one by one, largest bound first, for the vectors
+that can still reach the k-th best score. Queries go through a shard in groups, as one product.
 
 Shards and blocks of queries have bounded numbers of rows and meet pair by pair, so neither side is
 broadcast. A shard gives at most k rows a query; these are merged by rank.
@@ -48,49 +48,65 @@ def matrix(column) -> np.ndarray:
     return out
 
 
-def _better(scores, ids, k):
-    """Order of the k best: higher score first, then smaller id."""
-    return np.lexsort((ids, -scores))[:k]
+def best_of(query: np.ndarray, score: np.ndarray, vec: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The k best (query, score, id) rows of each query, sorted: higher score first, then smaller id."""
+    order = np.lexsort((vec, -score, query))
+    query, score, vec = query[order], score[order], vec[order]
+    first = np.searchsorted(query, query)
+    keep = np.arange(len(query)) - first < k
+    return query[keep], score[keep], vec[keep]
 
 
-def max_score(query: np.ndarray, own: int, ids: np.ndarray, columns: np.ndarray, bounds: list, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(scores, ids) of the k best vectors of a shard for one query; `columns` is (dimensions, vectors).
+def max_score(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, columns: np.ndarray, bounds: list, k: int, seen=None):
+    """(query row, score, id) of the k best vectors of a shard for each query; `columns` is (dimensions, vectors).
 
     `bounds` lists each block's (start, end, least value, greatest value of every dimension). Numbers
-    are doubles while every possible score is exact in them, 64-bit integers otherwise.
+    are doubles while every possible score is exact in them, 64-bit integers otherwise. `seen` collects
+    how many (query, vector, term) products were made.
     """
-    top_s, top_i = np.empty(0, columns.dtype), np.empty(0, np.int64)
+    m, d = queries.shape
+    top_q, top_s, top_i = np.empty(0, np.int64), np.empty(0, columns.dtype), np.empty(0, np.int64)
+    least, full = np.zeros(m, columns.dtype), np.zeros(m, bool)  # the k-th best score, of queries that have k
+    rows = np.arange(m)[:, None]
     for start, end, low, high in bounds:
-        base = np.where(query > 0, low, high)
-        spread = np.abs(query) * (high - low)
-        order = np.argsort(spread, kind="stable")[::-1]
-        rest = np.concatenate([np.cumsum(spread[order][::-1])[::-1], [0]])  # bound of the terms from a rank on
-        floor = query @ base
-        full = len(top_s) == k
-        least = top_s[-1] if full else 0
-        # A vector that has only the bounds of non-essential terms above the floor cannot reach `least`.
-        essential = int(np.searchsorted(-(floor + rest), -least, side="right")) if full else len(order)
-        if full and essential == 0:
+        base = np.where(queries > 0, low, high)
+        spread = np.abs(queries) * (high - low)
+        order = np.argsort(-spread, axis=1, kind="stable")
+        rest = np.zeros((m, d + 1), columns.dtype)  # bound of the terms from a rank on
+        rest[:, :d] = np.cumsum(spread[rows, order][:, ::-1], axis=1)[:, ::-1]
+        floor = (queries * base).sum(1)
+        # Terms from rank `essential` on cannot lift a vector from the floor to the k-th best score.
+        able = (floor[:, None] + rest >= least[:, None]) | ~full[:, None]
+        essential = np.minimum(able.sum(1), d)
+        live = np.flatnonzero(able[:, 0])
+        if not len(live):
             continue
-        essential = min(essential, len(order))
-        terms = order[:essential]
-        score = floor - query[terms] @ base[terms] + query[terms] @ columns[terms, start:end]
-        at = np.arange(start, end)
-        done = essential
-        while True:
-            if full:
-                able = score + rest[done] >= least
-                at, score = at[able], score[able]
-            if done == len(order) or not len(at):
-                break
-            step = order[done : done + 4]
-            score = score + query[step] @ (columns[step][:, at] - base[step][:, None])
-            done += len(step)
-        other = ids[at] != own
-        s, i = np.concatenate([top_s, score[other]]), np.concatenate([top_i, ids[at][other]])
-        best = _better(s, i, k)
-        top_s, top_i = s[best], i[best]
-    return top_s, top_i
+        chosen = np.zeros((len(live), d), bool)
+        chosen[np.arange(len(live))[:, None], order[live]] = np.arange(d) < essential[live, None]
+        weights = np.where(chosen, queries[live], 0)
+        score = weights @ columns[:, start:end] + (floor[live] - (weights * base[live]).sum(1))[:, None]
+        hope = rest[live, essential[live]]
+        q, at = np.nonzero((score + hope[:, None] >= least[live, None]) | ~full[live, None])
+        score, q, at = score[q, at], live[q], at + start
+        done = essential[q]
+        if seen is not None:
+            seen.append(int(essential[live].sum()) * (end - start))
+        while (open_ := done < d).any():  # probe one more term for all that can still compete
+            term = order[q[open_], done[open_]]
+            score[open_] += queries[q[open_], term] * (columns[term, at[open_]] - base[q[open_], term])
+            done[open_] += 1
+            if seen is not None:
+                seen.append(int(open_.sum()))
+            stay = (score + rest[q, done] >= least[q]) | ~full[q]
+            q, at, score, done = q[stay], at[stay], score[stay], done[stay]
+        other = ids[at] != own[q]
+        parts = zip((top_q, top_s, top_i), (q[other], score[other], ids[at[other]]))
+        top_q, top_s, top_i = best_of(*[np.concatenate(p) for p in parts], k)
+        last = np.flatnonzero(np.diff(top_q, append=-1))  # each query's worst row so far
+        count = np.bincount(top_q, minlength=m)
+        full = count >= k
+        least[top_q[last]] = top_s[last]
+    return top_q, top_s, top_i
 
 
 PACKED = "part long, width int, kind string, ids binary, v binary"
@@ -116,7 +132,7 @@ def _unpack(row: dict, side: str) -> tuple[np.ndarray, np.ndarray]:
     return ids, v.reshape(len(ids), row[f"{side}width"])
 
 
-def _search(k: int, block: int):
+def _search(k: int, block: int, group: int = 256):
     names = ["query_id", "vec_id", "score"]
 
     def run(batches):
@@ -134,17 +150,11 @@ def _search(k: int, block: int):
                 for start in range(0, len(ids), block):
                     part = columns[:, start : start + block]
                     bounds.append((start, start + part.shape[1], part.min(1), part.max(1)))
-                found = [max_score(q, own, ids, columns, bounds, k) for own, q in zip(query_ids.tolist(), queries)]
-                sizes = [len(s) for s, _ in found]
-                if sum(sizes):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.repeat(query_ids, sizes)),
-                            pa.array(np.concatenate([i for _, i in found])),
-                            pa.array(np.concatenate([s for s, _ in found]).astype(np.int64)),
-                        ],
-                        names,
-                    )
+                for q in range(0, len(queries), group):
+                    who, score, vec = max_score(queries[q : q + group], query_ids[q : q + group], ids, columns, bounds, k)
+                    if len(who):
+                        found = [pa.array(query_ids[q : q + group][who]), pa.array(vec), pa.array(score.astype(np.int64))]
+                        yield pa.RecordBatch.from_arrays(found, names)
 
     return run
 
