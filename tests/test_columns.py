@@ -19,6 +19,17 @@ def test_money_drops_digits(spark, value, want):
     assert got == (None if want is None else Decimal(want))
 
 
+@pytest.mark.parametrize(
+    "value, want",
+    [
+        ("1.1599999996", "1.15"), ("-0.0099999999", "0.00"), ("-1.1599999996", "-1.15"), (" 12 ", "12.00"), ("1.999999999999999999999999", "1.99"),
+        ("1.5e1", "15.00"), (".5", "0.50"), ("abc", None), ("", None), ("9e30", None), ("-9999999999999999.999", "-9999999999999999.99"),
+    ],
+)
+def test_money_of_text(spark, value, want):
+    assert one(spark, c.money("x"), value, "string") == (None if want is None else Decimal(want))
+
+
 @pytest.mark.parametrize("value, want", [(1.15, "1.15"), (2.675, "2.67"), (-0.019, "-0.01")])
 def test_money_of_doubles(spark, value, want):
     assert one(spark, c.money("x"), value, "double") == Decimal(want)

@@ -85,8 +85,16 @@ def test_topk_by_payload(spark, rows):
 
 
 def test_retrieval_hits(spark, rows):
-    questions = [(1, 0, [1.0, 0.0]), (4, 0, [-1.0, 0.0])]
+    kinds = "query_id bigint, expected int, query array<float>, query_norm double"
+    questions = spark.createDataFrame([(1, 0, [1.0, 0.0], 1.0), (4, 0, [-1.0, 0.0], 1.0)], kinds)
     got = rows(kb.retrieval_hits(vectors(spark), questions, "label", 2), "query_id", "expected", "hit", "first_rank")
     assert got == [(1, 0, 1, 2), (4, 0, 1, 2)]
-    with pytest.raises(ValueError):
-        kb.retrieval_hits(vectors(spark), [], "label")
+    assert kb.retrieval_hits(vectors(spark), questions.limit(0), "label").count() == 0
+
+
+def test_many_questions_come_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(kb, "QUESTIONS", 3)
+    kinds = "query_id bigint, expected int, query array<float>, query_norm double"
+    asked = spark.createDataFrame([(100 + i, 0, [1.0, float(i)], math.sqrt(1 + i * i)) for i in range(10)], kinds)
+    got = kb.retrieval_hits(vectors(spark), asked, "label", 2).collect()
+    assert sorted(r.query_id for r in got) == list(range(100, 110))

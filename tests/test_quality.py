@@ -178,3 +178,8 @@ def test_reconcile_revenue_explains_the_gap(spark, rows):
     )
     r = quality.reconcile_revenue(orders, lines).first()
     assert (r.source_total, r.excluded_total, r.mart_total, r.repeated_total, r["diff"]) == (10, 7, 9, 20, 1)
+
+
+def test_a_late_table_has_no_failing_rows(spark):
+    df = spark.createDataFrame([(1,)], "x int")
+    assert quality.violations(df, quality.Check("freshness", ("x",))).count() == 0

@@ -106,10 +106,28 @@ def test_merge_latest_ignores_late_old_rows(spark, tmp_path, rows):
     assert read(spark, path, rows) == [(1, "b", "x"), (2, "a", "y")]
 
 
-def test_too_many_partitions_are_refused(spark, table, monkeypatch):
-    monkeypatch.setattr(tables, "MAX_TOUCHED", 1)
-    with pytest.raises(ValueError):
-        tables.upsert(frame(spark, [(1, "a", "x"), (2, "b", "y")]), table, ["k"], "p", MERGE)
+def test_another_writers_staged_run_is_left_alone(spark, table, rows):
+    """A run that is still being filled survives an upsert, and can commit after it."""
+    fs, filling = Files(spark, table), f"{table}/{tables.STAGED}/other"
+    frame(spark, [(9, "z", "w")]).write.partitionBy("p").parquet(f"{filling}/data")
+    tables.upsert(frame(spark, [(1, "A", "x")]), table, ["k"], "p", MERGE)
+    assert fs.exists(f"{filling}/data")
+    fs.make(f"{filling}/kept/p=w")
+    fs.make(f"{filling}/{tables.READY}/p=w")
+    assert tables.finish_publish(spark, table) == ["other"]
+    assert (9, "z", "w") in read(spark, table, rows) and (1, "A", "x") in read(spark, table, rows)
+
+
+def test_an_abandoned_run_is_dropped_after_its_lease(spark, table):
+    fs, left = Files(spark, table), f"{table}/{tables.STAGED}/old"
+    fs.make(f"{left}/data")
+    assert tables.finish_publish(spark, table, lease=0) == [] and not fs.exists(left)
+
+
+def test_fixed_partitions_are_replaced_without_a_scan_of_the_rest(spark, table, rows):
+    tables.upsert(frame(spark, [(2, "B", "x"), (7, "n", "new")]), table, ["k"], "p", MERGE, moving=False)
+    got = read(spark, table, rows)
+    assert (2, "B", "x") in got and (7, "n", "new") in got and (3, "c", "y") in got
 
 
 def test_drop_old_partitions(spark, tmp_path, rows):

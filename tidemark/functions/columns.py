@@ -67,10 +67,16 @@ def email_digest(c: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Decimal(18,2), dropping further digits toward zero instead of rounding."""
-    exact = _col(c).cast(T.DecimalType(38, 6))
-    units = F.floor(F.abs(exact) * 100).cast(T.DecimalType(18, 0)) * cent()
-    return F.when(exact < 0, -units).otherwise(units).cast(MONEY)
+    """Decimal(18,2), dropping further digits toward zero instead of rounding.
+
+    The digits are cut as text, before any type could round them. NULL for text that is no number
+    and for amounts that do not fit.
+    """
+    text = F.trim(_col(c).cast("string"))
+    cut = F.regexp_replace(text, r"^([+-]?[0-9]*[.][0-9]{2})[0-9]+$", "$1")
+    exact = cut.try_cast(T.DecimalType(38, 18))  # an exponent keeps its digits up to here
+    units = F.floor(F.abs(exact) * 100).try_cast(T.DecimalType(18, 0)) * cent()
+    return F.when(exact < 0, -units).otherwise(units).try_cast(MONEY)
 
 
 def money_of(df: DataFrame, name: str) -> Column:

@@ -138,31 +138,29 @@ def first_of_payload(vectors: DataFrame, payload: str, id_col: str = "vec_id") -
     return settle(chosen, "first-vectors")
 
 
-MAX_QUESTIONS = 64
+QUESTIONS = 64  # questions that a row of the collection meets at a time
 
 
-def retrieval_hits(
-    vectors: DataFrame, questions: Sequence[tuple[int, object, Sequence[float]]], payload: str, k: int = 5, id_col: str = "vec_id"
-) -> DataFrame:
+def retrieval_hits(vectors: DataFrame, questions: DataFrame, payload: str, k: int = 5, id_col: str = "vec_id") -> DataFrame:
     """Is the expected payload among the k nearest vectors of each canonical question?
 
-    `questions` are (query_id, expected payload, vector): a short list of literals, one pass over
-    the collection scores them all. The window group limit keeps k rows per question and task.
+    `questions` has columns (query_id, expected, query, query_norm), any number of rows. They meet the
+    collection in blocks of `QUESTIONS`, each a row of arrays. The window group limit keeps k rows per
+    question and task.
     """
-    if not 0 < len(questions) <= MAX_QUESTIONS:
-        raise ValueError(f"give 1 to {MAX_QUESTIONS} canonical questions, not {len(questions)}")
-    asked = [
-        F.struct(
-            F.lit(qid).cast("bigint").alias("query_id"),
-            F.lit(expected).alias("expected"),
-            cosine(F.col("embedding"), *literal_query(vector)).alias("score"),
-        )
-        for qid, expected, vector in questions
-    ]
+    block = F.expr(f"(row_number() over (order by query_id) - 1) div {QUESTIONS}")
+    asked = F.struct("query_id", "expected", "query", "query_norm")
+    blocks = questions.withColumn("_block", block).groupBy("_block").agg(F.collect_list(asked).alias("_asked"))
+    n_blocks = max(1, -(-questions.count() // QUESTIONS))
+    met = vectors.withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)).cast("array<bigint>")))
+    pairs = met.join(blocks, "_block").select(id_col, payload, "embedding", F.inline("_asked"))
     order = Window.partitionBy("query_id").orderBy(F.desc_nulls_last("score"), F.col(id_col))
     return (
-        vectors.select(id_col, payload, F.inline(F.array(*asked)))
-        .where(F.col(id_col) != F.col("query_id"))
+        pairs.where(F.col(id_col) != F.col("query_id"))
+        .select(
+            id_col, payload, "query_id", "expected",
+            cosine(F.col("embedding"), F.col("query"), F.col("query_norm")).alias("score"),
+        )
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= k)
         .groupBy("query_id", "expected")

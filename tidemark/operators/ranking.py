@@ -7,16 +7,21 @@ own, and a small table of bucket totals gives the offset that makes the result e
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.session import settle
 
-BUCKETS = 256
+ROWS_PER_BUCKET = 20_000  # a bucket is one task of a window
 
 
-def running_totals(counts: DataFrame, group: str, order: str, sums: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+def buckets_for(rows: int) -> int:
+    return max(16, -(-rows // ROWS_PER_BUCKET))
+
+
+def running_totals(counts: DataFrame, group: str, order: str, sums: Sequence[str], buckets: int | None = None) -> DataFrame:
     """Adds per `c` in `sums`: `upto_<c>`, its sum over the group's rows with `order` up to this row's,
     and `total_<c>`, its sum over the group.
 
@@ -24,8 +29,9 @@ def running_totals(counts: DataFrame, group: str, order: str, sums: Sequence[str
     points (one row per group) and offsets (one per bucket) are settled too: their size is then
     known, and Spark broadcasts them only if they are small.
     """
+    buckets = buckets or buckets_for(counts.count())
     cuts = [i / buckets for i in range(1, buckets)]
-    edges = settle(counts.groupBy(group).agg(F.percentile_approx(order, cuts, 10000).alias("_edges")), "edges")
+    edges = settle(counts.groupBy(group).agg(F.percentile_approx(order, cuts, 40 * buckets).alias("_edges")), "edges")
     below = F.size(F.filter("_edges", lambda e: e < F.col(order)))
     placed = counts.join(edges, group).withColumn("_bucket", below).drop("_edges")
     per_bucket = placed.groupBy(group, "_bucket").agg(*[F.sum(c).alias(f"_sum_{c}") for c in sums])
@@ -43,7 +49,7 @@ def running_totals(counts: DataFrame, group: str, order: str, sums: Sequence[str
     )
 
 
-def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float], buckets: int = BUCKETS) -> DataFrame:
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float], buckets: int | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation: rows (group, p, quantile). NULLs are ignored.
 
     One pass over `df`, which collapses to its distinct values.
@@ -54,7 +60,7 @@ def exact_quantiles(df: DataFrame, group: str, value: str, probs: Sequence[float
 
 
 def quantiles_of_counts(
-    counts: DataFrame, group: str, value: str, weight: str, probs: Sequence[float], buckets: int = BUCKETS
+    counts: DataFrame, group: str, value: str, weight: str, probs: Sequence[float], buckets: int | None = None
 ) -> DataFrame:
     """`exact_quantiles` over a settled table of distinct values and their whole-number weights."""
     counts = counts.where(F.col(weight) > 0).select(group, value, F.col(weight).alias("n"))
@@ -79,12 +85,13 @@ def quantiles_of_counts(
 def stratified_split(df: DataFrame, key: str, label: str, test_percent: int = 20, seed: int = 42) -> DataFrame:
     """Adds `in_test`: exactly round(n * percent / 100) rows of every label, chosen by a seeded hash.
 
-    The hash prefix cuts a label into 4096 even buckets; their counts show in which bucket the test
-    share ends, and only that bucket is ordered row by row to find the last hash inside. Three light
-    passes over (key, label): pass a stored frame.
+    A hash prefix, longer with more rows, cuts a label into even buckets; their counts show in which
+    bucket the test share ends, and only that bucket is ordered row by row to find the last hash
+    inside. Four light passes over (key, label): pass a stored frame.
     """
     digest = F.md5(F.concat(F.col(key).cast("string"), F.lit(f"|{seed}")))
-    bucket = F.conv(F.substring(digest, 1, 3), 16, 10).cast("int")
+    digits = max(1, math.ceil(math.log(buckets_for(df.count()), 16)))
+    bucket = F.conv(F.substring(digest, 1, digits), 16, 10).cast("bigint")
     slim = df.select(F.col(key).cast("string").alias("_key"), F.col(label).alias("_label"), digest.alias("_hash"), bucket.alias("_bucket"))
     counts = slim.groupBy("_label", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     upto = Window.partitionBy("_label").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)

@@ -125,7 +125,7 @@ def order_lines(bronze: DataFrame) -> DataFrame:
     return bronze.where(F.col("order_id").isNotNull() & F.col("product_id").isNotNull()).select(
         _key("order_id"),
         _key("product_id"),
-        F.col("quantity").cast("int").alias("quantity"),
+        F.col("quantity").try_cast("int").alias("quantity"),
         *[money_of(bronze, c).alias(c) for c in ("unit_price", "discount_pct", "line_total")],
     )
 

@@ -6,6 +6,8 @@ the Spark builders.
 
 from __future__ import annotations
 
+from tidemark.sources import adapter as domains
+
 AS_OF = "DATE '2001-08-02'"
 CAL_START = "DATE '1995-01-01'"
 
@@ -15,8 +17,8 @@ def pad(prefix: str, n: str, width: int) -> str:
     return f"'{prefix}' || lpad({digits}, CAST(greatest({width}, length({digits})) AS INTEGER), '0')"
 
 
-def pick(values: str, index: str) -> str:
-    items = ", ".join(f"'{v}'" for v in values.split())
+def pick(values: tuple[str, ...], index: str) -> str:
+    items = ", ".join(f"'{v}'" for v in values)
     return f"([{items}])[CAST(1 + {index} AS INTEGER)]"
 
 
@@ -58,10 +60,10 @@ CTES: dict[str, str] = {
     "b_orders": f"""
   SELECT o_orderkey AS n, {pad('ORD-', 'o_orderkey', 9)} AS order_id, {pad('CUS-', 'o_custkey', 7)} AS customer_id,
          o_orderdate AS order_ts,
-         CASE o_orderstatus WHEN 'O' THEN {pick('pending paid', 'o_orderkey % 2')}
-                            WHEN 'F' THEN {pick('shipped delivered', 'o_orderkey % 2')}
-                            ELSE {pick('cancelled refunded', 'o_orderkey % 2')} END AS status,
-         {pick('web app phone', 'o_orderkey % 3')} AS channel,
+         CASE o_orderstatus WHEN 'O' THEN {pick(('pending', 'paid'), 'o_orderkey % 2')}
+                            WHEN 'F' THEN {pick(('shipped', 'delivered'), 'o_orderkey % 2')}
+                            ELSE {pick(('cancelled', 'refunded'), 'o_orderkey % 2')} END AS status,
+         {pick(domains.ORDER_CHANNELS, 'o_orderkey % 3')} AS channel,
          CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount,
          o_orderdate AS updated_at, CAST(o_orderdate AS DATE) AS dt
   FROM orders""",
@@ -87,8 +89,8 @@ CTES: dict[str, str] = {
   FROM part""",
     "b_sellers": f"""
   SELECT {pad('SEL-', 's_suppkey', 5)} AS seller_id, s_name AS seller_name,
-         {pick('norte sur centro este oeste', 's_nationkey % 5')} AS region,
-         {pick('marketplace directo partner', 's_suppkey % 3')} AS channel,
+         {pick(domains.SELLER_REGIONS, 's_nationkey % 5')} AS region,
+         {pick(domains.SELLER_CHANNELS, 's_suppkey % 3')} AS channel,
          CAST({AS_OF} - CAST(30 * (1 + s_suppkey % 5) AS INTEGER) AS TIMESTAMP) AS joined_at,
          CAST({AS_OF} - CAST(30 * (1 + s_suppkey % 5) AS INTEGER) AS TIMESTAMP) AS updated_at,
          {AS_OF} - CAST(30 * (1 + s_suppkey % 5) AS INTEGER) AS dt
@@ -97,18 +99,18 @@ CTES: dict[str, str] = {
   SELECT c_custkey AS n, {pad('CUS-', 'c_custkey', 7)} AS customer_id, c_name AS full_name,
          ' Cliente' || CAST(c_custkey AS VARCHAR) || '@Example.com ' AS email,
          '+34 6' || lpad(CAST((c_custkey * 7919) % 100000000 AS VARCHAR), 8, '0') AS phone,
-         {pick('Madrid Barcelona Valencia Sevilla Bilbao Malaga Zaragoza Murcia', 'c_custkey % 8')} AS city,
-         {pick('centro noreste este sur norte sur noreste sureste', 'c_custkey % 8')} AS region,
-         {pick('retail pyme enterprise', 'c_custkey % 3')} AS segment,
-         CASE WHEN c_custkey % 11 <> 0 THEN {pick('f m x', 'c_custkey % 3')} END AS gender,
-         {pick('18-24 25-34 35-44 45-54 55+', 'c_custkey % 5')} AS age_band,
+         {pick(domains.CITIES, 'c_custkey % 8')} AS city,
+         {pick(domains.CITY_REGIONS, 'c_custkey % 8')} AS region,
+         {pick(domains.SEGMENTS, 'c_custkey % 3')} AS segment,
+         CASE WHEN c_custkey % 11 <> 0 THEN {pick(domains.GENDERS, 'c_custkey % 3')} END AS gender,
+         {pick(domains.AGE_BANDS, 'c_custkey % 5')} AS age_band,
          CAST(DATE '1994-06-01' + CAST(c_custkey % 400 AS INTEGER) AS TIMESTAMP) AS created_at,
          CAST({AS_OF} - CAST(c_custkey % 60 AS INTEGER) AS TIMESTAMP) AS updated_at,
          {AS_OF} - CAST(c_custkey % 60 AS INTEGER) AS dt
   FROM customer""",
     "b_payments": f"""
   SELECT {pad('PAY-', 'n', 9)} AS payment_id, order_id, order_ts + INTERVAL 2 HOUR AS paid_at,
-         {pick('card transfer wallet cash', 'n % 4')} AS payment_method,
+         {pick(domains.PAYMENT_METHODS, 'n % 4')} AS payment_method,
          CASE WHEN status IN ('cancelled', 'refunded') THEN CAST(0 AS DECIMAL(12,2)) ELSE total_amount END AS paid_amount,
          CASE status WHEN 'cancelled' THEN 'rejected' WHEN 'refunded' THEN 'refunded' WHEN 'pending' THEN 'pending'
                      ELSE 'approved' END AS payment_status,
@@ -118,9 +120,9 @@ CTES: dict[str, str] = {
   SELECT {pad('TCK-', 'event_id', 9)} AS ticket_id, {pad('CUS-', 'user_id', 7)} AS customer_id,
          CASE WHEN event_id % 4 <> 0 THEN {pad('ORD-', 'event_id', 9)} END AS order_id,
          ts - INTERVAL 8217 DAY AS opened_at,
-         {pick('envio facturacion devolucion producto cuenta', 'event_id % 5')} AS topic,
-         {pick('low medium high', 'event_id % 3')} AS priority,
-         {pick('open in_progress resolved closed', 'event_id % 4')} AS status,
+         {pick(domains.TICKET_TOPICS, 'event_id % 5')} AS topic,
+         {pick(domains.TICKET_PRIORITIES, 'event_id % 3')} AS priority,
+         {pick(domains.TICKET_STATUSES, 'event_id % 4')} AS status,
          ts - INTERVAL 8217 DAY AS updated_at, CAST(ts - INTERVAL 8217 DAY AS DATE) AS dt
   FROM events WHERE event_type = 'error'""",
     "stg_orders": """

@@ -14,7 +14,7 @@ from tidemark.operators.merge import keep_recent
 from tidemark.registry.core import query
 from tidemark.registry.ctes import AS_OF, pick as sql_pick, quoted
 from tidemark.schemas import KEYS, bronze_schema
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, settle
 from tidemark.sources import bronze
 from tidemark.sources.adapter import Bronze
 from tidemark.streaming.bronze_stream import stream_upsert
@@ -112,30 +112,36 @@ def bronze_file_stats(b):
 @query(
     "dt:s rows:i checksum:i",
     """SELECT dt, count(*) AS rows,
-              sum(CAST('0x' || substr(md5(concat_ws('|', customer_id, opened_day, order_id, priority, status,
-                  ticket_id, topic)), 1, 8) AS BIGINT)) AS checksum
-       FROM (SELECT dt, customer_id, coalesce(order_id, '~') AS order_id, CAST(CAST(opened_at AS DATE) AS VARCHAR) AS opened_day,
-                    priority, status, ticket_id, topic FROM b_support_tickets)
+              sum(CAST('0x' || substr(md5(concat_ws('|', customer_id, opened_at, order_id, priority, status,
+                  ticket_id, topic, updated_at)), 1, 8) AS BIGINT)) AS checksum
+       FROM (SELECT dt, customer_id, coalesce(order_id, '~') AS order_id, CAST(epoch_us(opened_at) AS VARCHAR) AS opened_at,
+                    priority, status, ticket_id, topic, CAST(epoch_us(updated_at) AS VARCHAR) AS updated_at
+             FROM b_support_tickets)
        GROUP BY dt""",
 )
 def content_checksum(b):
-    tickets = b.support_tickets().withColumn("opened_day", F.to_date("opened_at")).drop("opened_at", "updated_at")
-    return bronze.content_checksum(tickets, "dt")
+    return bronze.content_checksum(b.support_tickets(), "dt")
 
 
 @query(
-    "files:i bytes_known:i digests:i",
-    "SELECT count(DISTINCT dt) AS files, count(DISTINCT dt) AS bytes_known, count(DISTINCT dt) AS digests FROM b_sellers",
+    "dt:s landed:i intact:i",
+    "SELECT DISTINCT dt, 1 AS landed, CASE WHEN day(dt) % 2 = 0 THEN 0 ELSE 1 END AS intact FROM b_sellers",
 )
 def file_checksum(b):
-    """SHA-256 of every landed file: one file per `dt`, each with its own digest."""
+    """Digests of all landed files against those of a manifest taken before even days were rewritten.
+
+    A day is intact if every file of its manifest is still there with the same digest; a day may have any
+    number of files.
+    """
     path = landed(b, "sellers", "checksum")
-    sums = bronze.file_checksums(b.spark, path)
-    return sums.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.count_if(F.col("length") > 0).alias("bytes_known"),
-        F.count_distinct("checksum").alias("digests"),
-    )
+    manifest = settle(bronze.file_checksums(b.spark, path), "manifest")
+    rewritten = b.sellers().where(F.day("dt") % 2 == 0).withColumn("seller_name", F.upper("seller_name"))
+    bronze.write_partitions(bronze.as_declared(rewritten, "sellers"), path)
+    now = bronze.file_checksums(b.spark, path).withColumnRenamed("checksum", "now").drop("length")
+    day = F.regexp_extract("path", "dt=([0-9-]{10})", 1)
+    same = F.col("checksum").eqNullSafe(F.col("now")).cast("int")
+    checked = manifest.join(now, "path", "left").groupBy(day.alias("dt"))
+    return checked.agg(F.max((F.col("length") > 0).cast("int")).alias("landed"), F.min(same).alias("intact"))
 
 
 @query("dt:s products:i price_sum:d", BY_DAY)
@@ -266,8 +272,8 @@ def validate_handoffs(b):
                count(*) FILTER (WHERE status = 'ok') / count(*) AS success_rate, sum(retries) / count(*) AS mean_retries,
                count(DISTINCT agent) AS agents, quantile_cont(duration_s, 0.95) AS p95_duration_s,
                count(DISTINCT agent) > 1 AS drifting
-        FROM (SELECT {sql_pick(' '.join(messages.INTENTS), 'event_id % 7')} AS intent,
-                     CASE WHEN event_id % 70 = 3 THEN 'platform' ELSE {sql_pick(' '.join(messages.AGENTS), 'event_id % 7')} END AS agent,
+        FROM (SELECT {sql_pick(messages.INTENTS, 'event_id % 7')} AS intent,
+                     CASE WHEN event_id % 70 = 3 THEN 'platform' ELSE {sql_pick(messages.AGENTS, 'event_id % 7')} END AS agent,
                      CASE WHEN event_type = 'error' THEN 'fallido' ELSE 'ok' END AS status,
                      user_id % 4 AS retries, CAST(value AS DOUBLE) AS duration_s FROM events)
         GROUP BY intent""",

@@ -101,10 +101,24 @@ def vector_topk(b):
     return kb.topk_by_payload(vectors, kb.first_of_payload(vectors, "label"), "label")
 
 
-def canonical_questions(vectors: DataFrame) -> list[tuple]:
-    """First vectors of the three smallest labels; three rows reach the driver."""
-    rows = kb.first_of_payload(vectors, "label").orderBy("label").limit(3).collect()
-    return [(r.query_id, r.label, r["query"]) for r in rows]
+def canonical_questions(vectors: DataFrame) -> DataFrame:
+    """First vectors of the three smallest labels, the documented number of questions."""
+    first = kb.first_of_payload(vectors, "label").orderBy("label").limit(3)
+    return first.withColumnRenamed("label", "expected")
+
+
+@query(
+    "vec_id:i label:i score:d",
+    f"""SELECT v.vec_id, v.label, round({COSINE}, 9) AS score
+        FROM kb_vectors v, (SELECT * FROM kb_queries ORDER BY label LIMIT 1) q
+        WHERE v.label <> q.label ORDER BY {COSINE} DESC NULLS LAST, v.vec_id LIMIT 5""",
+)
+def vector_topk_filtered(b):
+    """Five nearest vectors of other labels to one question, over the filtered collection."""
+    vectors = b.raw("embeddings")
+    asked = canonical_questions(vectors).orderBy("expected").first()
+    found = kb.vector_topk(vectors, asked["query"], where=F.col("label") != asked.expected)
+    return found.withColumn("score", F.round("score", 9))
 
 
 @query(

@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark import contracts
 from tidemark.functions.columns import has_text
 from tidemark.operators import quality
+from tidemark.operators.staging import STAGING
 from tidemark.plans.jobs import check_marts
 from tidemark.plans.marts import customer_features
 from tidemark.registry.core import query
 from tidemark.registry.ctes import AS_OF
 from tidemark.registry.marts import Planned
+from tidemark.schemas import KEYS
 from tidemark.session import settle
 
 
@@ -153,13 +155,12 @@ def freshness_minutes(b):
     "\nUNION ALL ".join(
         f"""SELECT '{e}' AS source, m AS minutes_late,
             CASE WHEN m > 2880 THEN 'error' WHEN m > 1440 THEN 'warn' ELSE 'pass' END AS status
-            FROM (SELECT date_diff('minute', max(updated_at), CAST({AS_OF} AS TIMESTAMP)) AS m FROM b_{e})"""
-        for e in ("orders", "customers", "products", "sellers", "payments")
+            FROM (SELECT date_sub('minute', max(updated_at), CAST({AS_OF} AS TIMESTAMP)) AS m FROM b_{e})"""
+        for e in KEYS
     ),
 )
 def source_freshness(b):
-    names = ("orders", "customers", "products", "sellers", "payments")
-    return quality.source_freshness({n: b.entity(n) for n in names}, b.as_of)
+    return quality.source_freshness({n: b.entity(n) for n in KEYS}, b.as_of)
 
 
 @query(
@@ -295,3 +296,22 @@ def quarantine_split(b):
     ]
     good, bad = quality.quarantine_split(faulty, rules)
     return good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad)
+
+
+@query(
+    "order_id:s total_amount:d reason:s",
+    """SELECT order_id, CASE WHEN n % 13 = 0 THEN NULL WHEN n % 5 = 0 THEN -total_amount ELSE total_amount END AS total_amount,
+              CASE WHEN n % 13 = 0 THEN 'bad_amount' WHEN n % 5 = 0 AND total_amount > 0 THEN 'negative_amount' END AS reason
+       FROM b_orders""",
+)
+def stg_orders_dirty(b):
+    """Amounts as text with many digits, signs and garbage: cut, not rounded, and bad ones set aside."""
+    number = F.substring("order_id", 5, 30).cast("bigint")
+    digits = F.concat(F.col("total_amount").cast("string"), F.lit("99999996"))
+    text = F.when(number % 13 == 0, "12,x").when(number % 5 == 0, F.concat(F.lit(" -"), digits)).otherwise(digits)
+    staged = STAGING["orders"](b.orders().withColumn("total_amount", text))
+    good, bad = quality.quarantine_split(
+        staged.select("order_id", "total_amount"),
+        [("bad_amount", F.col("total_amount").isNull()), ("negative_amount", F.col("total_amount") < 0)],
+    )
+    return good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad)

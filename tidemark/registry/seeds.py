@@ -6,9 +6,10 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.contracts import ORDER_STATUSES
 from tidemark.registry.core import query
 from tidemark.registry.ctes import CTES, pad, pick
-from tidemark.sources import seed
+from tidemark.sources import adapter as domains, seed
 from tidemark.sources.adapter import Bronze
 
 ANCHOR = datetime(2001, 8, 2)
@@ -28,8 +29,8 @@ def ago(days: str, hours: str = "") -> str:
     return f"{text} - to_hours({hours})" if hours else text
 
 
-def cycle(values: str) -> str:
-    return pick(values, f"((n - 1) % {len(values.split())})")
+def cycle(values: tuple[str, ...]) -> str:
+    return pick(values, f"((n - 1) % {len(values)})")
 
 
 PRICE = "CAST(9.90 AS DECIMAL(12,2)) + ({} % 20) * CAST(7.25 AS DECIMAL(12,2))"
@@ -42,15 +43,15 @@ CTES["seed_lines"] = f"""
   WHERE item = 1 OR n % 3 = 0"""
 CTES["seed_order_rows"] = f"""
   SELECT {pad('ORD-', 'n', 6)} AS order_id, {pad('CUS-', '(1 + ((n * 37) % 200))', 5)} AS customer_id,
-         {ago('n % 120', 'n % 11')} AS order_ts, {cycle('pending paid shipped delivered cancelled refunded')} AS status,
-         {cycle('web app phone')} AS channel, total_amount, n
+         {ago('n % 120', 'n % 11')} AS order_ts, {cycle(ORDER_STATUSES)} AS status,
+         {cycle(domains.ORDER_CHANNELS)} AS channel, total_amount, n
   FROM (SELECT n, round(sum(net), 2) AS total_amount FROM seed_lines GROUP BY n)"""
 
 
 @query(
     "seller_id:s seller_name:s region:s channel:s joined_at:s updated_at:s",
     f"""SELECT {pad('SEL-', 'n', 3)} AS seller_id, 'Vendedor ' || CAST(n AS VARCHAR) AS seller_name,
-               {cycle('norte sur centro este oeste')} AS region, {cycle('marketplace directo partner')} AS channel,
+               {cycle(domains.SELLER_REGIONS)} AS region, {cycle(domains.SELLER_CHANNELS)} AS channel,
                {ago('n * 30')} AS joined_at, {ago('n * 30')} AS updated_at
         FROM {numbers('supplier', 's_suppkey')}""",
 )
@@ -63,9 +64,9 @@ def seed_sellers(b):
     f"""SELECT {pad('CUS-', 'n', 5)} AS customer_id, 'Cliente ' || CAST(n AS VARCHAR) AS full_name,
                'cliente' || CAST(n AS VARCHAR) || '@example.com' AS email,
                '+34 6' || lpad(CAST((n * 7919) % 100000000 AS VARCHAR), 8, '0') AS phone,
-               {cycle('Madrid Barcelona Valencia Sevilla Bilbao Malaga Zaragoza Murcia')} AS city,
-               {cycle('centro noreste este sur norte sur noreste sureste')} AS region, {cycle('retail pyme enterprise')} AS segment,
-               {cycle('f m x')} AS gender, {cycle('18-24 25-34 35-44 45-54 55+')} AS age_band,
+               {cycle(domains.CITIES)} AS city,
+               {cycle(domains.CITY_REGIONS)} AS region, {cycle(domains.SEGMENTS)} AS segment,
+               {cycle(domains.GENDERS)} AS gender, {cycle(domains.AGE_BANDS)} AS age_band,
                {ago('n % 400')} AS created_at, {ago('n % 60')} AS updated_at
         FROM {numbers('customer', 'c_custkey')}""",
 )
@@ -76,7 +77,7 @@ def seed_customers(b):
 @query(
     "product_id:s sku:s product_name:s category:s brand:s unit_price:d cost_amount:d seller_id:s is_active:i created_at:s updated_at:s",
     f"""SELECT {pad('PRD-', 'n', 5)} AS product_id, {pad('SKU-', 'n', 5)} AS sku, 'Producto ' || CAST(n AS VARCHAR) AS product_name,
-               {cycle('electronica hogar moda deportes libros')} AS category, 'Marca ' || CAST(1 + (n - 1) % 12 AS VARCHAR) AS brand,
+               {cycle(tuple(domains.CATEGORY_BY_TYPE.values()))} AS category, 'Marca ' || CAST(1 + (n - 1) % 12 AS VARCHAR) AS brand,
                price AS unit_price, round(CAST(price AS DECIMAL(12,2)) * CAST(0.62 AS DECIMAL(3,2)), 2) AS cost_amount,
                {pad('SEL-', '(1 + (n - 1) % 5)', 3)} AS seller_id, n % 17 <> 0 AS is_active,
                {ago('n % 300')} AS created_at, {ago('n % 45')} AS updated_at
@@ -106,7 +107,7 @@ def seed_orders(b):
 @query(
     "payment_id:s order_id:s paid_at:s payment_method:s paid_amount:d payment_status:s updated_at:s",
     f"""SELECT {pad('PAY-', 'n', 6)} AS payment_id, order_id, order_ts + INTERVAL 2 HOUR AS paid_at,
-               {cycle('card transfer wallet cash')} AS payment_method,
+               {cycle(domains.PAYMENT_METHODS)} AS payment_method,
                CASE WHEN status IN ('cancelled', 'refunded') THEN 0 ELSE total_amount END AS paid_amount,
                CASE status WHEN 'cancelled' THEN 'rejected' WHEN 'refunded' THEN 'refunded' WHEN 'pending' THEN 'pending'
                            ELSE 'approved' END AS payment_status,
@@ -121,8 +122,8 @@ def seed_payments(b):
     "ticket_id:s customer_id:s order_id:s opened_at:s topic:s priority:s status:s updated_at:s",
     f"""SELECT {pad('TCK-', 'n', 5)} AS ticket_id, {pad('CUS-', '(1 + (n * 37) % 200)', 5)} AS customer_id,
                {pad('ORD-', '(1 + (n * 13) % 800)', 6)} AS order_id, {ago('n % 120', 'n % 9')} AS opened_at,
-               {cycle('envio facturacion devolucion producto cuenta')} AS topic, {cycle('low medium high')} AS priority,
-               {cycle('open in_progress resolved closed')} AS status, {ago('n % 120')} AS updated_at
+               {cycle(domains.TICKET_TOPICS)} AS topic, {cycle(domains.TICKET_PRIORITIES)} AS priority,
+               {cycle(domains.TICKET_STATUSES)} AS status, {ago('n % 120')} AS updated_at
         FROM {numbers('events', 'event_id')}""",
 )
 def seed_support_tickets(b):

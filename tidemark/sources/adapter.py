@@ -11,7 +11,6 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions.columns import pad_sql, pick_sql
-from tidemark.sources.files import Files
 
 AS_OF = date(2001, 8, 2)
 
@@ -37,7 +36,6 @@ CATEGORY_BY_TYPE = {
 }
 SELLER_SLOTS = 97
 EVENT_SHIFT_DAYS = 8217
-SPREAD_FROM, SPREAD_TO = 1 << 20, 64 << 20  # file bytes
 
 
 class Bronze:
@@ -48,15 +46,9 @@ class Bronze:
         self._raw: dict[str, DataFrame] = {}
 
     def raw(self, table: str) -> DataFrame:
-        """A benchmark table. A small one comes as one row group, which one task would read and
-        project alone, so its rows are spread over the cores by its leading columns; large tables
-        split by themselves."""
+        """A benchmark table, scanned alike at every size."""
         if table not in self._raw:
-            path = f"{self.base}/{table}.parquet"
-            df = self.spark.read.parquet(path)
-            cores = self.spark.sparkContext.defaultParallelism
-            small = SPREAD_FROM <= Files(self.spark, path).size(path) <= SPREAD_TO
-            self._raw[table] = df.repartition(cores, *df.columns[:2]) if small and cores > 1 else df
+            self._raw[table] = self.spark.read.parquet(f"{self.base}/{table}.parquet")
         return self._raw[table]
 
     def _ago(self, days: str) -> str:

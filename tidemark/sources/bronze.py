@@ -125,11 +125,16 @@ def file_checksums(spark: SparkSession, path: str) -> DataFrame:
 def content_checksum(df: DataFrame, *by: str) -> DataFrame:
     """Row count and an order-independent sum of row digests, in all or per `by`.
 
-    Sums, unlike XOR, see repeated rows. The digest is a 32-bit md5 prefix over the columns as text,
-    so another engine can compute the same value.
+    Sums, unlike XOR, see repeated rows. The digest is a 32-bit md5 prefix over all other columns as
+    text, timestamps as microseconds, so another engine can compute the same value.
     """
-    names = sorted(c for c in df.columns if c not in by)
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in names])
+    kinds = dict(df.dtypes)
+    plain = [
+        F.unix_micros(F.col(c).cast("timestamp")) if kinds[c].startswith("timestamp") else F.col(c)
+        for c in sorted(kinds)
+        if c not in by
+    ]
+    text = F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("~")) for c in plain])
     digest = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
     return df.select(*by, digest.alias("_digest")).groupBy(*by).agg(
         F.count(F.lit(1)).alias("rows"), F.sum("_digest").alias("checksum")

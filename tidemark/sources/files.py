@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import SparkSession
 
 
@@ -23,6 +25,10 @@ class Files:
         """Bytes under a file or folder."""
         return self._fs.getContentSummary(self._path(path)).getLength()
 
+    def age(self, path: str) -> float:
+        """Seconds since the folder or file was last changed, by the clock of this machine."""
+        return time.time() - self._fs.getFileStatus(self._path(path)).getModificationTime() / 1000
+
     def make(self, path: str) -> None:
         self._fs.mkdirs(self._path(path))
 

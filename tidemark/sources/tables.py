@@ -13,11 +13,12 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.session import settle
 from tidemark.sources.files import Files
 
 STAGED, READY = "_staged", "_READY"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-MAX_TOUCHED = 100_000  # partition names read by the driver for one upsert
+LEASE_SECONDS = 24 * 3600  # a staged run without a marker is another writer's for so long
 
 
 def materialise(df: DataFrame, table: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
@@ -44,14 +45,6 @@ def high_water(df: DataFrame, column: str):
     return df.agg(F.max(column)).first()[0]
 
 
-ESCAPED = set("\"#%'*/:=?\\\x7f{[]^") | {chr(i) for i in range(1, 32)}  # as Hive-style folder names do
-
-
-def _folder(partition: str, value: str | None) -> str:
-    text = NULL_PARTITION if not value else "".join(f"%{ord(c):02X}" if c in ESCAPED else c for c in value)
-    return f"{partition}={text}"
-
-
 def drop_old_partitions(spark: SparkSession, path: str, partition: str, as_of: date, days: int) -> list[str]:
     """Retention without a rewrite: deletes date partitions older than `days`; returns their folders."""
     fs, oldest = Files(spark, path), (as_of - timedelta(days=days)).isoformat()
@@ -63,14 +56,20 @@ def drop_old_partitions(spark: SparkSession, path: str, partition: str, as_of: d
     return old
 
 
-def finish_publish(spark: SparkSession, path: str) -> list[str]:
-    """Completes or drops staged runs left behind by a lost driver. Returns the runs completed."""
+def finish_publish(spark: SparkSession, path: str, lease: float = LEASE_SECONDS) -> list[str]:
+    """Completes staged runs left behind by a lost driver; returns them.
+
+    A run without a marker may be one that another writer is filling: it is dropped only when its
+    folder is older than `lease` seconds.
+    """
     fs, done = Files(spark, path), []
     for run in fs.names(f"{path}/{STAGED}"):
         staged = f"{path}/{STAGED}/{run}"
         if fs.exists(f"{staged}/{READY}"):
             _swap(fs, path, staged)
             done.append(run)
+        elif fs.age(staged) < lease:
+            continue
         fs.delete(staged)
     return done
 
@@ -86,19 +85,25 @@ def _swap(fs: Files, path: str, staged: str) -> None:
             fs.delete(live)  # the partition lost its last row
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str, touched: Sequence[str | None]) -> None:
-    """Replaces the `touched` partitions of the table at `path` by the rows of `df`.
+def _partitions(fs: Files, path: str, partition: str) -> set[str]:
+    return {n for n in fs.names(path) if n.startswith(f"{partition}=")}
+
+
+def replace_partitions(df: DataFrame, path: str, partition: str, touched: DataFrame) -> None:
+    """Replaces the `touched` partitions (one column of that name) of the table at `path` by the rows of `df`.
 
-    Data is complete in the staging folder before the markers that allow the swap appear.
+    Data is complete in the staging folder before the markers that allow the swap appear. Touched
+    partitions are written as folders by the cluster, so their names come from a listing.
     """
     spark = df.sparkSession
     fs = Files(spark, path)
     run = f"{path}/{STAGED}/{uuid.uuid4().hex}"
+    touched.select(partition, F.lit(1).alias("touched")).write.partitionBy(partition).parquet(f"{run}/touched")
     df.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(f"{run}/data")
-    fresh = {n for n in fs.names(f"{run}/data") if n.startswith(f"{partition}=")}
+    fresh = _partitions(fs, f"{run}/data", partition)
     for name in sorted(fresh):
         fs.make(f"{run}/kept/{name}")
-    for name in sorted(fresh | {_folder(partition, v) for v in touched}):
+    for name in sorted(fresh | _partitions(fs, f"{run}/touched", partition)):
         fs.make(f"{run}/marks/{name}")
     fs.make(f"{run}/marks")
     fs.rename(f"{run}/marks", f"{run}/{READY}")  # the commit point
@@ -112,30 +117,27 @@ def upsert(
     keys: Sequence[str],
     partition: str,
     merge: Callable[[DataFrame, DataFrame], DataFrame],
+    moving: bool = True,
 ) -> None:
     """Merges `batch` into the partitioned table at `path`, rewriting only the partitions it touches.
 
     `merge(target, batch)` gets the rows of those partitions, e.g. `delete_insert` or `merge_latest`.
-    The partition column is text, a date or a whole number.
+    A key may be in another partition than before, which takes a scan of the target's keys; where it
+    cannot (`moving=False`) the partitions are those of the batch, and the scan of the target is
+    pruned to them. The partition column is text, a date or a whole number.
     """
     spark = batch.sparkSession
     fs = Files(spark, path)
     finish_publish(spark, path)
-    if not any(n.startswith(f"{partition}=") for n in fs.names(path)):
+    touched = batch.select(partition)
+    if not _partitions(fs, path, partition):
         empty = spark.createDataFrame([], batch.schema)
         first = merge(empty, batch)
-        replace_partitions(first, path, partition, [])
+        replace_partitions(first, path, partition, touched.limit(0))
         return
     target = spark.read.schema(batch.schema).parquet(path)
-    part = F.col(partition)
-    hit = target.join(batch.select(*keys), list(keys), "left_semi").select(part.cast("string").alias("p"))
-    names = hit.unionByName(batch.select(part.cast("string").alias("p"))).distinct().limit(MAX_TOUCHED + 1)
-    touched = [row.p for row in names.collect()]
-    if len(touched) > MAX_TOUCHED:
-        raise ValueError(f"the batch touches over {MAX_TOUCHED} partitions; partition {path} more coarsely")
-    values = [v for v in touched if v is not None]
-    kind = target.schema[partition].dataType
-    inside = part.isin([F.lit(v).cast(kind) for v in values]) if values else F.lit(False)
-    if None in touched:
-        inside = inside | part.isNull()
-    replace_partitions(merge(target.where(inside), batch), path, partition, touched)
+    if moving:
+        touched = touched.unionByName(target.join(batch.select(*keys), list(keys), "left_semi").select(partition))
+    touched = settle(touched.distinct(), "touched")
+    inside = target.join(touched.withColumnRenamed(partition, "_p"), F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
+    replace_partitions(merge(inside, batch), path, partition, touched)
