@@ -51,7 +51,7 @@ def texts(spark):
 
 
 def test_held_out_accuracy(texts):
-    model = toxicity.fit(texts.where("doc_id % 3 <> 0").select("doc_id", "text", "label"))
+    model = toxicity.fit(texts, texts.where("doc_id % 3 <> 0").select("doc_id", "label"))
     rows = toxicity.score(texts.where("doc_id % 3 = 0").select("doc_id", "label", "text"), model).collect()
     assert sum((r.score >= 0.5) == (r.label == 1) for r in rows) / len(rows) > 0.98
     assert all(0 <= r.score <= 1 for r in rows)
@@ -59,14 +59,16 @@ def test_held_out_accuracy(texts):
 
 def test_odd_texts_and_labels(spark, texts):
     odd = spark.createDataFrame([(1, None, 1), (2, "", 0), (3, "zorgmo " * 5000, None), (None, "abc", 7), (4, "a", 0), (4, "a", 0)], "doc_id long, text string, label int")
-    model = toxicity.fit(texts.select("doc_id", "text", "label").unionByName(odd))
+    every = texts.select("doc_id", "text", "label").unionByName(odd)
+    model = toxicity.fit(every.drop("label"), every.drop("text"))
     got = {r.doc_id: r.score for r in toxicity.score(odd.select("doc_id", "text"), model).collect()}
     assert got[1] == got[2] < 0.5 < got[3] and len(got) == 5
 
 
 def test_one_class_or_none(texts):
     rows = texts.select("doc_id", "text", "label")
-    assert toxicity.fit(rows.limit(0))[1] == 0.0
-    weights, bias = toxicity.fit(rows.where("label = 0"))
+    assert toxicity.fit(rows, rows.limit(0))[1] == 0.0
+    assert toxicity.fit(rows.limit(0), rows)[1] < 0
+    weights, bias = toxicity.fit(rows, rows.where("label = 0"))
     assert not weights.any() and bias < 0
     assert toxicity.score(rows.limit(0), (weights, bias)).count() == 0

@@ -135,7 +135,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     held_out = crc_mod(F.col("doc_id"), 5) == 0
     known = labels.where(~held_out & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").alias("label"))
-    model = toxicity.fit(documents.select("doc_id", "text").join(known, "doc_id"))
+    model = toxicity.fit(documents, known)
     scored = toxicity.score(documents.select("doc_id", held_out.alias("held_out"), "text"), model)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

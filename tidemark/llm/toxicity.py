@@ -17,7 +17,7 @@ from tidemark.llm.ngrams import code_points, logistic, present, sigmoid
 ORDERS = (3, 4, 5)
 BITS = 20
 BLOCK = 1 << 12
-SAMPLE = 6000  # labelled texts of a class that the fit reads, about
+SAMPLE = 4000  # labelled texts of a class that the fit reads, about
 FEATURES = 1 << 14
 SMOOTH = 0.5
 SURE = 5.0  # standard deviations that an n-gram's rates must be apart
@@ -70,22 +70,24 @@ def _features(wanted: np.ndarray):
     return run
 
 
-def fit(labelled: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> tuple[np.ndarray, float]:
-    """(weight of each bucket, bias) from rows (doc_id, text, label); labels other than 0 and 1 are left out.
+def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> tuple[np.ndarray, float]:
+    """(weight of each bucket, bias) from texts (doc_id, text) and labels (doc_id, label).
 
-    About `sample` texts of each class are read, chosen by a hash of the id. What comes to the driver
-    is bounded by `features` and by the sample's presence lists. With no or one class all weights are 0
-    and the bias gives the smoothed share of label 1.
+    Labels other than 0 and 1, and labels without a text, are left out. About `sample` texts of each
+    class are read, chosen by a hash of the id: so few labels are broadcast to the scan, and no text
+    is shuffled. What comes to the driver is bounded by `features` and by the sample's presence lists.
+    With no or one class all weights are 0 and the bias gives the smoothed share of label 1.
     """
     weights = np.zeros(1 << BITS)
-    labelled = labelled.where("label in (0, 1)").withColumn("label", F.col("label").cast("int"))
-    sizes = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
+    labels = labels.where("doc_id is not null and label in (0, 1)").select("doc_id", F.col("label").cast("int").alias("label"))
+    sizes = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
     if len(sizes) < 2:
         n1, n = sizes.get(1, 0), sum(sizes.values())
         return weights, float(np.log((n1 + 1) / (n - n1 + 1)))
     share = F.when(F.col("label") == 1, min(1.0, sample / sizes[1])).otherwise(min(1.0, sample / sizes[0]))
-    chosen = labelled.where(uniform(F.lit(8), "doc_id") < share)
-    chosen = settle(chosen.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "label"), "toxicity_sample")
+    few = labels.where(uniform(F.lit(8), "doc_id") < share)
+    chosen = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), "doc_id")
+    chosen = settle(chosen, "toxicity_sample")
     read = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
     if len(read) < 2:
         return weights, float(np.log((sizes[1] + 1) / (sizes[0] + 1)))
@@ -99,11 +101,11 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, features: int = FEATURES) ->
     rows = chosen.mapInArrow(_features(wanted), "doc_id long, label int, buckets binary").toPandas()
     rows = rows.sort_values(["doc_id", "label"]).reset_index(drop=True)
     held = [np.frombuffer(b, np.int32) for b in rows["buckets"]]
-    row = np.repeat(np.arange(len(held)), [len(h) for h in held])
+    row = np.repeat(np.arange(len(held), dtype=np.int32), [len(h) for h in held])
     bucket = np.concatenate(held)
     ratio = np.zeros(1 << BITS)
     ratio[told["bucket"]] = told["ratio"]
-    place = np.zeros(1 << BITS, np.int64)
+    place = np.zeros(1 << BITS, np.int32)
     place[told["bucket"]] = np.arange(len(told))
     w, bias = logistic(row, place[bucket], ratio[bucket], rows["label"].to_numpy(np.float64), len(told), PENALTY)
     weights[told["bucket"]] = w * told["ratio"].to_numpy()
