@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = {k: q for k, q in entry.queries().items() if k in REGISTRY}
 TRAINED = {"churn_train", "batch_scoring", "feature_importance"}
 ONE_ROW_SIDE = {"anomaly_volume", "volume_having", "model_gate"}  # a threshold of one row
 
