@@ -58,11 +58,11 @@ def test_held_out_accuracy(texts):
 
 
 def test_odd_texts_and_labels(spark, texts):
-    odd = spark.createDataFrame([(1, None, 1), (2, "", 0), (3, "zorgmo " * 5000, None), (None, "abc", 7), (4, "a", 0), (4, "a", 0)], "doc_id long, text string, label int")
+    odd = spark.createDataFrame([(901, None, 1), (902, "", 0), (903, "zorgmo " * 5000, None), (None, "abc", 7), (904, "a", 0), (904, "a", 0)], "doc_id long, text string, label int")
     every = texts.select("doc_id", "text", "label").unionByName(odd)
     model = toxicity.fit(every.drop("label"), every.drop("text"))
     got = {r.doc_id: r.score for r in toxicity.score(odd.select("doc_id", "text"), model).collect()}
-    assert got[1] == got[2] < 0.5 < got[3] and len(got) == 5
+    assert got[901] == got[902] < 0.5 < got[903] and len(got) == 5
 
 
 def test_one_class_or_none(texts):
