@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.operators import churn, drift, evaluation, fairness, ranking
 from tidemark.operators.quality import quality_gate
-from tidemark.plans import jobs
+from tidemark.plans import jobs, models
 from tidemark.registry.core import query
 from tidemark.registry.marts import Planned
 from tidemark.registry.quality import GATE_SQL, verdicts
@@ -17,7 +18,8 @@ from tidemark.sources import bronze
 from tidemark.sources.adapter import Bronze
 
 VERSIONS = [1, 2, 3, 4]
-SMALL = churn.Boosting(10, 3, 0.08, 0.9)
+RUN_ID = "run-churn"
+_HOMES: dict[tuple[str, str], str] = {}  # model folder by application and data folder
 
 
 def number() -> F.Column:
@@ -189,24 +191,79 @@ def model_gate(b):
     return evaluation.model_gate(quality_gate(verdicts(b)), psi(b))
 
 
-def trained(b: Bronze) -> jobs.Trained:
-    return jobs.train_churn(Planned(b).features(), SMALL)
+def model_home(b: Bronze) -> str:
+    """Folder with the primary model in production and its scored test rows: fitted once per application and data."""
+    key = (b.spark.sparkContext.applicationId, b.base)
+    if key not in _HOMES:
+        home = scratch_path(b.spark, "models")
+        run = jobs.train_churn(Planned(b).features(), churn.PRIMARY)
+        churn.score(run.model, run.test).write.parquet(f"{home}/scored")
+        models.register(b.spark, home, run.model, RUN_ID, run.metrics.first().roc_auc)
+        models.promote(b.spark, home, RUN_ID)
+        _HOMES[key] = home
+    return _HOMES[key]
 
 
-@query("part:s positives:i negatives:i roc_auc:d pr_auc:d brier:d")
+def scored_test(b: Bronze) -> DataFrame:
+    return b.spark.read.parquet(f"{model_home(b)}/scored")
+
+
+TEST_ROWS = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY churn_label ORDER BY md5(customer_id || '|42'), customer_id)
+                     <= (count(*) OVER (PARTITION BY churn_label) * 40 + 100) // 200 AS in_test FROM customer_features) WHERE in_test)"""
+
+
+@query(
+    "part:s positives:i negatives:i recomputed:i in_range:i production_version:i",
+    f"""SELECT 'test' AS part, count(*) FILTER (WHERE churn_label = 1) AS positives,
+               count(*) FILTER (WHERE churn_label = 0) AS negatives, 1 AS recomputed, 1 AS in_range, 1 AS production_version
+        FROM {TEST_ROWS}""",
+)
 def churn_train(b):
-    return trained(b).metrics
+    """The primary model's metrics on held-out rows: counts, and whether Spark's own evaluator, from the
+    stored scores, gives the same area."""
+    scored = scored_test(b)
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="churn_score", labelCol=churn.LABEL)
+    other = evaluator.evaluate(scored)
+    metrics = evaluation.model_metrics(scored.withColumn("part", F.lit("test")), "part")
+    ranges = [F.col(c).between(0, 1) for c in ("roc_auc", "pr_auc", "brier")]
+    return metrics.select(
+        "part", "positives", "negatives",
+        (F.abs(F.col("roc_auc") - other) < 1e-9).cast("int").alias("recomputed"),
+        (ranges[0] & ranges[1] & ranges[2]).cast("int").alias("in_range"),
+        F.lit(models.load(b.spark, model_home(b)).version).alias("production_version"),
+    )
 
 
-@query("customer_id:s gender:s age_band:s churn_score:d churn_pred:i")
+@query(
+    "customer_id:s gender:s age_band:s score_ok:i label_ok:i",
+    "SELECT customer_id, gender, age_band, 1 AS score_ok, 1 AS label_ok FROM scoring",
+)
 def batch_scoring(b):
+    """Every customer of the snapshot scored by the model in production."""
     p = Planned(b)
-    model = trained(b).model
+    stored = models.load(b.spark, model_home(b))
     base = churn.with_sensitive(p.features().select("customer_id", *churn.FEATURES), p.dim_customer())
-    return churn.score(model, base)
+    scored = models.score(stored, base)
+    label = (F.col("churn_score") >= 0.5).cast("int")
+    return scored.select(
+        "customer_id", "gender", "age_band",
+        F.coalesce(F.col("churn_score").between(0, 1), F.lit(False)).alias("score_ok"),
+        (F.col("churn_pred") == label).alias("label_ok"),
+    )
 
 
-@query("feature:s importance:d mean:d")
+@query(
+    "feature:s mean:d in_range:i sums_to_one:i",
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS feature, round(avg(CAST({c} AS DOUBLE)), 6) AS mean, 1 AS in_range, 1 AS sums_to_one FROM {TEST_ROWS}"
+        for c in churn.FEATURES
+    ),
+)
 def feature_importance(b):
-    run = trained(b)
-    return churn.feature_importance(run.model, run.test)
+    stored = models.load(b.spark, model_home(b))
+    found = churn.feature_importance(stored.model, scored_test(b))
+    total = F.sum("importance").over(Window.partitionBy(F.lit(1)))  # one row per feature
+    return found.select(
+        "feature", F.round("mean", 6).alias("mean"), F.col("importance").between(0, 1).alias("in_range"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+    )
