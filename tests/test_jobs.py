@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from tidemark.sources.adapter import AS_OF, Bronze
 
 SF = "/root/testdata/sf0.001"
 START = date(1995, 1, 1)
+FAILED = "fct_orders_pk_unica"
 TINY = churn.Boosting(3, 2, 0.1, 0.9)
 
 
@@ -19,7 +20,8 @@ def stored(spark):
     b = Bronze(spark, SF)
     spark.sql("CREATE DATABASE IF NOT EXISTS gold")
     # Line numbers repeat in the benchmark data, so its order_item_id is no key to dedup by.
-    return jobs.transform({n: b.entity(n) for n in STAGING}, AS_OF, START, "gold", dedup=False)
+    frames = jobs.store_marts(jobs.build_marts({n: b.entity(n) for n in STAGING}, AS_OF, START, dedup=False), "gold")
+    return frames, jobs.quality.quality_gate(jobs.check_marts(frames, AS_OF))
 
 
 def test_transform_stores_every_mart_and_gates(spark, stored):
@@ -32,6 +34,29 @@ def test_transform_stores_every_mart_and_gates(spark, stored):
     assert "order_month=" in frames["fct_orders"].inputFiles()[0]
 
 
+def test_a_red_gate_publishes_nothing_and_a_green_one_keeps_snapshots(spark, tmp_path):
+    b, home = Bronze(spark, SF), str(tmp_path)
+    spark.sql("CREATE DATABASE IF NOT EXISTS gated")
+    entities = {n: b.entity(n) for n in STAGING}
+    with pytest.raises(jobs.GateRejected):
+        jobs.transform(entities, AS_OF, START, home, "r1", "gated", dedup=False)
+    assert not spark.catalog.tableExists("gated.fct_orders")
+    gates = spark.read.parquet(f"{home}/quality_gates")
+    assert [(r.run_id, r.status) for r in gates.collect()] == [("r1", "rechazado")]
+    assert gates.first().tests_total == 62 + 46
+    repeated = spark.read.parquet(f"{home}/failures/run_id=r1/marts.fct_orders/{FAILED}")
+    assert repeated.columns == ["order_id", "product_id", "copies"] and repeated.count() > 0
+
+    entities["order_items"] = entities["order_items"].dropDuplicates(["order_id", "product_id"])
+    for run, day in (("r2", AS_OF), ("r3", AS_OF + timedelta(days=1))):
+        live, gate = jobs.transform(entities, day, START, home, run, "gated", dedup=False)
+        assert gate.first().status == "aprobado"
+    assert live["fct_orders"].count() == entities["order_items"].count()
+    days = {r.report_date for r in live["customer_features"].select("report_date").distinct().collect()}
+    assert days == {AS_OF, AS_OF + timedelta(days=1)}
+    assert spark.read.parquet(f"{home}/quality_gates").count() == 3
+
+
 def test_dedup_takes_the_last_extract_of_each_key(spark, rows):
     b = Bronze(spark, SF)
     entities = {n: b.entity(n) for n in STAGING}

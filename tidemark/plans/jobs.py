@@ -114,8 +114,14 @@ LAYOUT = {
 PARTITIONS = {"fct_orders": ["order_month"], "fct_payments": ["paid_month"], "customer_features": ["report_date"]}
 
 
-def store_marts(planned: Marts, database: str = "default") -> dict[str, DataFrame]:
-    """Full rebuild of all marts as tables; returns the stored tables."""
+CANDIDATE = "candidate_"
+
+
+def store_marts(planned: Marts, database: str = "default", prefix: str = "") -> dict[str, DataFrame]:
+    """Rebuild of all marts as tables; returns the stored tables.
+
+    Of `customer_features` only the snapshot's own `report_date` is replaced, earlier ones stay.
+    """
     stored = {}
     for name, sort_by in LAYOUT.items():
         if name == "customer_features":
@@ -126,11 +132,24 @@ def store_marts(planned: Marts, database: str = "default") -> dict[str, DataFram
             df = df.withColumn("order_month", F.date_format("order_date", "yyyy-MM"))
         if name == "fct_payments":
             df = df.withColumn("paid_month", F.date_format("paid_date", "yyyy-MM"))
-        tables.materialise(df, f"{database}.{name}", sort_by, PARTITIONS.get(name, ()))
-        stored[name] = df.sparkSession.table(f"{database}.{name}")
+        table = f"{database}.{prefix}{name}"
+        tables.materialise(df, table, sort_by, PARTITIONS.get(name, ()), keep_others=name == "customer_features")
+        stored[name] = df.sparkSession.table(table)
+        if name == "customer_features":
+            stored[name] = stored[name].where(F.col("report_date") == F.lit(planned.as_of))
     return stored
 
 
+def publish(spark: SparkSession, database: str = "default") -> dict[str, DataFrame]:
+    """Copies checked candidate tables over the live ones; earlier feature snapshots stay."""
+    live = {}
+    for name, sort_by in LAYOUT.items():
+        df, table = spark.table(f"{database}.{CANDIDATE}{name}"), f"{database}.{name}"
+        tables.materialise(df, table, sort_by, PARTITIONS.get(name, ()), keep_others=name == "customer_features")
+        live[name] = spark.table(table)
+    return live
+
+
 def refresh_fact(
     spark: SparkSession,
     path: str,
@@ -177,12 +196,66 @@ def register_views(frames: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def declared_verdicts(stored: dict[str, DataFrame], as_of: datetime | date) -> DataFrame:
+    """Verdicts of all declared column tests and relationships over stored marts."""
+    parts = [quality.run_checks(stored[name], name, checks, as_of) for name, checks in contracts.TESTS.items()]
+    for fact, fk, dim, pk in contracts.RELATIONSHIPS:
+        lost = merge.orphans(stored[fact], fk, stored[dim], pk).agg(F.coalesce(F.sum("fact_rows"), F.lit(0)).alias("violations"))
+        parts.append(
+            lost.select(
+                F.lit(fact).alias("table"), F.lit(f"{fk}_relationships").alias("id"), F.lit("relationships").alias("type"),
+                F.lit(quality.WARN).alias("severity"), (F.col("violations") == 0).alias("ok"), "violations",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def store_failures(stored: dict[str, DataFrame], verdicts: DataFrame, home: str, run_id: str) -> list[str]:
+    """Writes the failing rows of each failed test under `home`; returns the folders, one per test."""
+    red = {(r["table"], r["id"]) for r in verdicts.where("not ok").select("table", "id").collect()}  # one row per declared test
+    contracted = {c.table: c for c in contracts.CONTRACTS}
+    checks = [(name, name, c) for name, listed in contracts.TESTS.items() for c in listed]
+    checks += [(t, t.split(".")[1], c) for t, k in contracted.items() for c in quality.contract_checks(k, stored[t.split(".")[1]].columns)]
+    folders = []
+    for table, mart, check in checks:
+        if (table, check.name) in red and check.type != "freshness":
+            path = f"{home}/failures/run_id={run_id}/{table}/{check.name}"
+            quality.violations(stored[mart], check).write.mode("overwrite").parquet(path)
+            folders.append(path)
+    for fact, fk, dim, pk in contracts.RELATIONSHIPS:
+        if (fact, f"{fk}_relationships") in red:
+            path = f"{home}/failures/run_id={run_id}/{fact}/{fk}_relationships"
+            merge.orphans(stored[fact], fk, stored[dim], pk).write.mode("overwrite").parquet(path)
+            folders.append(path)
+    return folders
+
+
 def transform(
-    entities: dict[str, DataFrame], as_of: date, start: date, database: str = "default", dedup: bool = True
+    entities: dict[str, DataFrame],
+    as_of: date,
+    start: date,
+    home: str,
+    run_id: str,
+    database: str = "default",
+    dedup: bool = True,
 ) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Builds and stores the marts, then the one-row quality gate. Returns both."""
-    stored = store_marts(build_marts(entities, as_of, start, dedup=dedup), database)
-    return stored, quality.quality_gate(check_marts(stored, as_of))
+    """Builds candidate marts, checks them, records the verdict and publishes only if no critical check failed.
+
+    The gate row is appended to `home`/quality_gates and the failing rows of every red test are stored,
+    whatever the verdict. A rejected run raises `GateRejected` and leaves the live marts as they
+    were. Returns the live marts and the gate row.
+    """
+    stored = store_marts(build_marts(entities, as_of, start, dedup=dedup), database, CANDIDATE)
+    spark = next(iter(stored.values())).sparkSession
+    verdicts = settle(check_marts(stored, as_of).unionByName(declared_verdicts(stored, as_of)), "verdicts")
+    gate = settle(quality.quality_gate(verdicts), "gate")
+    recorded = gate.select(F.lit(run_id).alias("run_id"), F.lit(as_of).alias("as_of"), "*")
+    tables.append(recorded.coalesce(1), f"{home}/quality_gates")  # one row
+    store_failures(stored, verdicts, home, run_id)
+    row = gate.first()
+    if row.status == quality.REJECTED:
+        raise GateRejected(f"{run_id}: {row.critical_failed} critical checks failed; see {home}/failures")
+    return publish(spark, database), gate
 
 
 @dataclass

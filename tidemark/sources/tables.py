@@ -21,17 +21,26 @@ NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 LEASE_SECONDS = 24 * 3600  # a staged run without a marker is another writer's for so long
 
 
-def materialise(df: DataFrame, table: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
-    """Full rebuild of a managed table, laid out so file statistics can skip on `sort_by`."""
+def materialise(
+    df: DataFrame, table: str, sort_by: Sequence[str] = (), partition_by: Sequence[str] = (), keep_others: bool = False
+) -> None:
+    """Rebuild of a managed table, laid out so file statistics can skip on `sort_by`.
+
+    With `keep_others`, partitions that `df` has no row of stay as they are.
+    """
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     elif sort_by:
         df = df.repartitionByRange(*sort_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
+    if keep_others and partition_by and df.sparkSession.catalog.tableExists(table):
+        names = df.sparkSession.table(table).columns
+        df.select(*names).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(table)
+        return
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
+        writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(table)
 
 
