@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.registry import REGISTRY
 
 SF = "/root/testdata/sf0.001"
 QUERIES = {k: q for k, q in entry.queries().items() if k in REGISTRY}
@@ -49,3 +50,22 @@ def test_groups_are_reduced_before_the_shuffle(spark, key):
     plan = plan_of(QUERIES[key](spark, SF))
     assert "partial_" in plan
     assert "Window" not in plan
+
+
+@pytest.mark.parametrize("key, table, scans", [("unique_violations", "part", 1), ("features_point_in_time", "lineitem", 1)])
+def test_a_mart_is_read_once_for_all_its_checks(spark, key, table, scans):
+    plan = plan_of(QUERIES[key](spark, SF))
+    assert len(re.findall(rf"FileScan[^\n]*/{table}\.parquet", plan)) == scans
+
+
+def test_one_plan_at_every_size(spark):
+    def shape(sf):
+        text = plan_of(QUERIES["fct_orders"](spark, f"/root/testdata/{sf}"))
+        return [re.sub(r"[#\[({<].*| \(\d+\)", "", line).strip(" +-:*") for line in text.splitlines() if "Scan" not in line]
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # else Spark's own size check decides
+    try:
+        assert shape("sf0.001") == shape("sf0.01") == shape("sf0.1")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

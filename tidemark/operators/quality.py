@@ -94,6 +94,18 @@ def surplus_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_key.agg(F.coalesce(F.sum(F.when(whole, F.col("n") - 1).otherwise(F.col("n"))), F.lit(0)).alias("violations"))
 
 
+def surplus_by_check(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """`surplus_rows` of several uniqueness checks from one scan and one shuffle: columns v0, v1, ..."""
+    cells = []
+    for i, check in enumerate(checks):
+        whole = reduce(lambda a, c: a & F.col(c).isNotNull(), check.columns, F.lit(True))
+        key = F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{n}") for n, c in enumerate(check.columns)]))
+        cells.append(F.struct(F.lit(i).alias("check"), key.alias("key"), whole.alias("whole")))
+    per_key = df.select(F.inline(F.array(*cells))).groupBy("check", "key", "whole").agg(F.count(F.lit(1)).alias("n"))
+    surplus = F.when(F.col("whole"), F.col("n") - 1).otherwise(F.col("n"))
+    return per_key.agg(*[F.coalesce(F.sum(F.when(F.col("check") == i, surplus)), F.lit(0)).alias(f"v{i}") for i in range(len(checks))])
+
+
 def violations(df: DataFrame, check: Check) -> DataFrame:
     """The rows that fail a check, for storing next to the verdict. A late table has no failing row."""
     if is_unique_check(check):
@@ -119,17 +131,20 @@ def _verdict(check: Check, table: str, measured: Column) -> Column:
 
 
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check], as_of: datetime | date) -> DataFrame:
-    """Verdict rows for `checks`: one aggregate pass plus one aggregation per uniqueness check."""
+    """Verdict rows for `checks`: one aggregate pass plus one for all uniqueness checks."""
     single = [c for c in checks if not is_unique_check(c)]
     parts: list[DataFrame] = []
     if single:
         wide = df.agg(*[measure(c, as_of).alias(f"m{i}") for i, c in enumerate(single)])
         verdicts = F.array(*[_verdict(c, table, F.col(f"m{i}")) for i, c in enumerate(single)])
         parts.append(wide.select(F.inline(verdicts)))
-    for check in checks:
-        if is_unique_check(check):
-            counted = surplus_rows(df, check.columns)
-            parts.append(counted.select(F.inline(F.array(_verdict(check, table, F.col("violations"))))))
+    keyed = [c for c in checks if is_unique_check(c)]
+    if len(keyed) == 1:
+        counted = surplus_rows(df, keyed[0].columns)
+        parts.append(counted.select(F.inline(F.array(_verdict(keyed[0], table, F.col("violations"))))))
+    elif keyed:
+        verdicts = F.array(*[_verdict(c, table, F.col(f"v{i}")) for i, c in enumerate(keyed)])
+        parts.append(surplus_by_check(df, keyed).select(F.inline(verdicts)))
     return reduce(DataFrame.unionByName, parts, df.sparkSession.createDataFrame([], RESULT_SCHEMA))
 
 

@@ -292,28 +292,38 @@ def features_of_orders(
     as_of: date,
     churn_days: int = CHURN_DAYS,
     grain: str = "line",
+    look_ahead: bool = False,
 ) -> DataFrame:
     """`customer_features` from `order_values`, which several snapshots can share.
 
     `grain="line"` counts lines of the last 30 days, `grain="order"` counts orders. Lines are
     reduced per order, then per customer, so a customer with very many orders is spread over tasks.
+    With `look_ahead` the label is whether no order came in the `churn_days` after `as_of`, from the
+    same pass.
     """
     if grain not in ("line", "order"):
         raise ValueError(f"grain must be 'line' or 'order', not {grain!r}")
     today = F.lit(as_of)
     per_order = values.where(~F.col("status").isin(*EXCLUDED_STATUSES)).where(
-        (F.col("order_date") >= F.date_sub(today, 365)) & (F.col("order_date") <= today)
+        (F.col("order_date") >= F.date_sub(today, 365))
+        & (F.col("order_date") <= (F.date_add(today, churn_days) if look_ahead else today))
     )
     recent = F.col("order_date") >= F.date_sub(today, 30)
     counted = F.col("line_count") if grain == "line" else F.lit(1)
+    known = (lambda c: F.when(F.col("order_date") <= today, c)) if look_ahead else (lambda c: c)
+    later = F.max((F.col("order_date") > today).cast("int"))
     orders = per_order.groupBy("customer_id").agg(
-        F.max("order_date").alias("last_order_date"),
-        F.min("order_date").alias("first_order_date"),
-        F.count(F.lit(1)).alias("orders_total"),
-        F.sum(F.when(recent, counted).otherwise(0)).alias("orders_last_30d"),
-        F.sum("order_value").alias("value"),
-        F.sum("line_count").alias("value_lines"),
+        F.max(known(F.col("order_date"))).alias("last_order_date"),
+        F.min(known(F.col("order_date"))).alias("first_order_date"),
+        F.count(known(F.lit(1))).alias("orders_total"),
+        F.sum(known(F.when(recent, counted).otherwise(0))).alias("orders_last_30d"),
+        F.sum(known(F.col("order_value"))).alias("value"),
+        F.sum(known(F.col("line_count"))).alias("value_lines"),
+        *([later.alias("ordered_later")] if look_ahead else []),
     )
+    if look_ahead:
+        orders = orders.where(F.col("orders_total") > 0)
+    churned = 1 - F.col("ordered_later") if look_ahead else (F.col("last_order_date") < F.date_sub(today, churn_days)).cast("int")
     opened = (
         tickets.where(F.col("customer_id").isNotNull())
         .where((F.col("opened_date") >= F.date_sub(today, 90)) & (F.col("opened_date") <= today))
@@ -329,7 +339,7 @@ def features_of_orders(
         money(F.col("value")).alias("monetary_365d"),
         (mean_cents.cast("decimal(18,0)") / 100).cast("decimal(18,2)").alias("avg_ticket"),
         F.coalesce("tickets_support_90d", F.lit(0)).cast("int").alias("tickets_support_90d"),
-        (F.col("last_order_date") < F.date_sub(today, churn_days)).cast("int").alias("churn_label"),
+        churned.alias("churn_label"),
         F.col("orders_total").cast("int").alias("orders_total"),
         "first_order_date",
         "last_order_date",
@@ -344,15 +354,7 @@ def point_in_time_features(
 
     The snapshot's own label follows from `recency_days`; this one does not leak.
     """
-    known = customer_features(sales, tickets, cutoff, churn_days).drop("churn_label")
-    start = F.lit(cutoff)
-    later = (
-        sales.where(~F.col("status").isin(*EXCLUDED_STATUSES))
-        .where((F.col("order_date") > start) & (F.col("order_date") <= F.date_add(start, churn_days)))
-        .groupBy("customer_id")
-        .agg(F.lit(0).alias("churn_label"))
-    )
-    return known.join(later, "customer_id", "left").withColumn("churn_label", F.coalesce("churn_label", F.lit(1)))
+    return features_of_orders(order_values(sales), tickets, cutoff, churn_days, look_ahead=True)
 
 
 def new_snapshot(features: DataFrame, loaded_until: date | None) -> DataFrame:

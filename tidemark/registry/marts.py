@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.contracts import RELATIONSHIPS
 from tidemark.operators import merge
 from tidemark.operators.staging import STAGING
 from tidemark.plans import marts
@@ -313,6 +314,18 @@ def features_incremental(b):
     return merge.delete_insert(loaded, fresh, ["customer_id"])
 
 
+def related(p: Planned, name: str, column: str) -> DataFrame:
+    """A side of a relationship, with no more work than its key needs."""
+    frames = {
+        "fct_orders": lambda: p.fct_orders() if column == "product_sk" else p.sales(),
+        "fct_payments": p.fct_payments,
+        "dim_customer": lambda: p.stg("customers"),  # every staged customer has a version
+        "dim_product": p.dim_product,
+        "dim_date": lambda: p.calendar,
+    }
+    return frames[name]()
+
+
 for _fk, _key in (
     (("fct_orders", "customer_id", "dim_customer", "customer_id"), "fk_orphans_customer"),
     (("fct_orders", "date_key", "dim_date", "date_key"), "fk_orphans_date"),
@@ -324,14 +337,7 @@ for _fk, _key in (
     def _orphans(b, fk=_fk):
         fact, column, dim, pk = fk
         p = Planned(b)
-        frames = {
-            "fct_orders": lambda: p.fct_orders() if column == "product_sk" else p.sales(),
-            "fct_payments": p.fct_payments,
-            "dim_customer": p.dim_customer,
-            "dim_product": p.dim_product,
-            "dim_date": lambda: p.calendar,
-        }
-        return merge.orphans(frames[fact](), column, frames[dim](), pk)
+        return merge.orphans(related(p, fact, column), column, related(p, dim, pk), pk)
 
     query(
         f"{_fk[1]}:{'i' if _fk[1] == 'date_key' else 's'} fact_rows:i",
@@ -340,3 +346,26 @@ for _fk, _key in (
             GROUP BY {_fk[1]}""",
         key=_key,
     )(_orphans)
+
+
+KEPT = "substr(md5(CAST({} AS {})), 1, 1) >= '4'"
+
+
+@query(
+    "fact:s fk:s key:s fact_rows:i",
+    "\nUNION ALL ".join(
+        f"""SELECT '{fact}' AS fact, '{fk}' AS fk, CAST({fk} AS VARCHAR) AS key, count(*) AS fact_rows FROM {fact} f
+            WHERE {fk} IS NOT NULL AND NOT EXISTS (
+              SELECT 1 FROM {dim} d WHERE d.{pk} = f.{fk} AND {KEPT.format(f'd.{pk}', 'VARCHAR')})
+            GROUP BY {fk}"""
+        for fact, fk, dim, pk in RELATIONSHIPS
+    ),
+)
+def fk_orphans_planted(b):
+    """All relationships against parents of which a quarter was lost."""
+    p, parts = Planned(b), []
+    for fact, fk, dim, pk in RELATIONSHIPS:
+        parents = related(p, dim, pk).where(KEPT.format(pk, "STRING"))
+        lost = merge.orphans(related(p, fact, fk), fk, parents, pk)
+        parts.append(lost.select(F.lit(fact).alias("fact"), F.lit(fk).alias("fk"), F.col(fk).cast("string").alias("key"), "fact_rows"))
+    return reduce(DataFrame.unionByName, parts)
