@@ -7,7 +7,9 @@ from tidemark.operators import churn
 from tidemark.operators.staging import STAGING
 from tidemark.plans import jobs
 from tidemark.registry.marts import Planned
+from tidemark.session import checkpoint_root
 from tidemark.sources.adapter import AS_OF, Bronze
+from tidemark.sources.files import Files
 
 SF = "/root/testdata/sf0.001"
 START = date(1995, 1, 1)
@@ -55,6 +57,8 @@ def test_a_red_gate_publishes_nothing_and_a_green_one_keeps_snapshots(spark, tmp
     days = {r.report_date for r in live["customer_features"].select("report_date").distinct().collect()}
     assert days == {AS_OF, AS_OF + timedelta(days=1)}
     assert spark.read.parquet(f"{home}/quality_gates").count() == 3
+    root = f"{checkpoint_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    assert not [n for n in Files(spark, root).names(root) if n.startswith(("verdicts", "touched"))]
 
 
 def test_dedup_takes_the_last_extract_of_each_key(spark, rows):

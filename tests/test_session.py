@@ -41,3 +41,15 @@ def test_clear_scratch(spark):
     assert Files(spark, folder).exists(folder)
     session.clear_scratch(spark)
     assert not Files(spark, folder).exists(folder)
+
+
+def test_a_scope_deletes_what_was_settled_inside(spark):
+    from tidemark.session import scratch_scope, settle
+    from tidemark.sources.files import Files
+
+    outer = settle(spark.range(3), "outer")
+    with scratch_scope(spark):
+        path = settle(spark.range(5), "inner").inputFiles()[0].rsplit("/", 1)[0]
+        files = Files(spark, path)
+        assert files.exists(path)
+    assert not files.exists(path) and outer.count() == 3

@@ -15,7 +15,7 @@ from tidemark.operators import churn, evaluation, merge, quality
 from tidemark.operators.ranking import stratified_split
 from tidemark.plans import marts
 from tidemark.schemas import KEYS
-from tidemark.session import settle
+from tidemark.session import scratch_scope, settle
 from tidemark.sources import bronze, tables
 from tidemark.sources.files import Files
 
@@ -247,12 +247,14 @@ def transform(
     """
     stored = store_marts(build_marts(entities, as_of, start, dedup=dedup), database, CANDIDATE)
     spark = next(iter(stored.values())).sparkSession
-    verdicts = settle(check_marts(stored, as_of).unionByName(declared_verdicts(stored, as_of)), "verdicts")
-    gate = settle(quality.quality_gate(verdicts), "gate")
-    recorded = gate.select(F.lit(run_id).alias("run_id"), F.lit(as_of).alias("as_of"), "*")
-    tables.append(recorded.coalesce(1), f"{home}/quality_gates")  # one row
-    store_failures(stored, verdicts, home, run_id)
-    row = gate.first()
+    with scratch_scope(spark):
+        verdicts = settle(check_marts(stored, as_of).unionByName(declared_verdicts(stored, as_of)), "verdicts")
+        planned = quality.quality_gate(verdicts)
+        row = planned.first()
+        gate = spark.createDataFrame([row], planned.schema)
+        recorded = gate.select(F.lit(run_id).alias("run_id"), F.lit(as_of).alias("as_of"), "*")
+        tables.append(recorded.coalesce(1), f"{home}/quality_gates")  # one row
+        store_failures(stored, verdicts, home, run_id)
     if row.status == quality.REJECTED:
         raise GateRejected(f"{run_id}: {row.critical_failed} critical checks failed; see {home}/failures")
     return publish(spark, database), gate

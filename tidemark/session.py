@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,6 +54,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tidemark/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Deletes, at its end, the tables settled inside; for jobs whose results do not read them."""
+    from tidemark.sources.files import Files
+
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            Files(spark, path).delete(path)
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Writes `df` to the shared folder and returns the written table. Runs a job.
 
@@ -60,6 +79,8 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     re-read instead of a recomputation, and later plans know its size.
     """
     path = scratch_path(df.sparkSession, name)
+    if _SCOPES:
+        _SCOPES[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -13,7 +13,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.session import settle
+from tidemark.session import scratch_scope, settle
 from tidemark.sources.files import Files
 
 STAGED, READY = "_staged", "_READY"
@@ -147,6 +147,7 @@ def upsert(
     target = spark.read.schema(batch.schema).parquet(path)
     if moving:
         touched = touched.unionByName(target.join(batch.select(*keys), list(keys), "left_semi").select(partition))
-    touched = settle(touched.distinct(), "touched")
-    inside = target.join(touched.withColumnRenamed(partition, "_p"), F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
-    replace_partitions(merge(inside, batch), path, partition, touched)
+    with scratch_scope(spark):
+        touched = settle(touched.distinct(), "touched")
+        inside = target.join(touched.withColumnRenamed(partition, "_p"), F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
+        replace_partitions(merge(inside, batch), path, partition, touched)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tidemark.operators.merge import merge_latest
+from tidemark.session import scratch_scope, settle
 from tidemark.sources.tables import upsert
 
 
@@ -32,11 +33,8 @@ def stream_upsert(
     merge = partial(merge_latest, keys=list(keys), order=list(order))
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        rows = transform(batch).persist()  # read three times: key lookup, partition names, merge
-        try:
-            upsert(rows, target, keys, partition, merge)
-        finally:
-            rows.unpersist()
+        with scratch_scope(spark):  # the batch is read three times: key lookup, partition names, merge
+            upsert(settle(transform(batch), "stream-batch"), target, keys, partition, merge)
 
     files = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
     query = (
