@@ -85,6 +85,14 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > 1)
 
 
+def duplicate_diagnosis(bronze: DataFrame, gold: DataFrame, keys: list[str], day: str = "dt") -> DataFrame:
+    """Keys repeated in Bronze or Gold: copies on both sides and the days on which Bronze got them."""
+    days = F.array_join(F.array_sort(F.collect_set(F.col(day).cast("string"))), ",")  # at most one entry per day
+    landed = bronze.groupBy(*keys).agg(F.count(F.lit(1)).alias("bronze_copies"), days.alias("days"))
+    both = landed.join(duplicate_keys(gold, keys), keys, "full").withColumnRenamed("copies", "gold_copies")
+    return both.where((F.col("bronze_copies") > 1) | F.col("gold_copies").isNotNull())
+
+
 def surplus_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row with `violations` = rows - distinct keys. A key with a NULL part is not distinct."""
     whole = F.lit(True)

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.contracts import RELATIONSHIPS
 from tidemark.operators import merge
 from tidemark.operators.staging import STAGING
-from tidemark.plans import marts
+from tidemark.plans import jobs, marts
 from tidemark.registry.core import query
 from tidemark.registry.ctes import AS_OF
-from tidemark.session import settle
+from tidemark.session import scratch_path, settle
 from tidemark.sources import tables
+from tidemark.sources.bronze import write_partitions
 from tidemark.sources.adapter import Bronze
 
 CAL_START = date(1995, 1, 1)
@@ -45,8 +46,8 @@ class Planned:
             self.stg("orders", **bounds), self.stg("order_items"), self.stg("products"), self.calendar, since
         )
 
-    def fct_payments(self) -> DataFrame:
-        return marts.fct_payments(self.stg("payments"), self.stg("orders"), self.calendar)
+    def fct_payments(self, since: date | None = None) -> DataFrame:
+        return marts.fct_payments(self.stg("payments"), self.stg("orders"), self.calendar, since)
 
     def dim_customer(self, **options) -> DataFrame:
         return marts.dim_customer(self.stg("customers"), self.stg("orders"), **options)
@@ -298,6 +299,49 @@ def fct_orders_incremental(b):
     return merge.delete_insert(loaded, p.fct_orders(since=since, first=since), ["order_id"])
 
 
+def refreshed(b: Bronze, name: str, build, keys: list[str], day: str) -> DataFrame:
+    """A fact stored by month: loaded up to ten days ago, then refreshed from its own last business day."""
+    path, cutoff = scratch_path(b.spark, name), b.as_of - timedelta(days=10)
+
+    def monthly(until):
+        return lambda since: build(since).where(F.col(day) <= F.lit(until)).withColumn("month", F.date_format(day, "yyyy-MM"))
+
+    jobs.refresh_fact(b.spark, path, monthly(cutoff), keys, "month", day)
+    jobs.refresh_fact(b.spark, path, monthly(b.as_of), keys, "month", day, moving=False)
+    return b.spark.read.parquet(path)
+
+
+@query(
+    "order_id:s product_id:s order_date:s quantity:i line_total:d gross_margin:d month:s",
+    f"""SELECT order_id, product_id, order_date, quantity, line_total, gross_margin, strftime(order_date, '%Y-%m') AS month
+        FROM fct_orders WHERE order_date <= {AS_OF}""",
+)
+def fct_orders_stored_refresh(b):
+    return refreshed(b, "fact-orders", Planned(b).fct_orders, ["order_id"], "order_date")
+
+
+@query(
+    "payment_id:s order_id:s paid_date:s paid_amount:d amount_gap:d month:s",
+    f"""SELECT payment_id, order_id, paid_date, paid_amount, amount_gap, strftime(paid_date, '%Y-%m') AS month
+        FROM fct_payments WHERE paid_date <= {AS_OF}""",
+)
+def fct_payments_incremental(b):
+    return refreshed(b, "fact-payments", Planned(b).fct_payments, ["payment_id"], "paid_date")
+
+
+@query(
+    "customer_id:s report_date:s recency_days:i monetary_365d:d churn_label:i",
+    """SELECT customer_id, report_date, recency_days, monetary_365d, churn_label FROM features_before
+       UNION ALL SELECT customer_id, report_date, recency_days, monetary_365d, churn_label FROM customer_features""",
+)
+def features_snapshots(b):
+    """Two snapshots stored by report date; the second is stored twice and replaces only itself."""
+    p, path = Planned(b), scratch_path(b.spark, "snapshots")
+    for days in (30, 0, 0):
+        write_partitions(p.features(days_ago=days), path, "report_date")
+    return b.spark.read.parquet(path)
+
+
 @query(
     "customer_id:s report_date:s recency_days:i monetary_365d:d churn_label:i",
     """SELECT customer_id, report_date, recency_days, monetary_365d, churn_label FROM features_before

@@ -315,3 +315,20 @@ def stg_orders_dirty(b):
         [("bad_amount", F.col("total_amount").isNull()), ("negative_amount", F.col("total_amount") < 0)],
     )
     return good.withColumn("reason", F.lit(None).cast("string")).unionByName(bad)
+
+
+@query(
+    "order_id:s product_id:s bronze_copies:i days:s gold_copies:i",
+    """SELECT coalesce(b.order_id, g.order_id) AS order_id, coalesce(b.product_id, g.product_id) AS product_id,
+              b.bronze_copies, b.days, g.gold_copies
+       FROM (SELECT order_id, product_id, count(*) AS bronze_copies,
+                    string_agg(DISTINCT CAST(dt AS VARCHAR), ',' ORDER BY CAST(dt AS VARCHAR)) AS days
+             FROM b_order_items GROUP BY order_id, product_id) b
+       FULL JOIN (SELECT order_id, product_id, count(*) AS gold_copies FROM fct_orders
+                  GROUP BY order_id, product_id HAVING count(*) > 1) g
+         ON g.order_id = b.order_id AND g.product_id = b.product_id
+       WHERE b.bronze_copies > 1 OR g.gold_copies IS NOT NULL""",
+)
+def duplicate_diagnosis(b):
+    """Repeated (order, product) pairs with the days they landed on."""
+    return quality.duplicate_diagnosis(b.order_items(), Planned(b).sales(), ["order_id", "product_id"])
