@@ -37,6 +37,10 @@ HEADLINE = (
     "kpi_seller",
     "avg_ticket_channel",
     "unique_combination",
+    "unique_violations",
+    "schema_match",
+    "features_point_in_time",
+    "fct_orders_incremental",
     "null_profile",
     "quality_gate",
     "anomaly_volume",
