@@ -1,7 +1,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, key long, id long, k long, size string, p string, f0 string, digest string, leaf string, bucket string"
 

@@ -6,6 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import settle  # noqa: F401  (written intermediate tables in the shared folder)
@@ -37,10 +38,17 @@ def parts_for(rows: int, per_part: int) -> int:
     return max(1, math.ceil(rows / per_part))
 
 
-def slices(batch: pa.RecordBatch, rows: int = 256):
-    """Consecutive parts of a batch, so that Python copies of long texts stay few."""
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def slices(batch: pa.RecordBatch, rows: int = 256, size: int = 4 << 20):
+    """Consecutive parts of a batch of at most `rows` rows and, but for a longer text alone, `size` bytes of `text`."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    if "text" in batch.schema.names:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy().astype(np.int64)
+    upto, at = np.cumsum(sizes), 0
+    while at < batch.num_rows:
+        fits = int(np.searchsorted(upto, size + (upto[at - 1] if at else 0), side="right"))
+        end = min(at + rows, max(fits, at + 1))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def row_hash(df: DataFrame) -> Column:

@@ -49,7 +49,7 @@ def votes(texts: list[str], kinds: np.ndarray) -> np.ndarray:
     """Votes (texts, labellers): good, bad, or abstain where a text lacks what a labeller measures."""
     points, ends = code_points(texts, lower=False)
     sizes = np.diff(ends, prepend=0)
-    of = np.repeat(np.arange(len(texts)), sizes)
+    of = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
     kind = kinds[np.minimum(points, 0x3000)]
     total = lambda mask: np.bincount(of[mask], minlength=len(texts)).astype(float)
     space = kind & SPACE > 0
@@ -62,7 +62,7 @@ def votes(texts: list[str], kinds: np.ndarray) -> np.ndarray:
     words = total(starts)
     odd = ~space & (kind & (LETTER | DIGIT) == 0) & ~((kind & PLAIN > 0) & closes & ~opens)  # but one closing mark
     inside = kind & UPPER & ~opens * np.uint8(255) > 0
-    word = np.cumsum(starts) - 1
+    word = np.cumsum(starts, dtype=np.int32) - 1
     n_words = int(starts.sum())
     dirty = np.bincount(word[odd], minlength=n_words) > 0
     cased = dirty | (np.bincount(word[inside], minlength=n_words) > 0)

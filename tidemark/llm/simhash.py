@@ -269,7 +269,8 @@ def groups(marked: DataFrame, names: list[str], linked) -> DataFrame:
     roots = components(linked(distinct.select("id", *names)))
     placed = distinct.join(roots, distinct["id"] == roots["node"], "left").select(*names, "first", F.coalesce("root", "id").alias("root"))
     placed = settle(placed, "simhash_roots")
-    least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Written, so that the join's sides are plain shuffles and a hot root can be split.
+    least = settle(placed.groupBy("root").agg(F.min("first").alias("component_id")), "simhash_components")
     placed = placed.join(least, "root").select(*names, "component_id")
     return marked.join(placed, names)
 
