@@ -6,7 +6,8 @@ contribution is nonnegative, so a term has a score bound: weight times the colum
 query the terms are ordered by their bounds. The terms whose bounds together cannot lift a vector
 from the floor to the k-th best score so far are non-essential. Only essential lists are traversed for
 all vectors of a block; the other terms are probed one by one, largest bound first, for the vectors
-that can still reach the k-th best score. Queries go through a shard in groups, as one product.
+that can still reach the k-th best score, or all at once where these are many. Queries go through a
+shard in groups, as one product.
 
 Shards and blocks of queries have bounded numbers of rows and meet pair by pair, so neither side is
 broadcast. A shard gives at most k rows a query; these are merged by rank.
@@ -23,6 +24,7 @@ from tidemark.llm.common import parts_for, settle
 SHARD = 4096
 QUERIES = 4096
 BLOCK = 2048
+PROBES = 64  # vectors of a block that a query probes term by term
 EXACT = 2**53  # doubles hold integers below exactly
 
 
@@ -57,6 +59,12 @@ def best_of(query: np.ndarray, score: np.ndarray, vec: np.ndarray, k: int) -> tu
     return query[keep], score[keep], vec[keep]
 
 
+def raise_least(least: np.ndarray, rows: np.ndarray, score: np.ndarray, k: int) -> None:
+    """Partial scores only rise, so the k-th best is at least the k + 1-th of them (one may be the query's own)."""
+    if score.shape[1] > k:
+        least[rows] = np.maximum(least[rows], np.partition(score, -k - 1, axis=1)[:, -k - 1])
+
+
 def max_score(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, columns: np.ndarray, bounds: list, k: int, seen=None):
     """(query row, score, id) of the k best vectors of a shard for each query; `columns` is (dimensions, vectors).
 
@@ -66,7 +74,8 @@ def max_score(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, columns: np
     """
     m, d = queries.shape
     top_q, top_s, top_i = np.empty(0, np.int64), np.empty(0, columns.dtype), np.empty(0, np.int64)
-    least, full = np.zeros(m, columns.dtype), np.zeros(m, bool)  # the k-th best score, of queries that have k
+    below = -(2**62) if columns.dtype.kind == "i" else -np.inf
+    least = np.full(m, below, columns.dtype)  # the k-th best score, of queries that have k
     rows = np.arange(m)[:, None]
     for start, end, low, high in bounds:
         base = np.where(queries > 0, low, high)
@@ -76,7 +85,7 @@ def max_score(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, columns: np
         rest[:, :d] = np.cumsum(spread[rows, order][:, ::-1], axis=1)[:, ::-1]
         floor = (queries * base).sum(1)
         # Terms from rank `essential` on cannot lift a vector from the floor to the k-th best score.
-        able = (floor[:, None] + rest >= least[:, None]) | ~full[:, None]
+        able = floor[:, None] + rest >= least[:, None]
         essential = np.minimum(able.sum(1), d)
         live = np.flatnonzero(able[:, 0])
         if not len(live):
@@ -85,27 +94,35 @@ def max_score(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, columns: np
         chosen[np.arange(len(live))[:, None], order[live]] = np.arange(d) < essential[live, None]
         weights = np.where(chosen, queries[live], 0)
         score = weights @ columns[:, start:end] + (floor[live] - (weights * base[live]).sum(1))[:, None]
-        hope = rest[live, essential[live]]
-        q, at = np.nonzero((score + hope[:, None] >= least[live, None]) | ~full[live, None])
-        score, q, at = score[q, at], live[q], at + start
-        done = essential[q]
+        done = essential.copy()
+        raise_least(least, live, score, k)
+        hopes = score + rest[live, done[live], None] >= least[live, None]
+        many = np.flatnonzero((hopes.sum(1) > PROBES) & (done[live] < d))
+        if len(many):  # so many can still compete that the other terms are cheaper as a product too
+            others = np.where(chosen[many], 0, queries[live[many]])
+            score[many] += others @ columns[:, start:end] - (others * base[live[many]]).sum(1)[:, None]
+            done[live[many]] = d
+            raise_least(least, live[many], score[many], k)
+            hopes[many] = score[many] >= least[live[many], None]
         if seen is not None:
-            seen.append(int(essential[live].sum()) * (end - start))
+            seen.append(int(done[live].sum()) * (end - start))
+        q, at = np.nonzero(hopes)
+        score, q, at = score[q, at], live[q], at + start
+        done = done[q]
         while (open_ := done < d).any():  # probe one more term for all that can still compete
             term = order[q[open_], done[open_]]
             score[open_] += queries[q[open_], term] * (columns[term, at[open_]] - base[q[open_], term])
             done[open_] += 1
             if seen is not None:
                 seen.append(int(open_.sum()))
-            stay = (score + rest[q, done] >= least[q]) | ~full[q]
+            stay = score + rest[q, done] >= least[q]
             q, at, score, done = q[stay], at[stay], score[stay], done[stay]
         other = ids[at] != own[q]
         parts = zip((top_q, top_s, top_i), (q[other], score[other], ids[at[other]]))
         top_q, top_s, top_i = best_of(*[np.concatenate(p) for p in parts], k)
         last = np.flatnonzero(np.diff(top_q, append=-1))  # each query's worst row so far
-        count = np.bincount(top_q, minlength=m)
-        full = count >= k
-        least[top_q[last]] = top_s[last]
+        last = last[np.bincount(top_q, minlength=m)[top_q[last]] >= k]
+        least[top_q[last]] = np.maximum(least[top_q[last]], top_s[last])
     return top_q, top_s, top_i
 
 
