@@ -104,7 +104,7 @@ CONTRACTS = (FCT_ORDERS, DIM_CUSTOMER, CUSTOMER_FEATURES)
 
 ORDER_STATUSES = ("pending", "paid", "shipped", "delivered", "cancelled", "refunded")
 
-# Column tests per mart; `critical` ones gate publication.
+# Column tests per mart; `critical` ones gate publication.
 TESTS: dict[str, tuple[Check, ...]] = {
     "dim_date": (Check("unique", ("date_key",), WARN), Check("not_null", ("date_key",), WARN)),
     "dim_customer": (
@@ -160,7 +160,7 @@ TESTS: dict[str, tuple[Check, ...]] = {
     ),
 }
 
-# (fact, foreign key, dimension, primary key)
+# Relationships (fact, foreign key, dimension, primary key).
 RELATIONSHIPS = (
     ("fct_orders", "customer_id", "dim_customer", "customer_id"),
     ("fct_orders", "date_key", "dim_date", "date_key"),
@@ -169,7 +169,7 @@ RELATIONSHIPS = (
     ("fct_payments", "date_key", "dim_date", "date_key"),
 )
 
-# Days kept per kind of data.
+# Days kept per kind of data.
 RETENTION_DAYS = {
     "session_events": 30,
     "routing_decisions": 90,

@@ -29,7 +29,7 @@ def silver(entities: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def category_map(spark: SparkSession, path: str | None = None) -> DataFrame:
-    """Typed scan of the category lookup; without a path, the lines shipped with the package."""
+    """Typed scan of the category lookup; without a path, the lines shipped with the package (fixed values)."""
     if path:
         return spark.read.csv(path, header=True, schema=CATEGORY_MAP_SCHEMA)
     header, *lines = (files("tidemark") / "data" / "product_category_map.csv").read_text().split()
