@@ -116,6 +116,18 @@ def test_wide_links_find_pairs_at_the_threshold(spark, bucket):
     assert len(links) >= 0.9 * n  # pairs at the mean distance of the threshold; nearer ones meet more often
 
 
+def test_every_pair_of_a_very_large_bucket_is_compared(spark):
+    """One bucket of far more rows than a task holds open: no pair is lost for its place in the bucket."""
+    rnd = np.random.default_rng(10)
+    points, partner = 17_500, rnd.permutation(17_500)
+    near = rnd.integers(-(2**63), 2**63, (points, 2))
+    other = near ^ (1 << rnd.integers(0, 63, (points, 2)))
+    rows = [(int(i), *map(int, f)) for i, f in enumerate(near)] + [(int(points + partner[i]), *map(int, f)) for i, f in enumerate(other)]
+    table = spark.createDataFrame(rows, "id long, f0 long, f1 long")
+    links = {(min(a, b), max(a, b)) for a, b in simhash.link_wide(table, 8, [(0, 0)], 4096).collect()}
+    assert links == {(i, points + int(partner[i])) for i in range(points)}
+
+
 def test_every_choice_of_blocks_covers_the_radius():
     masks = [m[0] % 2**64 for m in simhash.block_masks(64, 7, 3)]
     rnd = np.random.default_rng(9)

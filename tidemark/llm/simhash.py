@@ -94,9 +94,9 @@ def block_masks(width: int, blocks: int, shared: int, keys: int | None = None, s
     return masks
 
 
-def wide_masks(width: int = WIDTH, keys: int = KEYS, key_bits: int = KEY_BITS) -> tuple[list, list]:
-    """Masks for `link_wide`: drawn choices of 4-bit blocks, and 12 bits more for large buckets."""
-    return block_masks(width, width // 4, key_bits // 4, keys), block_masks(width, width // 4, 3, 16, seed=2)
+def wide_masks(width: int = WIDTH, keys: int = KEYS, key_bits: int = KEY_BITS) -> tuple[list]:
+    """The masks that `link_wide` takes: drawn choices of 4-bit blocks."""
+    return (block_masks(width, width // 4, key_bits // 4, keys),)
 
 
 def radius_for(similarity: float, width: int, slack: float = 0.5) -> int:
@@ -139,13 +139,10 @@ def forest(keys: np.ndarray, fps: np.ndarray, ids: np.ndarray, radius: int) -> l
     return [(int(ids[i]), int(ids[label[i]])) for i in hung]
 
 
-def _meet(width: int, radius: int, bucket: int, tile: bool):
-    """A pass over rows (k, id, f0, ...) sorted by k: links (a, b), and (k, a, null) for members of large buckets.
-
-    With `tile` a large bucket is met in consecutive parts that overlap in a row instead.
-    """
+def _meet(width: int, radius: int, bucket: float):
+    """A pass over rows (k, id, f0, ...) sorted by k: links (a, b), and (k, a, null) for members of large buckets."""
     names = [f"f{k}" for k in range(width // 64)]
-    pending = max(1 << 14, bucket + 2)
+    pending = 1 << 14 if math.isinf(bucket) else max(1 << 14, bucket + 2)
 
     def table(links, keys, dense):
         a = np.concatenate([np.array([x for x, _ in links], np.int64), dense])
@@ -168,17 +165,14 @@ def _meet(width: int, radius: int, bucket: int, tile: bool):
             cut = len(k) if final or not len(k) else int(np.searchsorted(k, k[-1]))
             stay = slice(cut, len(k))
             if len(k) - cut > bucket:
-                if tile:
-                    cut, stay = len(k), slice(len(k) - 1, len(k))
-                else:
-                    large = int(k[-1])
-                    dense_k, dense_i = np.concatenate([dense_k, k[cut:]]), np.concatenate([dense_i, i[cut:]])
-                    stay = slice(0, 0)
+                large = int(k[-1])
+                dense_k, dense_i = np.concatenate([dense_k, k[cut:]]), np.concatenate([dense_i, i[cut:]])
+                stay = slice(0, 0)
             held = [(k[stay], f[stay], i[stay])]
             k, f, i = k[:cut], f[:cut], i[:cut]
             _, inverse, sizes = np.unique(k, return_inverse=True, return_counts=True)
             size = sizes[inverse] if len(k) else np.empty(0, np.int64)
-            over = size > (np.inf if tile else bucket)
+            over = size > bucket
             dense_k, dense_i = np.concatenate([dense_k, k[over]]), np.concatenate([dense_i, i[over]])
             some = (size > 1) & ~over
             return table(forest(k[some], f[some], i[some], radius), dense_k, dense_i)
@@ -212,24 +206,23 @@ def _listed(radius: int):
 
 
 def _keyed(rows: DataFrame, names: list[str], masks: list[tuple[int, ...]]) -> DataFrame:
-    """One row (k, id, fingerprint) for each mask; rows that have a k already stay apart by it."""
+    """One row (k, id, fingerprint) for each mask."""
     table = F.array(*[F.struct(F.lit(c).alias("c"), *[F.lit(m).cast("long").alias(f"m{n}") for n, m in enumerate(mask)]) for c, mask in enumerate(masks)])
-    before = [c for c in rows.columns if c == "k"]
-    rows = rows.select(*before, "id", *names, F.explode(table).alias("t"))
+    rows = rows.select("id", *names, F.explode(table).alias("t"))
     masked = [F.col(n).bitwiseAND(F.col(f"t.m{i}")) for i, n in enumerate(names)]
-    return rows.select(F.xxhash64(*before, "t.c", *masked).alias("k"), "id", *names)
+    return rows.select(F.xxhash64("t.c", *masked).alias("k"), "id", *names)
 
 
-def _join_on_keys(keyed: DataFrame, radius: int, bucket: int, tile: bool, name: str) -> DataFrame:
+def _join_on_keys(keyed: DataFrame, radius: int, bucket: float, name: str) -> DataFrame:
     width = 64 * (len(keyed.columns) - 2)
-    met = keyed.repartition("k").sortWithinPartitions("k", "id").mapInArrow(_meet(width, radius, bucket, tile), "k long, a long, b long")
+    met = keyed.repartition("k").sortWithinPartitions("k", "id").mapInArrow(_meet(width, radius, bucket), "k long, a long, b long")
     return settle(met.distinct(), name)
 
 
 def link_exact(fps: DataFrame, radius: int, blocks: int, bucket: int = BUCKET) -> DataFrame:
     """Links (a, b) that connect all distinct 64-bit fingerprints (id, f0) which steps of `radius` bits or less connect."""
     keyed = _keyed(fps, ["f0"], block_masks(64, blocks, blocks - radius))
-    met = _join_on_keys(keyed, radius, bucket, False, "simhash_met")
+    met = _join_on_keys(keyed, radius, bucket, "simhash_met")
     dense = met.where("b is null").select(F.col("a").alias("id")).distinct().join(fps, "id")
     points = dense.mapInArrow(_listed(radius), "p long, id long")
     least = points.groupBy("p").agg(F.min("id").alias("m"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -237,23 +230,27 @@ def link_exact(fps: DataFrame, radius: int, blocks: int, bucket: int = BUCKET) -
     return met.where("b is not null").select("a", "b").unionByName(more.distinct())
 
 
-def link_wide(fps: DataFrame, radius: int, masks: list[tuple[int, ...]], finer: list[tuple[int, ...]], bucket: int = BUCKET, depth: int = 3) -> DataFrame:
-    """Links (a, b) between wide fingerprints (id, f0, f1, ...) within `radius` bits that share a key of `masks`.
+def _tile_pairs(dense: DataFrame, fps: DataFrame, names: list[str], bucket: int) -> DataFrame:
+    """Rows (k, id, fingerprint) for every two of the tiles, of about half a `bucket`, that a bucket (k, id) is dealt to."""
+    sizes = settle(dense.groupBy("k").agg(F.expr(f"ceil(2 * count(*) / {bucket})").alias("tiles")), "simhash_tiles")
+    rows = dense.join(sizes, "k").withColumn("tile", F.expr("pmod(xxhash64(id), tiles)"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0L, tiles - 1)"))).where("other <> tile").join(fps, "id")
+    return rows.select(F.xxhash64("k", F.least("tile", "other"), F.greatest("tile", "other")).alias("k"), "id", *names)
+
 
-    The members of a bucket above `bucket` are dealt again by `finer` keys, `depth` times at most;
-    buckets that are larger still are met in overlapping parts.
+def link_wide(fps: DataFrame, radius: int, masks: list[tuple[int, ...]], bucket: int = BUCKET) -> DataFrame:
+    """Links (a, b) that connect all wide fingerprints (id, f0, f1, ...) within `radius` bits that share a key of `masks`.
+
+    A bucket above `bucket` members is dealt to tiles by a hash; every two tiles meet as a bucket of
+    their own, so all pairs of its members are compared, over many tasks.
     """
     names = fps.columns[1:]
-    keyed, links = _keyed(fps, names, masks), None
-    for level in range(depth):
-        met = _join_on_keys(keyed, radius, bucket, level == depth - 1, f"simhash_met_{level}")
-        own = met.where("b is not null").select("a", "b")
-        links = own if links is None else links.unionByName(own)
-        dense = met.where("b is null").select("k", F.col("a").alias("id"))
-        if level == depth - 1 or dense.isEmpty():
-            break
-        keyed = _keyed(dense.join(fps, "id"), names, finer)
-    return links
+    met = _join_on_keys(_keyed(fps, names, masks), radius, bucket, "simhash_met")
+    links, dense = met.where("b is not null").select("a", "b"), met.where("b is null").select("k", F.col("a").alias("id"))
+    if dense.isEmpty():
+        return links
+    more = _join_on_keys(_tile_pairs(dense, fps, names, bucket), radius, math.inf, "simhash_met_tiles")
+    return links.unionByName(more.select("a", "b"))
 
 
 def groups(marked: DataFrame, names: list[str], linked) -> DataFrame:
@@ -308,11 +305,11 @@ def near_dedup(
     expected share of pairs found at each similarity is in the README. Of rows that repeat an id and a fingerprint one stays.
     """
     radius = radius_for(similarity, width)
-    masks, finer = wide_masks(width, keys, key_bits)
+    masks = wide_masks(width, keys, key_bits)
     names = [f"f{k}" for k in range(width // 64)]
     slim = documents.select(row_hash(documents).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     marked = settle(fingerprints(slim, words, width), "simhash_wide")
-    found = groups(marked, names, lambda fps: link_wide(fps, radius, masks, finer))
+    found = groups(marked, names, lambda fps: link_wide(fps, radius, *masks))
     first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("key").alias("_key"))
     held = documents.withColumn("_k", row_hash(documents))
     return held.join(first, F.col("_k") == F.col("_key"), "left_semi").dropDuplicates(["_k"]).select(*[F.col(f"`{c}`") for c in documents.columns])
