@@ -116,6 +116,49 @@ def test_wide_links_find_pairs_at_the_threshold(spark, bucket):
     assert len(links) >= 0.9 * n  # pairs at the mean distance of the threshold; nearer ones meet more often
 
 
+def shingle_sets(rows):
+    words = {d: t.split() for d, t in rows}
+    return {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, w in words.items()}
+
+
+def test_near_dedup_compares_the_shingles_themselves(spark):
+    """Pairs on both sides of the limit, and texts ruled by one repeated line: linked if the sets are alike, and only then."""
+    rnd = np.random.default_rng(11)
+    words, rows = [f"w{i}" for i in range(5000)], []
+    for g in range(120):
+        base = [str(w) for w in rnd.choice(words, 404)]
+        n = (56, 90)[g % 2]  # of 400 shingles: similarity about 0.75 or 0.63
+        n = n if g < 80 else 42  # 0.81
+        rows += [(2 * g, " ".join(base)), (2 * g + 1, " ".join([*base[: 404 - n], *(f"x{g}_{i}" for i in range(n))]))]
+    line = "all rights reserved do not copy this page " * 200
+    rows += [(1000 + i, line + " ".join(rnd.choice(words, 60))) for i in range(6)]
+    sets = shingle_sets(rows)
+    alike = {b for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert alike == {2 * g + 1 for g in range(80, 120)}
+    stay = {r.doc_id for r in simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(sets) - stay <= alike  # no text goes that is like no other
+    assert len(alike & stay) <= 2
+
+
+def test_similar_sets_are_linked_across_tiles(spark):
+    """Chains, a pair apart from the least node and unlike texts under one root, in tiles of few sets."""
+    rnd = np.random.default_rng(12)
+    rows, word = [], iter(range(10**6))
+    for c in range(12):
+        text = [f"t{next(word)}" for _ in range(100)]
+        for _ in range(8):
+            rows.append((int(rnd.integers(-(2**62), 2**62)), 5, " ".join(text)))
+            text = text[6:] + [f"t{next(word)}" for _ in range(6)]  # neighbours 0.88, others below 0.8
+    sets = shingle_sets([(n, t) for n, _, t in rows])
+    links = simhash.link_similar(spark.createDataFrame(rows, "node long, root long, text string"), 5, 0.8, per_tile=10)
+    assert all(r.a in sets and r.b in sets for r in links.collect())
+    found = defaultdict(set)
+    for r in components(links).collect():
+        found[r.root].add(r.node)
+    want = [sorted(n for n, _, _ in rows[i : i + 8]) for i in range(0, len(rows), 8)]
+    assert sorted(map(sorted, found.values())) == sorted(want)
+
+
 def test_every_pair_of_a_very_large_bucket_is_compared(spark):
     """One bucket of far more rows than a task holds open: no pair is lost for its place in the bucket."""
     rnd = np.random.default_rng(10)

@@ -16,6 +16,7 @@ within `radius` of each other, so every point needs only the links to its least
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
@@ -28,8 +29,9 @@ from tidemark.llm.components import components
 
 BUCKET = 4096
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-WIDTH, KEYS, KEY_BITS = 128, 128, 20  # of the wide fingerprints
+WIDTH, KEYS, KEY_BITS = 128, 128, 16  # of the wide fingerprints
 CHUNK = 1 << 16  # shingles whose bits are counted at once
+SETS, SET_BYTES = 256, 8 << 20  # shingle sets of a tile, and their bytes, about
 
 
 def shingle_hashes(text: bytes, words: int, seed: int = 42) -> list[int]:
@@ -58,6 +60,30 @@ def fingerprint(hashes: list[int], width: int = 64) -> list[int]:
     return out
 
 
+def shingle_set(text: str | None, words: int) -> np.ndarray:
+    """Sorted distinct hashes of a text's word shingles; empty for a null or wordless text."""
+    return np.unique(np.array(shingle_hashes(text.encode() if text else b"", words), np.uint64))
+
+
+def set_fingerprints(documents: DataFrame, words: int, width: int, text: str = "text") -> DataFrame:
+    """`documents` with node, a hash of the set of shingles, and the set's fingerprint f0, f1, ... instead of the text."""
+    others = [c for c in documents.columns if c != text]
+    names = ["node", *[f"f{k}" for k in range(width // 64)]]
+
+    def run(batches):
+        for whole in batches:
+            for batch in slices(whole):
+                found = []
+                for t in batch.column(text).to_pylist():
+                    s = shingle_set(t, words)
+                    found.append((xxhash.xxh64_intdigest(s.tobytes()) - 2**63, *fingerprint(s, width)))
+                columns = [batch.column(c) for c in others] + [pa.array([f[k] for f in found], pa.int64()) for k in range(len(names))]
+                yield pa.RecordBatch.from_arrays(columns, [*others, *names])
+
+    schema = ", ".join([f"`{c}` {t}" for c, t in documents.dtypes if c != text] + [f"{n} long" for n in names])
+    return documents.mapInArrow(run, schema)
+
+
 def fingerprints(documents: DataFrame, words: int, width: int = 64, text: str = "text") -> DataFrame:
     """`documents` (few, small columns beside the text) with f0, f1, ... instead of the text."""
     others = [c for c in documents.columns if c != text]
@@ -99,10 +125,11 @@ def wide_masks(width: int = WIDTH, keys: int = KEYS, key_bits: int = KEY_BITS) -
     return (block_masks(width, width // 4, key_bits // 4, keys),)
 
 
-def radius_for(similarity: float, width: int, slack: float = 0.5) -> int:
+def radius_for(similarity: float, width: int, slack: float = 3.0) -> int:
     """Bits that fingerprints of two shingle sets of this Jaccard similarity and like size differ in.
 
-    The mean and `slack` standard deviations: at 0, half of the pairs just at the similarity are found.
+    The mean and `slack` standard deviations: at 0, half of the pairs just at the similarity are
+    within the radius, at 3 all but about one in a thousand.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
     return math.floor(width * p + slack * math.sqrt(width * p * (1 - p)))
@@ -288,6 +315,102 @@ def near_groups(documents: DataFrame, words: int = 4, radius: int = 4, blocks: i
     return out.select("doc_id", F.lower(F.lpad(F.hex("f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _read_sets(words: int):
+    """Rows (node, root, set, n_bytes) of texts; a set is its sorted 64-bit hashes."""
+
+    def run(batches):
+        for whole in batches:
+            for batch in slices(whole, 64):
+                sets = [shingle_set(t, words).astype("<u8").tobytes() for t in batch.column("text").to_pylist()]
+                columns = [batch.column("node"), batch.column("root"), pa.array(sets, pa.binary()), pa.array(map(len, sets), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "root", "set", "n_bytes"])
+
+    return run
+
+
+def _near_lead(over: int, under: int):
+    """Adds to (node, root, lead, set, lead_set) whether the two sets' similarity is over / under at least."""
+
+    def run(batches):
+        for batch in batches:
+            near, lead_set, lead = [], None, None
+            for s, b in zip(batch.column("set"), batch.column("lead_set")):
+                s, b = np.frombuffer(s.as_buffer(), "<u8"), b.as_buffer()
+                if lead_set is None or not lead_set.equals(b):
+                    lead_set, lead = b, np.frombuffer(b, "<u8")
+                if min(len(s), len(lead)) * under < max(len(s), len(lead)) * over:
+                    near.append(False)
+                else:
+                    both = len(np.intersect1d(s, lead, assume_unique=True))
+                    near.append(both * under >= (len(s) + len(lead) - both) * over)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("node", "root", "lead")], pa.array(near, pa.bool_())], ["node", "root", "lead", "near"])
+
+    return run
+
+
+def similar(sets: list[np.ndarray], over: int, under: int, columns: int = 4096) -> np.ndarray:
+    """Which of sets of distinct hashes have a Jaccard similarity of over / under at least, for all pairs."""
+    m, sizes = len(sets), np.array([len(x) for x in sets], np.int64)
+    whole = np.concatenate(sets)
+    _, at, uses = np.unique(whole, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(m), sizes)[uses[at] > 1]
+    at = (np.cumsum(uses > 1) - 1)[at[uses[at] > 1]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    both, last = np.zeros((m, m), np.int64), int(at[-1]) + 1 if len(at) else 0
+    for lo in range(0, last, columns):
+        part = slice(*np.searchsorted(at, [lo, lo + columns]))
+        x = np.zeros((m, min(columns, last - lo)), np.float32)
+        x[row[part], at[part] - lo] = 1
+        both += (x @ x.T).astype(np.int64)
+    return both * under >= (sizes[:, None] + sizes - both) * over
+
+
+def _meet_sets(over: int, under: int):
+    """Links (a, b) that connect what is connected by similar pairs among the rows (node, set) of a group."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(s.as_buffer(), "<u8") for s in table["set"]]
+        near = similar(sets, over, under) | np.eye(len(sets), dtype=bool)
+        label = np.arange(len(sets))
+        while True:
+            low = np.where(near, label, len(sets)).min(1)
+            if (low == label).all():
+                break
+            label = low
+        nodes, hung = table["node"].to_numpy(), np.flatnonzero(label != np.arange(len(sets)))
+        return pa.table({"a": pa.array(nodes[hung], pa.int64()), "b": pa.array(nodes[label[hung]], pa.int64())})
+
+    return run
+
+
+def link_similar(texts: DataFrame, words: int, similarity: float, per_tile: int = SETS) -> DataFrame:
+    """Links (a, b) that connect, of `texts` (node, root, text), all nodes of a root that pairs of at least this similarity connect.
+
+    The similarity is that of the sets of shingles, compared exactly. First every node meets the root's least one;
+    the nodes unlike it then meet all nodes of the root, in tiles of about `per_tile` sets, every two of them
+    a task's group. So the work is linear where all resemble one text, and all pairs only where they do not.
+    """
+    ratio = Fraction(str(similarity))
+    over, under = ratio.numerator, ratio.denominator
+    sets = settle(texts.mapInArrow(_read_sets(words), "node long, root long, set binary, n_bytes long"), "simhash_sets")
+    least = settle(sets.groupBy("root").agg(F.min("node").alias("lead")), "simhash_leads")
+    leads = settle(least.withColumnRenamed("root", "_r").join(sets, (F.col("_r") == F.col("root")) & (F.col("lead") == F.col("node"))).select("root", "lead", F.col("set").alias("lead_set")), "simhash_lead_sets")
+    paired = sets.join(leads, "root").select("node", "root", "lead", "set", "lead_set")
+    told = settle(paired.mapInArrow(_near_lead(over, under), "node long, root long, lead long, near boolean"), "simhash_near_lead")
+    links = told.where("near and node <> lead").select(F.col("node").alias("a"), F.col("lead").alias("b"))
+    rest = told.join(sets.select("node", "n_bytes"), "node").groupBy("root").agg(
+        *[F.expr(f"greatest(ceil(count_if({w}) / {per_tile}), ceil(coalesce(sum(n_bytes) filter (where {w}), 0) / {SET_BYTES}))").alias(n) for n, w in (("far", "not near"), ("close", "near"))],
+        F.count("*").alias("n"),
+    )
+    rest = settle(rest.where("far > 0 and n > 2").drop("n"), "simhash_far")
+    dealt = told.drop("lead").join(rest, "root").withColumn("tile", F.expr("if(near, far + pmod(xxhash64(node), close), pmod(xxhash64(node), far))"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, if(near, far, far + close) - 1)"))).where("other <> tile")
+    dealt = dealt.select("node", F.xxhash64("root", F.least("tile", "other"), F.greatest("tile", "other")).alias("k"))
+    met = dealt.join(sets.select("node", "set"), "node").groupBy("k").applyInArrow(_meet_sets(over, under), "a long, b long")
+    return settle(links.unionByName(met).distinct(), "simhash_similar")
+
+
 def near_dedup(
     documents: DataFrame,
     words: int = 5,
@@ -300,16 +423,30 @@ def near_dedup(
 ) -> DataFrame:
     """The rows of `documents` that stay, one of each near-duplicate group: the one with the smallest id.
 
-    Fingerprints of `width` bits link within `radius_for` bits. No choice of blocks brings together all
-    pairs so far apart, so `keys` drawn choices of 4-bit blocks, `key_bits` bits each, are joined on; the
-    expected share of pairs found at each similarity is in the README. Of rows that repeat an id and a fingerprint one stays.
+    A text is its set of word shingles; equal sets are one node, and sets of at least `similarity`
+    (Jaccard) are linked. Candidates come from fingerprints of `width` bits within `radius_for` bits.
+    No choice of blocks brings together all pairs so far apart, so `keys` drawn choices of 4-bit blocks,
+    `key_bits` bits each, are joined on; the share of pairs found at each similarity is in the README.
+    What candidates connect is then compared set by set, so no pair below the similarity is linked.
+    Null and wordless texts are one node. Of rows that repeat an id in a group one stays; a row
+    without an id stays only if all of its group lack one.
     """
     radius = radius_for(similarity, width)
     masks = wide_masks(width, keys, key_bits)
     names = [f"f{k}" for k in range(width // 64)]
     slim = documents.select(row_hash(documents).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    marked = settle(fingerprints(slim, words, width), "simhash_wide")
-    found = groups(marked, names, lambda fps: link_wide(fps, radius, *masks))
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("key").alias("_key"))
+    marked = settle(set_fingerprints(slim, words, width), "simhash_wide")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("best")
+    nodes = settle(marked.groupBy("node", *names).agg(best).withColumn("id", F.xxhash64(*names)), "simhash_nodes")
+    roots = components(link_wide(nodes.select("id", *names).distinct(), radius, *masks)).withColumnRenamed("node", "_n")
+    placed = nodes.join(roots, F.col("id") == F.col("_n"), "left").select("node", "best", F.coalesce("root", "id").alias("root"))
+    placed = settle(placed, "simhash_candidates")
+    # Written, so that the join's sides are plain shuffles and a hot root can be split.
+    several = settle(placed.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root"), "simhash_several")
+    live = placed.join(several, "root").select("node", "root", F.col("best.key").alias("key"))
+    texts = slim.select("key", "text").join(live, "key").dropDuplicates(["node"]).select("node", "root", "text")
+    groups_of = components(link_similar(texts, words, similarity)).select(F.col("node").alias("_n"), F.col("root").alias("group"))
+    kept = nodes.join(groups_of, F.col("node") == F.col("_n"), "left").groupBy(F.coalesce("group", "node").alias("group")).agg(F.min("best").alias("best"))
+    first = kept.select(F.col("best.key").alias("_key"))
     held = documents.withColumn("_k", row_hash(documents))
     return held.join(first, F.col("_k") == F.col("_key"), "left_semi").dropDuplicates(["_k"]).select(*[F.col(f"`{c}`") for c in documents.columns])
