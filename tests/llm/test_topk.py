@@ -63,3 +63,25 @@ def test_later_blocks_are_skipped_or_pruned():
         assert (scores[who == q] == np.sort(queries[q] @ columns)[::-1][:20]).all()
     assert sum(seen) < 30 * 8 * 440 + 1  # of 4440 vectors, none of the last 4000
     assert sum(seen[1:]) < 0.9 * 30 * 8 * 400
+
+
+def test_several_vectors_of_the_querys_id_prune_no_other():
+    columns = np.array([[100.0, 99, 10, 5, 1]])
+    bounds = [(0, 5, columns.min(1), columns.max(1))]
+    _, scores, found = topk.max_score(np.array([[1.0]]), np.array([7]), np.array([7, 7, 1, 2, 3]), columns, bounds, 2)
+    assert scores.tolist() == [10, 5] and found.tolist() == [1, 2]
+
+
+def test_an_id_with_several_vectors_against_brute_force(spark):
+    rnd = np.random.default_rng(2)
+    vectors = [(i % 40 if i < 60 else i, [float(x) for x in rnd.normal(0, 0.2, 6)]) for i in range(200)]
+    table = topk.usable(spark.createDataFrame([(i, v, 0, 1, 2, 3) for i, v in vectors], KINDS))
+    whole = [(i, [math.floor(64 * float(np.float32(x))) for x in v]) for i, v in vectors]
+    ranked = {}
+    for q in (5, 70):
+        mine = [v for i, v in whole if i == q]
+        scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for a in mine for i, b in whole if i != q)
+        ranked[q] = [(i, -s) for s, i in scored[:5]]
+    for q, want in ranked.items():
+        have = topk.top_k(table, table.where(f"id = {q}"), k=5, block=16).orderBy("rank").collect()
+        assert [(r.vec_id, r.score) for r in have] == want

@@ -59,10 +59,13 @@ def best_of(query: np.ndarray, score: np.ndarray, vec: np.ndarray, k: int) -> tu
     return query[keep], score[keep], vec[keep]
 
 
-def raise_least(least: np.ndarray, rows: np.ndarray, score: np.ndarray, k: int) -> None:
-    """Partial scores only rise, so the k-th best is at least the k + 1-th of them (one may be the query's own)."""
-    if score.shape[1] > k:
-        least[rows] = np.maximum(least[rows], np.partition(score, -k - 1, axis=1)[:, -k - 1])
+def raise_least(least: np.ndarray, rows: np.ndarray, score: np.ndarray, k: int, own: tuple[np.ndarray, np.ndarray], below) -> None:
+    """Partial scores only rise, so the k-th best is at least the k-th of them; `own` places (row, vector) do not count."""
+    if score.shape[1] >= k:
+        if len(own[0]):
+            score = score.copy()
+            score[own] = below
+        least[rows] = np.maximum(least[rows], np.partition(score, -k, axis=1)[:, -k])
 
 
 def max_score(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, columns: np.ndarray, bounds: list, k: int, seen=None):
@@ -95,14 +98,16 @@ def max_score(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, columns: np
         weights = np.where(chosen, queries[live], 0)
         score = weights @ columns[:, start:end] + (floor[live] - (weights * base[live]).sum(1))[:, None]
         done = essential.copy()
-        raise_least(least, live, score, k)
+        mine = np.nonzero(own[live][:, None] == ids[start:end])
+        raise_least(least, live, score, k, mine, below)
         hopes = score + rest[live, done[live], None] >= least[live, None]
         many = np.flatnonzero((hopes.sum(1) > PROBES) & (done[live] < d))
         if len(many):  # so many can still compete that the other terms are cheaper as a product too
             others = np.where(chosen[many], 0, queries[live[many]])
             score[many] += others @ columns[:, start:end] - (others * base[live[many]]).sum(1)[:, None]
             done[live[many]] = d
-            raise_least(least, live[many], score[many], k)
+            mine = np.nonzero(own[live[many]][:, None] == ids[start:end])
+            raise_least(least, live[many], score[many], k, mine, below)
             hopes[many] = score[many] >= least[live[many], None]
         if seen is not None:
             seen.append(int(done[live].sum()) * (end - start))
@@ -181,7 +186,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, shard: int = SHAR
 
     Both tables are (id, v) with integer vectors, see `usable`; ties go to the smaller id and a query
     is no candidate of its own. Vectors of other lengths count as filled up with zeros. All
-    candidates are given if there are fewer than k; an empty side gives an empty result.
+    candidates are given if there are fewer than k; an empty side gives an empty result. An id with
+    several vectors is a candidate with each of them, and none of these for queries of that id, whose
+    vectors share one ranking.
     """
     shards, _ = _parts(vectors, shard)
     blocks, n_blocks = _parts(queries, per_block)
