@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, exact_dedup, language, mixing, packing, quality, simhash, substrings, topk, toxicity
+from tidemark.llm import chat, decontamination, exact_dedup, language, mixing, packing, quality, simhash, substrings, topk, toxicity
 from tidemark.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,41 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(read(spark, sf_dir, "documents"))
+
+
+@query(
+    r"""
+    WITH item AS (
+        SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark WHERE text IS NOT NULL
+    ),
+    doc AS (
+        SELECT row_number() OVER () AS d, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents
+    ),
+    wanted AS (
+        SELECT DISTINCT item_id, least(len(w), 10) AS m, list_slice(w, s, s + least(len(w), 10) - 1) AS win
+        FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM item WHERE len(w) > 0)
+    ),
+    given AS (
+        SELECT d, m, s, list_slice(w, s, s + m - 1) AS win
+        FROM (SELECT d, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM doc, (SELECT DISTINCT m FROM wanted))
+    ),
+    hits AS (SELECT d, s, g.m, item_id FROM given AS g JOIN wanted AS i ON g.m = i.m AND g.win = i.win),
+    covered AS (SELECT d, count(DISTINCT p) AS n_hit FROM (SELECT d, unnest(range(s, s + m)) AS p FROM hits) GROUP BY d),
+    named AS (
+        SELECT d, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+        FROM (SELECT DISTINCT d, CAST(item_id AS VARCHAR) AS name FROM hits WHERE item_id IS NOT NULL) GROUP BY d
+    )
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM doc LEFT JOIN covered USING (d) LEFT JOIN named USING (d)
+    """
+)
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = decontamination.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return told.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
