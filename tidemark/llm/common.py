@@ -24,6 +24,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def lower_ascii(text: Column) -> Column:
+    """A-Z in lower case, nothing else changed; `lower` is the quick way where every character is ASCII."""
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the decimal text of an id, modulo n; a null id gives null."""
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n))

@@ -20,30 +20,24 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import settle
+from tidemark.llm.common import lower_ascii, settle
 
 WIDTH = 10
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What stands between words once A-Z are lower-cased: all of ASCII but digits, letters and the capital of the end mark.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 END = "E"
 END_TERM = 0
 
 
-def lowered(text: Column) -> Column:
-    """A-Z in lower case, nothing else changed; `lower` is the quick way where every character is ASCII."""
-    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-
-
 def split_words(text: Column) -> Column:
     """An empty string, the words in lower case and `END`; null has no words."""
-    return F.split(F.concat(F.lit(" "), lowered(F.coalesce(text, F.lit(""))), F.lit(f" {END}")), BETWEEN)
+    return F.split(F.concat(F.lit(" "), lower_ascii(F.coalesce(text, F.lit(""))), F.lit(f" {END}")), BETWEEN)
 
 
 def vocabulary(words: DataFrame) -> DataFrame:
     """(word, term): the distinct words of a table with a `word` column, numbered from 1, and `END` as term 0."""
     numbered = words.where(F.col("word") != END).select("word").distinct().withColumn("term", F.monotonically_increasing_id() + 1)
-    end = words.sparkSession.createDataFrame([(END, END_TERM)], "word string, term long")
+    end = words.sparkSession.range(1).select(F.lit(END).alias("word"), F.lit(END_TERM).cast("long").alias("term"))
     return settle(numbered.unionByName(end), "vocabulary")
 
 

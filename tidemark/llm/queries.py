@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import chat, decontamination, exact_dedup, language, mixing, packing, quality, simhash, substrings, topk, toxicity
+from tidemark.llm import (
+    chat,
+    decontamination,
+    exact_dedup,
+    language,
+    merkle,
+    mixing,
+    packing,
+    quality,
+    simhash,
+    substrings,
+    topk,
+    toxicity,
+    whitening,
+)
 from tidemark.llm.common import crc_mod, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +195,63 @@ def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query(
+    """
+    WITH RECURSIVE leaves AS (
+        SELECT row_number() OVER () AS k, doc_id, lang,
+               ids || coalesce(strlen(text) || ':' || text, '-') AS whole,
+               ids || coalesce(strlen(lowered) || ':' || lowered, '-') AS tampered_whole,
+               xor(list_reduce([4294967295] || list_transform(range(1, length(name) + 1), lambda i: ascii(name[i])),
+                   lambda c, b: list_reduce([xor(c, b)] || range(8), lambda x, j: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 3 = 0 AS tampered
+        FROM (
+            SELECT *, CAST(doc_id AS VARCHAR) AS name, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered,
+                   coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS ids
+            FROM documents
+        )
+    ),
+    hashed AS (
+        SELECT k, doc_id, lang, sha256(whole) AS leaf, CASE WHEN tampered THEN sha256(tampered_whole) ELSE sha256(whole) END AS given FROM leaves
+    ),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM hashed),
+    tree AS (
+        SELECT lang, 0 AS level, list(leaf ORDER BY pos) AS nodes FROM placed GROUP BY lang
+        UNION ALL
+        SELECT lang, level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+        FROM tree WHERE len(nodes) > 1
+    ),
+    subroots AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS lang_no FROM tree WHERE len(nodes) = 1),
+    top AS (
+        SELECT 0 AS level, list(subroot ORDER BY lang_no) AS nodes FROM subroots
+        UNION ALL
+        SELECT level + 1, list_transform(range(0, len(nodes), 8), lambda i: sha256(array_to_string(nodes[i + 1:i + 8], '')))
+        FROM top WHERE len(nodes) > 1
+    ),
+    runs AS (
+        SELECT k, level, nodes, pos // CAST(8 ** level AS BIGINT) AS i
+        FROM placed AS p JOIN tree AS t ON p.lang IS NOT DISTINCT FROM t.lang WHERE len(nodes) > 1
+        UNION ALL
+        SELECT k, 1000 + level, nodes, lang_no // CAST(8 ** level AS BIGINT)
+        FROM placed AS p JOIN subroots AS s ON p.lang IS NOT DISTINCT FROM s.lang, top WHERE len(nodes) > 1
+    ),
+    steps AS (
+        SELECT k, level, array_to_string(nodes[i - i % 8 + 1:i], '') AS l, array_to_string(nodes[i + 2:i - i % 8 + 8], '') AS r FROM runs
+    ),
+    paths AS (SELECT k, list(l || '|' || r ORDER BY level) AS path, sha256(string_agg(l || r, '' ORDER BY level)) AS proof FROM steps GROUP BY k),
+    told AS (
+        SELECT doc_id, leaf, subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root, coalesce(proof, sha256('')) AS proof_sha256,
+               coalesce(list_reduce([given] || path, lambda d, s: sha256(split_part(s, '|', 1) || d || split_part(s, '|', 2))), given) AS folded_root
+        FROM placed AS p JOIN subroots AS s ON p.lang IS NOT DISTINCT FROM s.lang LEFT JOIN paths USING (k)
+    )
+    SELECT *, folded_root = root AS verified FROM told
+    """
+)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(read(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 3) == 0).verify()
+
+
+@query()
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
