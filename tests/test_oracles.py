@@ -26,11 +26,8 @@ def test_matches_oracle(spark, con, key):
     assert got[1] == want[1]
 
 
-@pytest.mark.parametrize("key", sorted(set(REGISTRY) - set(ORACLES)))
-def test_runs(spark, key):
-    df = QUERIES[key](spark, SF)
-    assert df.columns == [c for c, _ in REGISTRY[key].cols]
-    assert df.count() > 0
+def test_every_registered_query_has_a_twin():
+    assert set(REGISTRY) <= set(ORACLES)
 
 
 def test_entry(spark):

@@ -14,10 +14,10 @@ FREEZE_ABOVE = 0.2
 FLOOR = 1e-6  # share given to an empty bin so the logarithm exists
 
 
-def unpivot(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Rows (feature, value) for every feature column, so all features run in one job."""
+def unpivot(df: DataFrame, features: Sequence[str], *by: str) -> DataFrame:
+    """Rows (`by`, feature, value) for every feature column, so all features run in one job."""
     pairs = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in features]
-    return df.select(F.inline(F.array(*pairs))).where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return df.select(*by, F.inline(F.array(*pairs))).where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
 def drift_state(psi: Column, threshold: float = FREEZE_ABOVE) -> Column:

@@ -56,6 +56,26 @@ def quoted(*names: str) -> str:
     return ", ".join(f"'{n}'" for n in names)
 
 
+def psi_cuts(long: str, quantile: str) -> str:
+    return f"""
+  SELECT feature, list_sort(list_distinct({quantile}(v, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS cuts
+  FROM {long} WHERE is_current = 0 GROUP BY feature"""
+
+
+def psi_values(long: str, cuts: str) -> str:
+    return f"""
+  SELECT feature, sum((a - r) * ln(a / r)) AS psi, max(nr) AS n_reference, max(nc) AS n_current
+  FROM (SELECT feature, greatest(c / nc, 0.000001) AS a, greatest(r / nr, 0.000001) AS r, nr, nc
+        FROM (SELECT feature, bin, CAST(sum(is_current) AS DOUBLE) AS c, CAST(sum(1 - is_current) AS DOUBLE) AS r,
+                     sum(sum(is_current)) OVER (PARTITION BY feature) AS nc,
+                     sum(sum(1 - is_current)) OVER (PARTITION BY feature) AS nr
+              FROM (SELECT l.feature, l.is_current,
+                           len(list_filter(k.cuts[2:len(k.cuts) - 1], lambda e: e <= l.v)) AS bin
+                    FROM {long} l JOIN {cuts} k ON k.feature = l.feature)
+              GROUP BY feature, bin))
+  GROUP BY feature"""
+
+
 CTES: dict[str, str] = {
     "b_orders": f"""
   SELECT o_orderkey AS n, {pad('ORD-', 'o_orderkey', 9)} AS order_id, {pad('CUS-', 'o_custkey', 7)} AS customer_id,
@@ -195,6 +215,27 @@ CTES: dict[str, str] = {
          phone_masked, city, region, segment, gender, age_band, valid_from, valid_to, is_current, version, updated_at,
          date_diff('day', valid_from, valid_to) AS version_days
   FROM customer_versions""",
+    "customer_days": f"""
+  SELECT c.customer_id, c.full_name, c.gender, c.age_band,
+         {pick(domains.CITIES, '(c.n + CASE WHEN o.n % 3 = 0 THEN 1 ELSE 0 END) % 8')} AS city,
+         {pick(domains.CITY_REGIONS, '(c.n + CASE WHEN o.n % 3 = 0 THEN 1 ELSE 0 END) % 8')} AS region,
+         {pick(domains.SEGMENTS, '(c.n + CASE WHEN o.n % 5 = 0 THEN 1 ELSE 0 END) % 3')} AS segment,
+         o.order_ts AS updated_at, o.n AS extract_no, o.dt
+  FROM b_customers c JOIN b_orders o ON o.customer_id = c.customer_id
+  UNION ALL
+  SELECT customer_id, full_name, gender, age_band, city, region, segment, created_at, -1, CAST(created_at AS DATE)
+  FROM b_customers""",
+    "dim_customer_history": """
+  SELECT md5(customer_id || '|' || CAST(dt AS VARCHAR)) AS version_sk, customer_id, full_name, city, region, segment, gender, age_band,
+         dt AS valid_from, coalesce(lead(dt) OVER w - 1, DATE '2099-12-31') AS valid_to,
+         row_number() OVER w AS version, CASE WHEN lead(dt) OVER w IS NULL THEN 1 ELSE 0 END AS is_current
+  FROM (SELECT *, lag(dt) OVER d IS NOT NULL AND lag(city) OVER d IS NOT DISTINCT FROM city
+                  AND lag(region) OVER d IS NOT DISTINCT FROM region AND lag(segment) OVER d IS NOT DISTINCT FROM segment AS same
+        FROM (SELECT * FROM customer_days
+              QUALIFY row_number() OVER (PARTITION BY customer_id, dt ORDER BY updated_at DESC, extract_no DESC) = 1)
+        WINDOW d AS (PARTITION BY customer_id ORDER BY dt))
+  WHERE NOT same
+  WINDOW w AS (PARTITION BY customer_id ORDER BY dt)""",
     "dim_product": f"""
   SELECT md5(p.product_id) AS product_sk, p.product_id, p.sku, p.product_name, p.category,
          cm.segment AS category_segment, cm.priority AS category_priority, p.brand, p.unit_price AS list_price,
@@ -266,20 +307,17 @@ CTES: dict[str, str] = {
         for f in ("recency_days", "orders_last_30d", "monetary_365d", "avg_ticket", "tickets_support_90d")
         for w, t in ((0, "features_before"), (1, "customer_features"))
     ),
-    "psi_cuts": """
-  SELECT feature, list_sort(list_distinct(quantile_cont(v, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS cuts
-  FROM psi_long WHERE is_current = 0 GROUP BY feature""",
-    "psi_values": """
-  SELECT feature, sum((a - r) * ln(a / r)) AS psi, max(nr) AS n_reference, max(nc) AS n_current
-  FROM (SELECT feature, greatest(c / nc, 0.000001) AS a, greatest(r / nr, 0.000001) AS r, nr, nc
-        FROM (SELECT feature, bin, CAST(sum(is_current) AS DOUBLE) AS c, CAST(sum(1 - is_current) AS DOUBLE) AS r,
-                     sum(sum(is_current)) OVER (PARTITION BY feature) AS nc,
-                     sum(sum(1 - is_current)) OVER (PARTITION BY feature) AS nr
-              FROM (SELECT l.feature, l.is_current,
-                           len(list_filter(k.cuts[2:len(k.cuts) - 1], lambda e: e <= l.v)) AS bin
-                    FROM psi_long l JOIN psi_cuts k ON k.feature = l.feature)
-              GROUP BY feature, bin))
-  GROUP BY feature""",
+    "psi_cuts": psi_cuts("psi_long", "quantile_cont"),
+    "psi_values": psi_values("psi_long", "psi_cuts"),
+    "psi_observed_cuts": psi_cuts("psi_long", "quantile_disc"),
+    "psi_observed_values": psi_values("psi_long", "psi_observed_cuts"),
+    "line_long": "\n  UNION ALL ".join(
+        f"""SELECT '{f}' AS feature, CASE WHEN order_date > {AS_OF} - 30 THEN 1 ELSE 0 END AS is_current, CAST({f} AS DOUBLE) AS v
+  FROM fct_orders WHERE order_date > {AS_OF} - 90 AND order_date <= {AS_OF} AND {f} IS NOT NULL"""
+        for f in ("quantity", "unit_price", "discount_pct", "line_total")
+    ),
+    "line_cuts": psi_cuts("line_long", "quantile_disc"),
+    "line_values": psi_values("line_long", "line_cuts"),
     "bias_groups": """
   SELECT attribute, grp, count(*) AS n, sum(churn_pred) AS positives, sum(churn_pred) / count(*) AS rate
   FROM (SELECT 'gender' AS attribute, coalesce(gender, '(sin dato)') AS grp, churn_pred FROM scoring

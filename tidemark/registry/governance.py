@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.operators import churn, drift, evaluation, fairness, ranking
+from tidemark.operators import churn, drift, evaluation, fairness, ranking, sketches
 from tidemark.operators.quality import quality_gate
 from tidemark.plans import jobs, models
 from tidemark.registry.core import query
@@ -16,10 +16,11 @@ from tidemark.registry.quality import GATE_SQL, verdicts
 from tidemark.session import scratch_path, settle
 from tidemark.sources import bronze
 from tidemark.sources.adapter import Bronze
+from tidemark.sources.bronze import write_partitions
 
 VERSIONS = [1, 2, 3, 4]
 RUN_ID = "run-churn"
-_HOMES: dict[tuple[str, str], str] = {}  # model folder by application and data folder
+LINE_FEATURES = ["quantity", "unit_price", "discount_pct", "line_total"]
 
 
 def number() -> F.Column:
@@ -181,6 +182,38 @@ def psi_features(b):
     return psi(b).withColumn("psi", F.round("psi", 6))
 
 
+STATE = "CASE WHEN psi < 0.1 THEN 'estable' WHEN psi <= 0.2 THEN 'vigilar' ELSE 'congelar' END AS state"
+
+
+@query(
+    "feature:s psi:d state:s n_reference:i n_current:i",
+    f"SELECT feature, round(psi, 6) AS psi, {STATE}, n_reference, n_current FROM psi_observed_values",
+)
+def psi_features_sketched(b):
+    """Drift of two feature snapshots from their stored sketches; the twin is exact, as sketches of few values are."""
+    snapshots = DataFrame.unionByName(*Planned(b).two_snapshots(days_ago=30))
+    path = scratch_path(b.spark, "feature-sketches")
+    write_partitions(sketches.day_sketches(snapshots, churn.FEATURES, "report_date"), path, "report_date")
+    stored, then = b.spark.read.parquet(path), b.as_of - timedelta(days=30)
+    windows = [sketches.window_sketches(stored, "report_date", day, day) for day in (then, b.as_of)]
+    return sketches.psi_sketched(*windows).withColumn("psi", F.round("psi", 6))
+
+
+@query(
+    "feature:s psi:d state:s n_reference:i n_current:i",
+    f"SELECT feature, round(psi, 6) AS psi, {STATE}, n_reference, n_current FROM line_values",
+)
+def psi_lines_sketched(b):
+    """Drift of the order lines of the last 30 days against the 60 before, merged from sketches of single days."""
+    days = sketches.day_sketches(Planned(b).sales(), LINE_FEATURES, "order_date")
+    path = scratch_path(b.spark, "line-sketches")
+    days.repartitionByRange("order_date").sortWithinPartitions("order_date").write.parquet(path)
+    stored = b.spark.read.parquet(path)
+    ago = lambda n: b.as_of - timedelta(days=n)
+    windows = [sketches.window_sketches(stored, "order_date", *days) for days in ((ago(89), ago(30)), (ago(29), b.as_of))]
+    return sketches.psi_sketched(*windows).withColumn("psi", F.round("psi", 6))
+
+
 @query(
     "scope:s status:s tests_total:i tests_failed:i drift_psi:d",
     f"""SELECT 'model' AS scope, CASE WHEN g.tests_failed > 0 OR d.worst > 0.2 THEN 'rechazado' ELSE 'aprobado' END AS status,
@@ -192,20 +225,17 @@ def model_gate(b):
 
 
 def model_home(b: Bronze) -> str:
-    """Folder with the primary model in production and its scored test rows: fitted once per application and data."""
-    key = (b.spark.sparkContext.applicationId, b.base)
-    if key not in _HOMES:
-        home = scratch_path(b.spark, "models")
-        run = jobs.train_churn(Planned(b).features(), churn.PRIMARY)
-        churn.score(run.model, run.test).write.parquet(f"{home}/scored")
-        models.register(b.spark, home, run.model, RUN_ID, run.metrics.first().roc_auc)
-        models.promote(b.spark, home, RUN_ID)
-        _HOMES[key] = home
-    return _HOMES[key]
+    """Fits the primary model and puts it in production; its folder, with the scored test rows in `scored`."""
+    home = scratch_path(b.spark, "models")
+    run = jobs.train_churn(Planned(b).features(), churn.PRIMARY)
+    churn.score(run.model, run.test).write.parquet(f"{home}/scored")
+    models.register(b.spark, home, run.model, RUN_ID, run.metrics.first().roc_auc)
+    models.promote(b.spark, home, RUN_ID)
+    return home
 
 
-def scored_test(b: Bronze) -> DataFrame:
-    return b.spark.read.parquet(f"{model_home(b)}/scored")
+def scored_test(b: Bronze, home: str) -> DataFrame:
+    return b.spark.read.parquet(f"{home}/scored")
 
 
 TEST_ROWS = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY churn_label ORDER BY md5(customer_id || '|42'), customer_id)
@@ -221,7 +251,8 @@ TEST_ROWS = """(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY churn_l
 def churn_train(b):
     """The primary model's metrics on held-out rows: counts, and whether Spark's own evaluator, from the
     stored scores, gives the same area."""
-    scored = scored_test(b)
+    home = model_home(b)
+    scored = scored_test(b, home)
     evaluator = BinaryClassificationEvaluator(rawPredictionCol="churn_score", labelCol=churn.LABEL)
     other = evaluator.evaluate(scored)
     metrics = evaluation.model_metrics(scored.withColumn("part", F.lit("test")), "part")
@@ -230,7 +261,7 @@ def churn_train(b):
         "part", "positives", "negatives",
         (F.abs(F.col("roc_auc") - other) < 1e-9).cast("int").alias("recomputed"),
         (ranges[0] & ranges[1] & ranges[2]).cast("int").alias("in_range"),
-        F.lit(models.load(b.spark, model_home(b)).version).alias("production_version"),
+        F.lit(models.load(b.spark, home).version).alias("production_version"),
     )
 
 
@@ -260,8 +291,8 @@ def batch_scoring(b):
     ),
 )
 def feature_importance(b):
-    stored = models.load(b.spark, model_home(b))
-    found = churn.feature_importance(stored.model, scored_test(b))
+    home = model_home(b)
+    found = churn.feature_importance(models.load(b.spark, home).model, scored_test(b, home))
     total = F.sum("importance").over(Window.partitionBy(F.lit(1)))  # one row per feature
     return found.select(
         "feature", F.round("mean", 6).alias("mean"), F.col("importance").between(0, 1).alias("in_range"),

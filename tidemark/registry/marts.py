@@ -8,13 +8,14 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.contracts import RELATIONSHIPS
-from tidemark.operators import merge
+from tidemark.functions.columns import pick
+from tidemark.operators import history, merge
 from tidemark.operators.staging import STAGING
 from tidemark.plans import jobs, marts
 from tidemark.registry.core import query
 from tidemark.registry.ctes import AS_OF
 from tidemark.session import scratch_path, settle
-from tidemark.sources import tables
+from tidemark.sources import adapter, tables
 from tidemark.sources.bronze import write_partitions
 from tidemark.sources.adapter import Bronze
 
@@ -277,6 +278,53 @@ def fct_orders_customer_sk(b):
     return marts.customer_versions(p.sales(), p.dim_customer())
 
 
+def customer_days(b: Bronze) -> DataFrame:
+    """Customers as extracted when created and on every day they order, with the city and segment of that day."""
+    customers = b.customers()
+    number = F.substring("customer_id", 5, 30).cast("bigint")
+    orders = b.orders().select("customer_id", F.substring("order_id", 5, 30).cast("bigint").alias("extract_no"), "updated_at", "dt")
+    fixed = customers.select("customer_id", "full_name", "gender", "age_band", number.alias("n"))
+    place, kind = ("cast((n + if(extract_no % {} = 0, 1, 0)) % {} as int)".format(*x) for x in ((3, 8), (5, 3)))
+    moved = fixed.join(orders, "customer_id").select(
+        "customer_id", "full_name", "gender", "age_band", pick(adapter.CITIES, place).alias("city"),
+        pick(adapter.CITY_REGIONS, place).alias("region"), pick(adapter.SEGMENTS, kind).alias("segment"),
+        F.col("updated_at").cast("timestamp").alias("updated_at"), "extract_no", "dt",
+    )
+    first = customers.select(
+        "customer_id", "full_name", "gender", "age_band", "city", "region", "segment",
+        F.col("created_at").alias("updated_at"), F.lit(-1).cast("bigint").alias("extract_no"), F.to_date("created_at").alias("dt"),
+    )
+    return moved.unionByName(first)
+
+
+def customer_history(b: Bronze) -> DataFrame:
+    tracked, fixed = ["city", "region", "segment"], ["full_name", "gender", "age_band"]
+    return history.versions(customer_days(b), "customer_id", tracked, order=["updated_at", "extract_no"], kept=fixed)
+
+
+@query(
+    "version_sk:s customer_id:s full_name:s city:s region:s segment:s gender:s age_band:s valid_from:s valid_to:s version:i is_current:i",
+    "SELECT * FROM dim_customer_history",
+)
+def dim_customer_history(b):
+    """A version for each run of days with the same city, region and segment."""
+    return customer_history(b)
+
+
+@query(
+    "order_id:s product_id:s customer_id:s order_date:s city:s segment:s version:i",
+    """SELECT f.order_id, f.product_id, f.customer_id, f.order_date, h.city, h.segment, h.version
+       FROM fct_orders f LEFT JOIN dim_customer_history h
+         ON h.customer_id = f.customer_id AND f.order_date BETWEEN h.valid_from AND h.valid_to""",
+)
+def fct_orders_history(b):
+    """Order lines with the customer's attributes as they were on the order date."""
+    versions = customer_history(b).withColumnRenamed("version_sk", "customer_sk")
+    found = marts.customer_versions(Planned(b).sales(), versions)
+    at = versions.select("customer_sk", "city", "segment", "version")
+    return found.join(at, "customer_sk", "left")
+
+
 LOADED = f"{AS_OF} - 10"
 
 

@@ -6,12 +6,15 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import merge
+from tidemark.operators import key_tree, merge
 from tidemark.registry.core import query
 from tidemark.registry.ctes import AS_OF
 from tidemark.registry.ingest import audit
 from tidemark.registry.marts import Planned
-from tidemark.sources.bronze import AUDIT_KEYS
+from tidemark.schemas import bronze_schema
+from tidemark.session import scratch_path
+from tidemark.sources import tables
+from tidemark.sources.bronze import AUDIT_KEYS, as_declared, write_partitions
 
 
 @query(
@@ -108,3 +111,52 @@ def audit_upsert(b):
     rows = audit(b).select("run_id", "entity", "dt", "rows_read")
     batch = rows.where(F.col("dt") >= F.lit(b.as_of - timedelta(days=30))).withColumn("rows_read", F.col("rows_read") + 1)
     return merge.delete_insert(rows, batch, AUDIT_KEYS)
+
+
+@query(
+    "order_id:s",
+    """SELECT order_id FROM b_orders t
+       WHERE NOT EXISTS (SELECT 1 FROM b_orders s WHERE s.order_id = t.order_id AND s.n % 1009 <> 7)""",
+)
+def deleted_keys(b):
+    """The source lost a few orders; Bronze still has them."""
+    bronze, number = b.orders(), F.substring("order_id", 5, 30).cast("bigint")
+    return key_tree.deleted_keys(bronze.where(number % 1009 != 7), bronze, ["order_id"])
+
+
+@query(
+    "category:s products:i price_sum:d",
+    """SELECT category, count(*) AS products, sum(unit_price) AS price_sum FROM b_products t
+       WHERE EXISTS (SELECT 1 FROM b_products s WHERE s.product_id = t.product_id AND s.n % 41 <> 7) GROUP BY category""",
+)
+def bronze_after_deletes(b):
+    """Products that the source lost go from the stored table; only partitions that hold one are written again."""
+    stored = as_declared(b.products(), "products")
+    path, number = scratch_path(b.spark, "deletes"), F.substring("product_id", 5, 30).cast("bigint")
+    write_partitions(stored, path, "category")
+    schema = bronze_schema("products")
+    held = b.spark.read.schema(schema).parquet(path)
+    gone = key_tree.deleted_keys(b.products().where(number % 41 != 7), held, ["product_id"])
+    key_tree.apply_deletes(path, gone, ["product_id"], "category", schema)
+    left = b.spark.read.schema(schema).parquet(path)
+    return left.groupBy("category").agg(F.count(F.lit(1)).alias("products"), F.sum("unit_price").alias("price_sum"))
+
+
+@query(
+    "dt:s products:i price_sum:d",
+    f"""SELECT dt, count(*) AS products, sum(unit_price) AS price_sum
+        FROM (SELECT CASE WHEN n % 90 = 7 THEN {AS_OF} + 1 ELSE dt END AS dt,
+                     CASE WHEN n % 90 = 7 THEN unit_price + 1 ELSE unit_price END AS unit_price FROM b_products)
+        GROUP BY dt""",
+)
+def upsert_moved_keys(b):
+    """Half of one day's products come again a day after the last: the table's key filters name the partition to look in."""
+    path, number = scratch_path(b.spark, "moved"), F.substring("product_id", 5, 30).cast("bigint")
+    merged = lambda held, batch: merge.delete_insert(held, batch, ["product_id"])
+    stored = as_declared(b.products(), "products")
+    tables.upsert(stored, path, ["product_id"], "dt", merged, indexed=True)
+    raised = stored.where(number % 90 == 7).withColumn("unit_price", (F.col("unit_price") + 1).cast("decimal(12,2)"))
+    batch = raised.withColumn("dt", F.date_add(F.lit(b.as_of), 1))
+    tables.upsert(batch.select(*stored.columns), path, ["product_id"], "dt", merged, indexed=True)
+    held = b.spark.read.schema(stored.schema).parquet(path)
+    return held.groupBy("dt").agg(F.count(F.lit(1)).alias("products"), F.sum("unit_price").alias("price_sum"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark import contracts
 from tidemark.functions.columns import has_text
-from tidemark.operators import quality
+from tidemark.operators import quality, sketches
 from tidemark.operators.staging import STAGING
 from tidemark.plans.jobs import check_marts
 from tidemark.plans.marts import customer_features
@@ -186,6 +186,28 @@ def volume_7d(b):
     return quality.volume_7d(Planned(b).sales())
 
 
+GRAINS = {"day": "dt", "week": "CAST(date_trunc('week', dt) AS DATE)", "30 days": f"{AS_OF} - 30 * CAST(floor(date_diff('day', dt, {AS_OF}) / 30.0) AS INTEGER)"}
+
+
+@query(
+    "grain:s period:s orders:i",
+    "\nUNION ALL ".join(
+        f"SELECT '{grain}' AS grain, {period} AS period, count(DISTINCT order_id) AS orders FROM b_order_items GROUP BY {period}"
+        for grain, period in GRAINS.items()
+    ),
+)
+def distinct_orders_shipped(b):
+    """Orders with a line shipped in each day, week and 30 days: an order that ships on several days counts once."""
+    lines = b.order_items().select("order_id", "dt")
+    numbered = lines.distinct().join(sketches.key_numbers(lines, "order_id"), "order_id")
+    stored = settle(sketches.day_bitmaps(numbered, "dt", "number"), "day_bitmaps")
+    day, today = F.col("dt"), F.lit(b.as_of)
+    block = F.floor(F.date_diff(today, day) / 30).cast("int") * 30
+    periods = {"day": day, "week": F.to_date(F.date_trunc("week", day)), "30 days": F.date_sub(today, block)}
+    counted = [sketches.distinct_in(stored, F.lit(grain), period) for grain, period in periods.items()]
+    return reduce(DataFrame.unionByName, counted).toDF("grain", "period", "orders")
+
+
 @query(
     "order_date:s lines:i",
     """SELECT order_date, count(*) AS lines FROM fct_orders GROUP BY order_date

@@ -14,6 +14,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.session import scratch_scope, settle
+from tidemark.sources import key_index
 from tidemark.sources.files import Files
 
 STAGED, READY = "_staged", "_READY"
@@ -127,13 +128,16 @@ def upsert(
     partition: str,
     merge: Callable[[DataFrame, DataFrame], DataFrame],
     moving: bool = True,
+    indexed: bool = False,
 ) -> None:
     """Merges `batch` into the partitioned table at `path`, rewriting only the partitions it touches.
 
     `merge(target, batch)` gets the rows of those partitions, e.g. `delete_insert` or `merge_latest`.
     A key may be in another partition than before, which takes a scan of the target's keys; where it
     cannot (`moving=False`) the partitions are those of the batch, and the scan of the target is
-    pruned to them. The partition column is text, a date or a whole number.
+    pruned to them. With `indexed`, Bloom filters kept with the table name the partitions that the
+    batch's keys may be in, and only these are scanned for them; every writer of the table then has to
+    say so. The partition column is text, a date or a whole number.
     """
     spark = batch.sparkSession
     fs = Files(spark, path)
@@ -143,11 +147,30 @@ def upsert(
         empty = spark.createDataFrame([], batch.schema)
         first = merge(empty, batch)
         replace_partitions(first, path, partition, touched.limit(0))
+        if indexed:
+            key_index.refresh(spark, path, batch.schema, keys, partition, None, replace_partitions)
         return
     target = spark.read.schema(batch.schema).parquet(path)
-    if moving:
-        touched = touched.unionByName(target.join(batch.select(*keys), list(keys), "left_semi").select(partition))
     with scratch_scope(spark):
+        if indexed:
+            finish_publish(spark, f"{path}/{key_index.FOLDER}")
+        if moving:
+            searched = may_hold(spark, path, target, batch, keys, partition) if indexed else target
+            touched = touched.unionByName(searched.join(batch.select(*keys), list(keys), "left_semi").select(partition))
         touched = settle(touched.distinct(), "touched")
-        inside = target.join(touched.withColumnRenamed(partition, "_p"), F.col(partition).eqNullSafe(F.col("_p")), "left_semi")
+        inside = key_index.in_partitions(target, partition, touched)
+        if indexed:
+            key_index.add(spark, path, batch.schema, batch, keys, partition, replace_partitions)
         replace_partitions(merge(inside, batch), path, partition, touched)
+        if indexed:
+            key_index.refresh(spark, path, batch.schema, keys, partition, touched, replace_partitions)
+
+
+def may_hold(spark: SparkSession, path: str, target: DataFrame, batch: DataFrame, keys: Sequence[str], partition: str) -> DataFrame:
+    """The rows of the partitions that may hold a key of the batch, by the table's filters; all if it has none."""
+    index = key_index.stored(spark, path, batch.schema, partition)
+    if index is None:
+        return target
+    named = key_index.candidates(index, batch, keys, partition)
+    named = named.unionByName(key_index.without_filter(spark, path, batch.schema, partition, batch))
+    return key_index.in_partitions(target, partition, named)
