@@ -75,6 +75,64 @@ def test_held_out_accuracy_and_undetermined_texts(corpus):
     assert by_id[903][0] in ("aa", "bb", "cc") and by_id[None][0] == "aa"
 
 
+def brute_log(word, p):
+    """Log of the sum over all segmentations, place by place."""
+    word = language.START + word
+    best = [-np.inf] * len(word) + [0.0]
+    for at in range(len(word) - 1, -1, -1):
+        ways = [best[at + 1] + np.log(language.UNSEEN)]
+        ways += [np.log(p[i]) + best[at + len(piece)] for i, piece in enumerate(PIECES) if word.startswith(piece, at)]
+        best[at] = np.logaddexp.reduce(ways)
+    return best[0]
+
+
+def test_long_runs_are_whole():
+    rnd = random.Random(7)
+    words = ["".join(rnd.choice("abcx") for _ in range(n)) for n in (3, 24, 25, 60, 500, 10_000, 1)]
+    table = np.vstack([np.random.default_rng(1).dirichlet(np.ones(len(PIECES)), 3).T, np.full((1, 3), language.UNSEEN)])
+    automaton, lengths = language.matcher(PIECES), np.array([len(p) for p in PIECES])
+    got = language.word_scores(words, automaton, lengths, table)
+    assert np.allclose(got, [[brute_log(w, table[:, k]) for k in range(3)] for w in words])
+    one = np.vstack([language.word_scores([w], automaton, lengths, table) for w in words])
+    assert np.allclose(got, one)
+    lat = lattice(["abbacab" * 30])
+    p = np.log(np.concatenate([np.full(len(PIECES), 0.1), [language.UNSEEN]])[lat.piece])
+    ahead, behind = lat.forward_log(p), lat.backward_log(p)
+    uses = np.exp(ahead[lat.before] + p + behind[lat.end] - ahead[lat.last][lat.word[lat.end]])
+    assert np.isclose(uses @ np.array([len(x) for x in PIECES] + [1])[lat.piece], 7 * 30 + 1)
+
+
+def test_every_language_is_learned(spark):
+    rnd = random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    own = {f"l{i}": ["".join(rnd.sample(letters, 3)) for _ in range(4)] for i in range(300)}
+    rows = [(i * 10 + j, " ".join("".join(rnd.choice(own[lang]) for _ in range(2)) for _ in range(40)), lang) for i, lang in enumerate(own) for j in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = language.learn(docs, F.col("doc_id") % 10 != 2, rounds=2)
+    assert len(model.names) == 300
+    told = [r for r in language.identify(docs, model).collect() if r.doc_id % 10 == 2]
+    assert sum(r.lang == r.lang_pred for r in told) / len(told) > 0.95
+
+
+def test_texts_of_no_learned_language_do_not_fit(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.learn(docs, F.lit(True))
+    rnd = random.Random(3)
+    noise = [" ".join("".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(rnd.randint(2, 9))) for _ in range(40)) for _ in range(20)]
+    noise += ["Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему.", "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。"]
+    asked = spark.createDataFrame([(i, t) for i, t in enumerate(noise)], "doc_id long, text string")
+    assert all(r.fit < -6 for r in language.identify(asked, model).collect())
+    clean = language.identify(docs.select("doc_id", "lang", "text"), model).where("lang_pred <> 'und'").collect()
+    assert all(r.fit >= -6 for r in clean)
+
+
+def test_repeated_rows_count_once_in_the_fit(corpus, spark):
+    once = language.learn(corpus, F.lit(True), rounds=1)
+    many = corpus.unionByName(spark.range(50).crossJoin(corpus.where("doc_id = 4")).drop("id"))
+    again = language.learn(many, F.lit(True), rounds=1)
+    assert np.allclose(once.table, again.table)
+
+
 def test_nothing_to_learn_from(corpus):
     model = language.learn(corpus, F.lit(False))
     assert Counter(r.lang_pred for r in language.identify(corpus.select("doc_id", "text"), model).collect()) == {"und": corpus.count()}

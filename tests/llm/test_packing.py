@@ -47,7 +47,7 @@ def test_sequences_hold_their_pieces_and_are_downsized(planned):
 def test_texts_round_trip(edge, edge_list, planned):
     whole = defaultdict(dict)
     for r in packing.sequences(edge, planned, permitted=PERMITTED).collect():
-        words, at = r.text.split(" "), 0
+        words, at = WORD.findall(r.text), 0
         assert r.used == len(words) == sum(r.lengths)
         for d, start, length in zip(r.doc_ids, r.starts, r.lengths):
             whole[d][start, length] = words[at : at + length]
@@ -57,6 +57,17 @@ def test_texts_round_trip(edge, edge_list, planned):
             assert [w for _, ws in sorted(whole[d].items()) for w in ws] == WORD.findall(t or "") + ["<|end|>"]
 
 
+def test_pieces_joined_are_the_text_byte_for_byte(spark):
+    texts = ["  lead\n\tand\r\n  tail \n", "one", "", " \t ", None, "a b  c\n" * 60, "é ß\x0b𝄞  x", "w " * 16, " " + "w\n" * 32]
+    docs = spark.createDataFrame([(i, t, 1, {"k": 2}) for i, t in enumerate(texts)], "doc_id long, text string, key int, piece map<string,int>")
+    planned = packing.plan(docs, permitted=PERMITTED, shard=4)
+    pieces = defaultdict(dict)
+    for r in packing.sequences(docs, planned, permitted=PERMITTED).collect():
+        for d, start, length, span in zip(r.doc_ids, r.starts, r.lengths, r.spans):
+            pieces[d][start, length] = r.text[span.start : span.end]
+    assert {d: "".join(t for _, t in sorted(p.items())) for d, p in pieces.items()} == {i: t or "" for i, t in enumerate(texts)}
+
+
 def test_empty_table(no_docs):
     empty = packing.plan(no_docs)
     assert empty.count() == 0

@@ -103,5 +103,9 @@ def rotate(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn
         "conv_id", F.col("me").alias("speaker"), "part", F.size("t").alias("n_turns"),
         F.array_join("t.said", "").alias("text"), spans.alias("spans"), F.element_at("ends", -1).cast("long").alias("n_chars"),
     )
+    sized = settle(sized, "chat_parts")
+    # Offsets come from the parts' sizes alone, so that no task gathers a dialogue's text.
     offset = F.expr("sum(n_chars) over (partition by conv_id, speaker order by part) - n_chars")
-    return sized.withColumn("offset", offset).select("conv_id", "speaker", "part", "offset", "n_turns", "text", "spans")
+    at = sized.select(F.col("conv_id").alias("_c"), F.col("speaker").alias("_s"), F.col("part").alias("_p"), offset.alias("offset"))
+    same = F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("speaker") == F.col("_s")) & (F.col("part") == F.col("_p"))
+    return sized.join(at, same).select("conv_id", "speaker", "part", "offset", "n_turns", "text", "spans")

@@ -59,9 +59,18 @@ def slices(batch: pa.RecordBatch, rows: int = 256, size: int = 4 << 20):
         at = end
 
 
-def row_hash(df: DataFrame) -> Column:
-    """64-bit hash over all columns: equal for equal rows."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct; frames that carry it beside columns of their own can clash with no name of `df`."""
+    return F.struct(*[F.col(quoted(c)) for c in df.columns])
+
+
+def row_digest(row: Column) -> Column:
+    """SHA-256 of a struct of any types, maps included, as binary: the identity of a row, equal for equal rows."""
+    return F.unhex(F.sha2(F.to_json(row), 256))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import mix64, parts_for, settle
+from tidemark.llm.common import mix64, parts_for, settle, whole_row
 
 BUCKET = 4096  # digests in a bucket on average: about 200 KB of index
 GAMMA = 1.3  # bits of a level for each digest that is left
@@ -181,8 +181,8 @@ def keep(documents: DataFrame, old: Column, text: str = "text", doc_id: str = "d
     Joined on digest and id together, so that copies of a hot text meet in no common task.
     """
     winners = mark(documents, old, text, doc_id).where("kept").select(
-        F.unhex("text_sha256").alias("_digest"), F.col("doc_id").alias("_id")
+        F.unhex("text_sha256").alias("winner"), F.col("doc_id").alias("winner_id")
     )
-    held = documents.withColumn("_d", digest(F.col(text)))
-    on = (held["_d"] == winners["_digest"]) & F.col(doc_id).cast("long").eqNullSafe(F.col("_id"))
-    return held.join(winners, on, "left_semi").dropDuplicates(["_d", doc_id]).select(*[F.col(f"`{c}`") for c in documents.columns])
+    held = documents.select(whole_row(documents).alias("row"), digest(F.col(text)).alias("digest"), F.col(doc_id).cast("long").alias("id"))
+    on = (F.col("digest") == F.col("winner")) & F.col("id").eqNullSafe(F.col("winner_id"))
+    return held.join(winners, on, "left_semi").dropDuplicates(["digest", "id"]).select("row.*")

@@ -5,9 +5,11 @@ learned by expectation-maximisation on a bounded sample of labelled texts. The p
 in a language is the sum over all its segmentations into pieces, by the forward algorithm; a text's
 score is the product over its words, normalised over the languages.
 
-Words are lower-cased runs of letters with the mark of a word start before them; runs above 24 letters
-are scored in parts of 24. Any single letter may also come from a small constant, so that no word
-is impossible. Words repeat, so a task keeps the scores of a bounded number of words.
+Words are lower-cased runs of letters, of any length, with the mark of a word start before them. Any
+single letter may also come from a small constant, so that no word is impossible. The passes over runs
+above 24 letters add logarithms, as products would leave the range of doubles. Words repeat, so a
+task keeps the scores of a bounded number of words. Every language value of the labelled rows is
+learned, each by itself, and scored in groups of a few.
 """
 
 from __future__ import annotations
@@ -25,12 +27,14 @@ from tidemark.llm.common import settle, slices, uniform
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 START = "▁"
 LETTERS = re.compile(r"[^\W\d_]+")
-RUN = 24
+RUN = 24  # letters up to which products stay well within doubles
 UNSEEN = 1e-8  # probability of a letter outside the vocabulary, and least probability of a piece
-HELD_WORDS = 150_000  # words whose scores a task keeps
+HELD_WORDS = 150_000  # words whose scores a task keeps, in four languages; fewer in more
+HELD_LETTERS = 2_400_000  # and the letters of these words, about
+CELLS = 80_000  # words times languages of a pass
 SAMPLE = 1500  # labelled documents of a language that the fit reads, about
-LANGUAGES = 256
 ROUNDS = 4
+LOOSE = 0.35  # spreads of a word by which texts may differ in kind
 UNKNOWN = "und"
 
 
@@ -49,10 +53,7 @@ def vocabulary(path: str = VOCABULARY) -> list[str]:
 
 
 def words_of(text: str) -> list[str]:
-    found = LETTERS.findall(text.lower())
-    if max(map(len, found), default=0) > RUN:
-        found = [w[i : i + RUN] for w in found for i in range(0, len(w), RUN)]
-    return found
+    return LETTERS.findall(text.lower())
 
 
 def matcher(pieces: list[str]):
@@ -96,6 +97,24 @@ class Lattice:
             state[end[heads]] = np.add.reduceat(state[self.before[lo:hi]] * p[lo:hi], heads)
         return state
 
+    def forward_log(self, p: np.ndarray) -> np.ndarray:
+        """`forward` with logarithms in and out."""
+        state = np.full((self.n + 1, *p.shape[1:]), -np.inf)
+        state[self.n] = 0
+        for lo, hi in zip(self.cuts, self.cuts[1:]):
+            end = self.end[lo:hi]
+            heads = np.concatenate([[0], np.flatnonzero(np.diff(end)) + 1])
+            state[end[heads]] = np.logaddexp.reduceat(state[self.before[lo:hi]] + p[lo:hi], heads)
+        return state
+
+    def backward_log(self, p: np.ndarray) -> np.ndarray:
+        """`backward` with logarithms in and out."""
+        state = np.full(self.n + 1, -np.inf)
+        state[self.last] = 0
+        for lo, hi in zip(self.cuts[-2::-1], self.cuts[:0:-1]):
+            np.logaddexp.at(state, self.before[lo:hi], state[self.end[lo:hi]] + p[lo:hi])
+        return state
+
     def backward(self, p: np.ndarray) -> np.ndarray:
         """Probability of what follows each letter in its word, for one-dimensional `p`."""
         state = np.zeros(self.n + 1)
@@ -107,8 +126,24 @@ class Lattice:
 
 def word_scores(words: list[str], automaton, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Log-probability of each word in each language; `table` is (pieces + 1, languages), the last row UNSEEN."""
-    lattice = Lattice(words, automaton, lengths)
-    return np.log(lattice.forward(table[lattice.piece])[lattice.last])
+    out, sizes = np.empty((len(words), table.shape[1])), np.array([len(w) for w in words], np.int64)
+    # Runs of like length go together, so that short words do not wait for the steps of a long one.
+    for some in (np.flatnonzero(sizes <= RUN), np.flatnonzero(sizes > RUN)):
+        step = max(1, CELLS // max(table.shape[1], 1))
+        upto = np.cumsum(np.maximum(sizes[some] // RUN, 1))
+        cuts = np.searchsorted(upto, np.arange(0, upto[-1] if len(some) else 0, step))
+        for lo, hi in zip(cuts, [*cuts[1:], len(some)]):
+            if lo == hi:
+                continue
+            part = some[lo:hi]
+            lattice = Lattice([words[i] for i in part], automaton, lengths)
+            long = int(sizes[part].max()) > RUN
+            columns = max(1, 16_000_000 // (lattice.n + 1)) if long else max(1, table.shape[1])
+            for at in range(0, table.shape[1], columns):
+                p = table[lattice.piece, at : at + columns]
+                told = lattice.forward_log(np.log(p)) if long else np.log(lattice.forward(p))
+                out[part, at : at + columns] = told[lattice.last]
+    return out
 
 
 def _count_words(batches):
@@ -131,74 +166,126 @@ def _expect(pieces, names, shared):
         total = np.zeros(table.shape)
         for whole in batches:
             for batch in slices(whole, 20_000):
-                words = batch.column("word").to_pylist()
-                lang = np.array([number[x] for x in batch.column("lang").to_pylist()])
-                lattice = Lattice(words, automaton, lengths)
-                own = lang[lattice.word[lattice.end]]
-                p = table[lattice.piece, own]
-                ahead, behind = lattice.forward(p), lattice.backward(p)
-                n = batch.column("n").to_numpy() / ahead[lattice.last]
-                use = ahead[lattice.before] * p * behind[lattice.end] * n[lattice.word[lattice.end]]
-                np.add.at(total, (lattice.piece, own), use)
+                words, lang = batch.column("word").to_pylist(), np.array([number.get(x, -1) for x in batch.column("lang").to_pylist()])
+                n, sizes = batch.column("n").to_numpy(), np.array([len(w) for w in words])
+                short, long = np.flatnonzero((sizes <= RUN) & (lang >= 0)), np.flatnonzero((sizes > RUN) & (lang >= 0))
+                for some in [short, *[long[i : i + 1] for i in range(len(long))]]:
+                    if not len(some):
+                        continue
+                    lattice = Lattice([words[i] for i in some], automaton, lengths)
+                    at = lattice.word[lattice.end]
+                    own = lang[some][at]
+                    p = table[lattice.piece, own]
+                    if some is short:
+                        ahead, behind = lattice.forward(p), lattice.backward(p)
+                        use = ahead[lattice.before] * p * behind[lattice.end] / ahead[lattice.last][at]
+                    else:
+                        p = np.log(p)
+                        ahead, behind = lattice.forward_log(p), lattice.backward_log(p)
+                        use = np.exp(ahead[lattice.before] + p + behind[lattice.end] - ahead[lattice.last][at])
+                    np.add.at(total, (lattice.piece, own), use * n[some][at])
         at = np.nonzero(total[:-1])
         yield pa.RecordBatch.from_pydict({"piece": pa.array(at[0], pa.int32()), "lang": pa.array(at[1], pa.int32()), "used": pa.array(total[:-1][at])})
 
     return run
 
 
+def _fitness(pieces, names, shared):
+    """Sums over a partition of (lang, word, n) rows, by language: words, and log-probability a letter and its square."""
+
+    def run(batches):
+        automaton, lengths = matcher(pieces), np.array([len(p) for p in pieces])
+        table, number = shared.value, {name: i for i, name in enumerate(names)}
+        for whole in batches:
+            for batch in slices(whole, 20_000):
+                words, n = np.array(batch.column("word").to_pylist(), object), batch.column("n").to_numpy()
+                lang = np.array([number.get(x, -1) for x in batch.column("lang").to_pylist()])
+                for k in np.unique(lang[lang >= 0]):
+                    mine = np.flatnonzero(lang == k)
+                    x = per_letter(words[mine], word_scores(list(words[mine]), automaton, lengths, table[:, [k]])[:, 0])
+                    sums = [int(n[mine].sum()), float(n[mine] @ x), float(n[mine] @ (x * x))]
+                    yield pa.RecordBatch.from_pydict({"lang": pa.array([k], pa.int32()), "words": [sums[0]], "x": [sums[1]], "xx": [sums[2]]})
+
+    return run
+
+
+def per_letter(words, scores: np.ndarray) -> np.ndarray:
+    """Log-probability a letter, the start mark counted as one."""
+    return scores / (np.array([len(w) for w in words]) + 1)
+
+
 class Model:
-    """Languages, pieces and the table of probabilities."""
+    """Languages, pieces, the table of probabilities, and each language's mean and spread of a word's log-probability a letter."""
 
-    def __init__(self, names: list[str], pieces: list[str], table: np.ndarray):
+    def __init__(self, names: list[str], pieces: list[str], table: np.ndarray, mean: np.ndarray | None = None, spread: np.ndarray | None = None):
         self.names, self.pieces, self.table = names, pieces, table
+        self.mean = np.zeros(len(names)) if mean is None else mean
+        self.spread = np.ones(len(names)) if spread is None else spread
+
+
+LANGUAGES_A_PASS = 32
 
 
-def fit(labelled: DataFrame, pieces: list[str], sample: int = SAMPLE, languages: int = LANGUAGES, rounds: int = ROUNDS) -> Model:
+def fit(labelled: DataFrame, pieces: list[str], sample: int = SAMPLE, rounds: int = ROUNDS) -> Model:
     """Model from (doc_id, text, lang) rows with a non-null lang.
 
-    Of each language about `sample` documents are read, chosen by a hash of their id; of the language
-    values the `languages` most frequent are learned. What comes to the driver is bounded by the
-    vocabulary times the languages. Without rows no language is learned.
+    Of each language about `sample` documents are read, chosen by a hash of their id and text; rows that
+    repeat both are one row with their number, so repeated rows cannot swell the sample. Languages are
+    learned independently, LANGUAGES_A_PASS at a time. What comes to the driver is one probability for
+    each piece and language. Without rows no language is learned.
     """
     spark = labelled.sparkSession
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(languages)
-    sizes = sizes.toPandas().sort_values("lang")
-    names = sizes["lang"].tolist()
+    labelled = labelled.withColumn("h", F.sha2(F.coalesce("text", F.lit("")), 256))
+    sizes = labelled.groupBy("lang").agg(F.count_distinct(F.struct("doc_id", "h")).alias("rows"))
+    share = settle(sizes.select(F.col("lang").alias("_l"), F.least(F.lit(1.0), F.lit(float(sample)) / F.col("rows")).alias("share")), "language_shares")
+    names = sorted(r["_l"] for r in share.select("_l").collect())
     if not names:
         return Model([], pieces, np.empty((len(pieces) + 1, 0)))
-    share = spark.createDataFrame(list(zip(names, (min(1.0, sample / n) for n in sizes["rows"]))), "_l string, share double")
-    chosen = labelled.join(F.broadcast(share), F.col("lang") == F.col("_l")).where(uniform(F.lit(5), "doc_id") < F.col("share"))
+    chosen = labelled.join(share, F.col("lang") == F.col("_l")).where(uniform(F.lit(5), "doc_id", "h") < F.col("share"))
+    chosen = chosen.dropDuplicates(["lang", "doc_id", "h"])
     words = chosen.select("text", "lang").mapInArrow(_count_words, "lang string, word string, n long")
     words = settle(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), "language_words")
-    table = np.full((len(pieces) + 1, len(names)), 1.0 / len(pieces))
-    table[-1] = UNSEEN
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast(table)
-        used = words.mapInArrow(_expect(pieces, names, shared), "piece int, lang int, used double")
-        rows = used.groupBy("piece", "lang").agg(F.sum("used").alias("used")).toPandas()
-        counts = np.zeros(table.shape)
-        counts[rows["piece"], rows["lang"]] = rows["used"]
-        table = np.maximum((counts + 0.01) / (counts[:-1] + 0.01).sum(0), UNSEEN)
+    tables, mean, spread = [], np.zeros(len(names)), np.ones(len(names))
+    for first in range(0, len(names), LANGUAGES_A_PASS):
+        some = names[first : first + LANGUAGES_A_PASS]
+        held = words.where(F.col("lang").isin(some))
+        table = np.full((len(pieces) + 1, len(some)), 1.0 / len(pieces))
         table[-1] = UNSEEN
+        for _ in range(rounds):
+            shared = spark.sparkContext.broadcast(table)
+            used = held.mapInArrow(_expect(pieces, some, shared), "piece int, lang int, used double")
+            rows = used.groupBy("piece", "lang").agg(F.sum("used").alias("used")).toPandas()
+            counts = np.zeros(table.shape)
+            counts[rows["piece"], rows["lang"]] = rows["used"]
+            table = np.maximum((counts + 0.01) / (counts[:-1] + 0.01).sum(0), UNSEEN)
+            table[-1] = UNSEEN
+            shared.unpersist()
+        shared = spark.sparkContext.broadcast(table)
+        told = held.mapInArrow(_fitness(pieces, some, shared), "lang int, words long, x double, xx double")
+        for lang, n, x, xx in told.groupBy("lang").agg(F.sum("words"), F.sum("x"), F.sum("xx")).collect():
+            mean[first + lang], spread[first + lang] = x / n, max(xx / n - (x / n) ** 2, 1e-4) ** 0.5
         shared.unpersist()
-    return Model(names, pieces, table)
+        tables.append(table)
+    return Model(names, pieces, np.concatenate(tables, 1), mean, spread)
 
 
 def _identify(shared, others):
     def run(batches):
         model = Model(*shared.value)
         automaton, lengths = matcher(model.pieces), np.array([len(p) for p in model.pieces])
-        number, scores = {}, np.empty((0, len(model.names)))
+        number, scores, letters = {}, np.empty((0, len(model.names))), 0
+        most = HELD_WORDS * 4 // max(len(model.names), 4)
 
         def known(counters):
-            """Scores of all words so far, with those of the new ones; starts anew above HELD_WORDS."""
-            nonlocal number, scores
+            """Scores of all words so far, with those of the new ones; starts anew where the bounds are reached."""
+            nonlocal number, scores, letters
             new = [w for w in dict.fromkeys(w for c in counters for w in c) if w not in number]
-            if len(number) + len(new) > HELD_WORDS:
-                number, scores = {}, scores[:0]
+            if len(number) + len(new) > most or letters > HELD_LETTERS:
+                number, scores, letters = {}, scores[:0], 0
                 new = list(dict.fromkeys(w for c in counters for w in c))
             if new:
                 number.update(zip(new, range(len(number), len(number) + len(new))))
+                letters += sum(map(len, new))
                 parts = [word_scores(new[i : i + 20_000], automaton, lengths, model.table) for i in range(0, len(new), 20_000)]
                 scores = np.concatenate([scores, *parts])
 
@@ -206,32 +293,41 @@ def _identify(shared, others):
             for batch in slices(whole, 64):
                 counters = [Counter(words_of(t)) if t else Counter() for t in batch.column("text").to_pylist()]
                 known(counters)
-                best, sure = [], []
+                best, sure, fit = [], [], []
                 for counter in counters:
                     if not counter or not model.names:
                         best.append(UNKNOWN)
                         sure.append(0.0)
+                        fit.append(None)
                         continue
                     at = np.fromiter(map(number.__getitem__, counter), np.int64, len(counter))
-                    s = np.fromiter(counter.values(), np.float64, len(counter)) @ scores[at]
-                    best.append(model.names[int(s.argmax())])
+                    n = np.fromiter(counter.values(), np.float64, len(counter))
+                    s = n @ scores[at]
+                    k = int(s.argmax())
+                    best.append(model.names[k])
                     sure.append(float(1 / np.exp(s - s.max()).sum()))
-                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], pa.array(best), pa.array(sure)], [*others, "lang_pred", "score"])
+                    x = float(n @ per_letter(list(counter), scores[at, k]) / n.sum())
+                    fit.append(float((x - model.mean[k]) / model.spread[k] / (LOOSE + n.sum() ** -0.5)))
+                columns = [pa.array(best), pa.array(sure), pa.array(fit, pa.float64())]
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], *columns], [*others, "lang_pred", "score", "fit"])
 
     return run
 
 
 def identify(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of `documents` but the text's, which must be called `text`, with lang_pred and score.
-
-    `score` is the posterior of the predicted language among the learned ones. A null text, a text
-    without letters, and every text if no language was learned gives `und` and 0. Whole texts are
-    read; an empty table gives an empty result.
+    """All columns of `documents` but the text's, which must be called `text`, with lang_pred, score and fit.
+
+    `score` is the posterior of the predicted language among the learned ones. `fit` says how well the
+    text fits that language at all, by the mean log-probability a letter of its words: its distance from
+    that of the labelled texts' words, in deviations of a mean of so many words and LOOSE spreads more,
+    for texts of a kind of their own. Random letters and languages not learned lie far below -6.
+    A null text, a text without letters, and every text if no language was learned gives `und`, 0 and
+    null. Whole texts are read; an empty table gives an empty result.
     """
     others = [c for c in documents.columns if c != text]
     kinds = dict(documents.dtypes)
-    schema = ", ".join([f"`{c}` {kinds[c]}" for c in others] + ["lang_pred string", "score double"])
-    shared = documents.sparkSession.sparkContext.broadcast((model.names, model.pieces, model.table))
+    schema = ", ".join([f"`{c}` {kinds[c]}" for c in others] + ["lang_pred string", "score double", "fit double"])
+    shared = documents.sparkSession.sparkContext.broadcast((model.names, model.pieces, model.table, model.mean, model.spread))
     return documents.mapInArrow(_identify(shared, others), schema)
 
 

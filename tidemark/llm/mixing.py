@@ -17,13 +17,13 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import row_hash, settle, uniform, word_count
+from tidemark.llm.common import row_digest, settle, uniform, whole_row, word_count
 
 LEAF = 512
 WEIGHTS = (5.0, 2.0, 1.0)
 LIMIT = 3.0
 CARRIED = ("source", "leaf", "key", "doc_id", "size", "p", "whole", "source_size", "target")
-STATE = "source string, leaf long, key long, doc_id long, size long, p double, whole int, source_size long, target double, extra int"
+STATE = "source string, leaf long, key binary, doc_id long, size long, p double, whole int, source_size long, target double, extra int"
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = LIMIT) -> DataFrame:
@@ -108,7 +108,7 @@ def _level(level: int, last: bool):
 
 def _rows(rows: list[dict]) -> pa.RecordBatch:
     long, real, small = pa.int64(), pa.float64(), pa.int32()
-    kinds = dict(zip((*CARRIED, "extra"), (pa.string(), long, long, long, long, real, small, long, real, small)))
+    kinds = dict(zip((*CARRIED, "extra"), (pa.string(), long, pa.binary(), long, long, real, small, long, real, small)))
     return pa.RecordBatch.from_pydict({k: pa.array([r.get(k) for r in rows], t) for k, t in kinds.items()})
 
 
@@ -155,13 +155,13 @@ def mix(
     """key, doc_id, source, size, source_size, target, copies, taken for every row of `documents`.
 
     Size is the number of words, 0 for null. `copies` times `size` is `taken`; documents without
-    words get no copy. `key` is a hash of the whole row: equal rows are interchangeable. A null source
+    words get no copy. `key` is a SHA-256 of the whole row: equal rows are interchangeable. A null source
     is a source of its own, a null id an id like any other; other columns only enter the key. An
     empty table gives an empty result.
     """
     rows = documents.select(
         F.col(source).cast("string").alias("source"),
-        row_hash(documents).alias("key"),
+        row_digest(whole_row(documents)).alias("key"),
         F.col(doc_id).cast("long").alias("doc_id"),
         word_count(F.col(text)).alias("size"),
     )
@@ -184,7 +184,7 @@ def mix(
 
 def mixed(documents: DataFrame, **options) -> DataFrame:
     """The rows of `documents` as often as the mix takes them, with all their columns."""
-    copies = mix(documents, **options).groupBy(F.col("key").alias("_key")).agg(F.sum("copies").cast("int").alias("_copies"))
-    rows = documents.withColumn("_k", row_hash(documents)).dropDuplicates(["_k"])
-    taken = rows.join(copies.where("_copies > 0"), F.col("_k") == F.col("_key"))
-    return taken.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in documents.columns])
+    copies = mix(documents, **options).groupBy("key").agg(F.sum("copies").cast("int").alias("copies"))
+    rows = documents.select(whole_row(documents).alias("row")).withColumn("key", row_digest(F.col("row"))).dropDuplicates(["key"])
+    taken = rows.join(copies.where("copies > 0"), "key")
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("n")).select("row.*")

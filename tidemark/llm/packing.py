@@ -18,11 +18,11 @@ from collections import defaultdict
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import WORD, parts_for, settle, word_count
+from tidemark.llm.common import parts_for, row_digest, settle, word_count
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 SHARD = 4096
-PLAN = "doc_id long, key long, piece int, start long, length long, bin_id string, capacity int, position int"
+PLAN = "doc_id long, key binary, piece int, start long, length long, bin_id string, capacity int, position int"
 
 
 def cost(capacity: int) -> float:
@@ -81,7 +81,7 @@ def _shards(permitted):
                 row |= {"bin_id": f"{shard}-{b}", "capacity": caps[b], "position": filled[b]}
                 filled[b] += row["length"]
             names = ("doc_id", "key", "piece", "start", "length", "bin_id", "capacity", "position")
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32())
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32())
             return pa.RecordBatch.from_pydict({n: pa.array([r[n] for r in held], k) for n, k in zip(names, kinds)})
 
         for batch in batches:
@@ -97,6 +97,14 @@ def _shards(permitted):
     return run
 
 
+#: A word with the blanks after it; the first one has the blanks before it too.
+SPACED = r"(?:^[\x20\x09-\x0D]+)?[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
+
+
+def identity(doc_id: str, text: str):
+    return row_digest(F.struct(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")))
+
+
 def plan(
     documents: DataFrame,
     text: str = "text",
@@ -108,14 +116,14 @@ def plan(
 
     `length` counts the piece's words and, for a document's last piece, the separator; `position` is
     where the piece starts in its sequence. A null or wordless text is one piece of length 1. `key`
-    hashes id and text: rows that repeat both are packed once each. Null ids are kept; other
+    is a SHA-256 of id and text: rows that repeat both are packed once each. Null ids are kept; other
     columns are not read. Every row is packed; an empty table gives an empty plan. Reruns agree.
     """
     permitted = tuple(sorted(permitted))
     top = permitted[-1]
     rows = documents.select(
         F.col(doc_id).cast("long").alias("doc_id"),
-        F.xxhash64(F.col(doc_id).cast("long"), F.col(text)).alias("key"),
+        identity(doc_id, text).alias("key"),
         (word_count(F.col(text)) + 1).alias("n"),
     )
     # Rows that repeat id and text are told apart by a number, from one row with their count.
@@ -149,22 +157,32 @@ def sequences(
     permitted: tuple[int, ...] = LENGTHS,
     separator: str = "<|end|>",
 ) -> DataFrame:
-    """One row per sequence: bin_id, capacity, used, doc_ids, starts, lengths and the packed text.
+    """One row per sequence: bin_id, capacity, used, doc_ids, starts, lengths, the packed text and spans.
 
-    Words are joined by single blanks and a document's last piece ends in the separator. A sequence
-    gathers at most `capacity` words.
+    A piece is cut out of its document as it stands, with its line breaks, tabs and blanks, so a document's
+    pieces in order, joined, are its text, byte for byte; a null text is empty. After a document's last
+    piece come a blank and the separator, between pieces a blank. `spans` has the [start, end) of each piece in
+    characters of the packed text, separator not included. A sequence gathers at most `capacity` words.
     """
     top = max(permitted)
-    rows = documents.select(
-        F.xxhash64(F.col(doc_id).cast("long"), F.col(text)).alias("_key"),
-        F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(WORD), F.lit(0)).alias("_words"),
-    ).withColumn("_words", F.concat("_words", F.array(F.lit(separator))))
-    cut = F.sequence(F.lit(0), ((F.size("_words") - 1) / top).cast("int"))
-    texts = F.transform(cut, lambda i: F.array_join(F.slice("_words", i * top + 1, F.lit(top)), " "))
-    held = rows.select("_key", F.posexplode(texts).alias("_piece", "_text")).dropDuplicates(["_key", "_piece"])
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = documents.select(identity(doc_id, text).alias("_key"), whole.alias("_whole"), F.regexp_extract_all(whole, F.lit(SPACED), F.lit(0)).alias("_words"))
+    last = F.floor(F.size("_words") / top).cast("int")
+    texts = F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("_words", i * top + 1, F.lit(top)), ""))
+    texts = F.when(F.size("_words") == 0, F.array("_whole")).otherwise(texts)
+    held = rows.select("_key", last.alias("_last"), F.posexplode(texts).alias("_piece", "_text")).dropDuplicates(["_key", "_piece"])
     joined = planned.join(held, (F.col("key") == F.col("_key")) & (F.col("piece") == F.col("_piece")))
-    piece = F.struct("position", "doc_id", "start", "length", F.col("_text").alias("text"))
+    tail = F.when(F.col("_piece") == F.col("_last"), F.lit(f" {separator}")).otherwise("")
+    piece = F.struct("position", "doc_id", "start", "length", F.col("_text").alias("text"), tail.alias("tail"))
     held = joined.groupBy("bin_id", "capacity").agg(F.sort_array(F.collect_list(piece)).alias("p"))
+
+    def upto(done, x):
+        begin = F.when(F.size(done) > 0, F.element_at(done, -1)["next"]).otherwise(0)
+        end = begin + F.length(x["text"])
+        return F.concat(done, F.array(F.struct(begin.alias("start"), end.alias("end"), (end + F.length(x["tail"]) + 1).alias("next"))))
+
+    none = F.array().cast("array<struct<start:int,end:int,next:int>>")
+    spans = F.transform(F.aggregate("p", none, upto), lambda s: F.struct(s["start"], s["end"]))
     return held.select(
         "bin_id",
         "capacity",
@@ -172,5 +190,6 @@ def sequences(
         F.col("p.doc_id").alias("doc_ids"),
         F.col("p.start").alias("starts"),
         F.col("p.length").alias("lengths"),
-        F.array_join("p.text", " ").alias("text"),
+        F.array_join(F.transform("p", lambda x: F.concat(x["text"], x["tail"])), " ").alias("text"),
+        spans.alias("spans"),
     )

@@ -67,7 +67,7 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = read(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 4) == 2
     model = language.learn(documents, ~held_out)
-    return language.identify(documents.select("doc_id", held_out.alias("held_out"), "text"), model)
+    return language.identify(documents.select("doc_id", held_out.alias("held_out"), "text"), model)  # and how well it fits
 
 
 @query()

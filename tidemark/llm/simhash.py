@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from fractions import Fraction
+from hashlib import sha256
 from itertools import combinations
 
 import numpy as np
@@ -24,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import mix64, row_hash, settle, slices
+from tidemark.llm.common import mix64, row_digest, settle, slices, whole_row
 from tidemark.llm.components import components
 
 BUCKET = 4096
@@ -66,9 +67,9 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
 
 
 def set_fingerprints(documents: DataFrame, words: int, width: int, text: str = "text") -> DataFrame:
-    """`documents` with node, a hash of the set of shingles, and the set's fingerprint f0, f1, ... instead of the text."""
+    """`documents` with set_digest, the SHA-256 of the set of shingles, and the set's fingerprint f0, f1, ... instead of the text."""
     others = [c for c in documents.columns if c != text]
-    names = ["node", *[f"f{k}" for k in range(width // 64)]]
+    names = [f"f{k}" for k in range(width // 64)]
 
     def run(batches):
         for whole in batches:
@@ -76,11 +77,12 @@ def set_fingerprints(documents: DataFrame, words: int, width: int, text: str = "
                 found = []
                 for t in batch.column(text).to_pylist():
                     s = shingle_set(t, words)
-                    found.append((xxhash.xxh64_intdigest(s.tobytes()) - 2**63, *fingerprint(s, width)))
-                columns = [batch.column(c) for c in others] + [pa.array([f[k] for f in found], pa.int64()) for k in range(len(names))]
-                yield pa.RecordBatch.from_arrays(columns, [*others, *names])
+                    found.append((sha256(s.tobytes()).digest(), *fingerprint(s, width)))
+                columns = [batch.column(c) for c in others] + [pa.array([f[0] for f in found], pa.binary())]
+                columns += [pa.array([f[k + 1] for f in found], pa.int64()) for k in range(len(names))]
+                yield pa.RecordBatch.from_arrays(columns, [*others, "set_digest", *names])
 
-    schema = ", ".join([f"`{c}` {t}" for c, t in documents.dtypes if c != text] + [f"{n} long" for n in names])
+    schema = ", ".join([f"`{c}` {t}" for c, t in documents.dtypes if c != text] + ["set_digest binary"] + [f"{n} long" for n in names])
     return documents.mapInArrow(run, schema)
 
 
@@ -434,10 +436,14 @@ def near_dedup(
     radius = radius_for(similarity, width)
     masks = wide_masks(width, keys, key_bits)
     names = [f"f{k}" for k in range(width // 64)]
-    slim = documents.select(row_hash(documents).alias("key"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    keyed = documents.select(whole_row(documents).alias("row"), F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    keyed = keyed.withColumn("key", row_digest(F.col("row")))
+    slim = keyed.select("key", "doc_id", "text")
     marked = settle(set_fingerprints(slim, words, width), "simhash_wide")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("best")
-    nodes = settle(marked.groupBy("node", *names).agg(best).withColumn("id", F.xxhash64(*names)), "simhash_nodes")
+    # Nodes are numbered, for sets are told apart by a digest that links need not carry.
+    nodes = marked.groupBy("set_digest", *names).agg(best).drop("set_digest")
+    nodes = settle(nodes.withColumn("id", F.xxhash64(*names)).withColumn("node", F.monotonically_increasing_id()), "simhash_nodes")
     roots = components(link_wide(nodes.select("id", *names).distinct(), radius, *masks)).withColumnRenamed("node", "_n")
     placed = nodes.join(roots, F.col("id") == F.col("_n"), "left").select("node", "best", F.coalesce("root", "id").alias("root"))
     placed = settle(placed, "simhash_candidates")
@@ -448,5 +454,5 @@ def near_dedup(
     groups_of = components(link_similar(texts, words, similarity)).select(F.col("node").alias("_n"), F.col("root").alias("group"))
     kept = nodes.join(groups_of, F.col("node") == F.col("_n"), "left").groupBy(F.coalesce("group", "node").alias("group")).agg(F.min("best").alias("best"))
     first = kept.select(F.col("best.key").alias("_key"))
-    held = documents.withColumn("_k", row_hash(documents))
-    return held.join(first, F.col("_k") == F.col("_key"), "left_semi").dropDuplicates(["_k"]).select(*[F.col(f"`{c}`") for c in documents.columns])
+    held = keyed.select("row", "key").join(first, F.col("key") == F.col("_key"), "left_semi")
+    return held.dropDuplicates(["key"]).select("row.*")
