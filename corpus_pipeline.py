@@ -5,19 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import exact_dedup, language, mixing, packing, simhash
-from tidemark.llm.common import crc_mod, read, settle
+from tidemark.llm.common import crc_mod, read, settle, whole_row
 
 
-LEAST_SCORE = 0.4
+LEAST_FIT = -6.0
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages that the labels name; those without letters or a clear language go."""
-    columns = docs.columns
+    """Documents in one of the languages that the labels name; those without letters go, and those whose words fit no such language."""
     model = language.learn(docs, crc_mod(F.col("doc_id"), 4) != 2)
-    told = language.identify(docs.withColumn("_text", F.col("text")), model)
-    told = told.withColumnRenamed("_text", "text")
-    return told.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*columns)
+    told = language.identify(docs.select(whole_row(docs).alias("row"), "text"), model)
+    return told.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("fit") >= LEAST_FIT)).select("row.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
