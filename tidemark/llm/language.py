@@ -35,6 +35,8 @@ CELLS = 80_000  # words times languages of a pass
 SAMPLE = 1500  # labelled documents of a language that the fit reads, about
 ROUNDS = 4
 LOOSE = 0.35  # spreads of a word by which texts may differ in kind
+WORST = 5.0  # spreads that a word counts below the mean, at most
+LETTERS_A_WORD = 5
 UNKNOWN = "und"
 
 
@@ -191,7 +193,7 @@ def _expect(pieces, names, shared):
 
 
 def _fitness(pieces, names, shared):
-    """Sums over a partition of (lang, word, n) rows, by language: words, and log-probability a letter and its square."""
+    """Sums over a partition of (lang, word, n) rows, by language: letters, and their words' log-probability a letter and its square."""
 
     def run(batches):
         automaton, lengths = matcher(pieces), np.array([len(p) for p in pieces])
@@ -203,15 +205,20 @@ def _fitness(pieces, names, shared):
                 for k in np.unique(lang[lang >= 0]):
                     mine = np.flatnonzero(lang == k)
                     x = per_letter(words[mine], word_scores(list(words[mine]), automaton, lengths, table[:, [k]])[:, 0])
-                    sums = [int(n[mine].sum()), float(n[mine] @ x), float(n[mine] @ (x * x))]
-                    yield pa.RecordBatch.from_pydict({"lang": pa.array([k], pa.int32()), "words": [sums[0]], "x": [sums[1]], "xx": [sums[2]]})
+                    w = n[mine] * letters_of(words[mine])
+                    yield pa.RecordBatch.from_pydict({"lang": pa.array([k], pa.int32()), "letters": [int(w.sum())], "x": [float(w @ x)], "xx": [float(w @ (x * x))]})
 
     return run
 
 
+def letters_of(words) -> np.ndarray:
+    """Letters of each word, the start mark counted as one."""
+    return np.array([len(w) for w in words], np.int64) + 1
+
+
 def per_letter(words, scores: np.ndarray) -> np.ndarray:
-    """Log-probability a letter, the start mark counted as one."""
-    return scores / (np.array([len(w) for w in words]) + 1)
+    """Log-probability a letter."""
+    return scores / letters_of(words)
 
 
 class Model:
@@ -261,8 +268,8 @@ def fit(labelled: DataFrame, pieces: list[str], sample: int = SAMPLE, rounds: in
             table[-1] = UNSEEN
             shared.unpersist()
         shared = spark.sparkContext.broadcast(table)
-        told = held.mapInArrow(_fitness(pieces, some, shared), "lang int, words long, x double, xx double")
-        for lang, n, x, xx in told.groupBy("lang").agg(F.sum("words"), F.sum("x"), F.sum("xx")).collect():
+        told = held.mapInArrow(_fitness(pieces, some, shared), "lang int, letters long, x double, xx double")
+        for lang, n, x, xx in told.groupBy("lang").agg(F.sum("letters"), F.sum("x"), F.sum("xx")).collect():
             mean[first + lang], spread[first + lang] = x / n, max(xx / n - (x / n) ** 2, 1e-4) ** 0.5
         shared.unpersist()
         tables.append(table)
@@ -306,8 +313,9 @@ def _identify(shared, others):
                     k = int(s.argmax())
                     best.append(model.names[k])
                     sure.append(float(1 / np.exp(s - s.max()).sum()))
-                    x = float(n @ per_letter(list(counter), scores[at, k]) / n.sum())
-                    fit.append(float((x - model.mean[k]) / model.spread[k] / (LOOSE + n.sum() ** -0.5)))
+                    z = (per_letter(list(counter), scores[at, k]) - model.mean[k]) / model.spread[k]
+                    w = n * letters_of(list(counter))
+                    fit.append(float(w @ np.maximum(z, -WORST) / w.sum() / (LOOSE + (w.sum() / LETTERS_A_WORD) ** -0.5)))
                 columns = [pa.array(best), pa.array(sure), pa.array(fit, pa.float64())]
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], *columns], [*others, "lang_pred", "score", "fit"])
 
@@ -318,9 +326,11 @@ def identify(documents: DataFrame, model: Model, text: str = "text") -> DataFram
     """All columns of `documents` but the text's, which must be called `text`, with lang_pred, score and fit.
 
     `score` is the posterior of the predicted language among the learned ones. `fit` says how well the
-    text fits that language at all, by the mean log-probability a letter of its words: its distance from
-    that of the labelled texts' words, in deviations of a mean of so many words and LOOSE spreads more,
-    for texts of a kind of their own. Random letters and languages not learned lie far below -6.
+    text fits that language at all, by its words' log-probability a letter: the mean over its letters of
+    the distance from the labelled texts' mean, in spreads, no word lower than WORST of them, so that a
+    code or an address in a text does not decide; divided by LOOSE, for texts of a kind of their own,
+    plus the deviation of a mean over so many letters. Random letters and languages not learned
+    lie below -6.5, unless the text is shorter than some forty letters, which tell too little.
     A null text, a text without letters, and every text if no language was learned gives `und`, 0 and
     null. Whole texts are read; an empty table gives an empty result.
     """
