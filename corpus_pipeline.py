@@ -8,7 +8,7 @@ from tidemark.llm import exact_dedup, language, mixing, packing, simhash
 from tidemark.llm.common import crc_mod, read, settle, whole_row
 
 
-LEAST_FIT = -6.0
+LEAST_FIT = -6.5
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
