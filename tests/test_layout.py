@@ -1,9 +1,75 @@
-"""Rules about the test files themselves."""
+"""Z-ordered files and rules about the test files themselves."""
 
+import random
 from collections import Counter
 from pathlib import Path
 
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.sources import layout
+
 
 def test_base_names_of_test_files_are_unique():
     names = Counter(p.name for p in Path(__file__).parent.rglob("test_*.py"))
     assert [n for n, times in names.items() if times > 1] == []
+
+
+@pytest.fixture(scope="module")
+def facts(spark):
+    rnd = random.Random(4)
+    rows = [(i, rnd.randrange(100_000), f"CUS-{rnd.randrange(30_000):06d}") for i in range(40_000)]
+    rows += [(50_000 + i, None, "CUS-000001") for i in range(50)] + [(60_000 + i, 7, None) for i in range(50)]
+    return spark.createDataFrame(rows, "id int, day int, customer string").repartition(4).cache()
+
+
+@pytest.fixture(scope="module")
+def stored(spark, facts, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("z") / "t")
+    layout.write_z_ordered(facts, path, ["day", "customer"], files=64)
+    return path, layout.file_bounds(spark, path, ["day", "customer"]).cache()
+
+
+def test_all_rows_are_kept(spark, facts, stored):
+    path, bounds = stored
+    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=str) == sorted(map(tuple, facts.collect()), key=str)
+    assert bounds.agg(F.sum("rows")).first()[0] == facts.count()
+
+
+@pytest.mark.parametrize("ranges", [{"customer": ("CUS-010000", "CUS-010300")}, {"day": (500, 900)}, {"day": (0, 20_000), "customer": ("CUS-0", "CUS-005")}, {"day": (200_000, 300_000)}])
+def test_reads_what_a_filter_gives(spark, facts, stored, ranges):
+    path, bounds = stored
+    want = facts
+    for k, (low, high) in ranges.items():
+        want = want.where(F.col(k).between(low, high))
+    assert sorted(r.id for r in layout.read_within(spark, path, bounds, ranges).collect()) == sorted(r.id for r in want.collect())
+
+
+def test_each_key_alone_skips_most_files(spark, facts, stored, tmp_path):
+    path, bounds = stored
+    plain = str(tmp_path / "sorted")
+    facts.repartitionByRange(64, "day", "customer").sortWithinPartitions("day", "customer").write.parquet(plain)
+    sorted_bounds = layout.file_bounds(spark, plain, ["day", "customer"])
+    one = {"customer": ("CUS-010000", "CUS-010300")}
+    n, m = bounds.count(), sorted_bounds.count()
+    assert len(layout.files_within(sorted_bounds, one)) >= 0.9 * m  # the second key of a tuple skips nothing
+    assert len(layout.files_within(bounds, one)) <= 0.35 * n
+    assert len(layout.files_within(bounds, {"day": (500, 900)})) <= 0.35 * n
+
+
+def test_bits_are_interleaved(spark):
+    df = spark.createDataFrame([(a, b) for a in range(8) for b in range(8)], "a int, b int")
+    z = layout.z_number([F.col("a"), F.col("b")], 3)
+    for r in df.select("a", "b", z.alias("z")).collect():
+        bits = "".join(x + y for x, y in zip(f"{r.a:03b}", f"{r.b:03b}"))
+        assert r.z == int(bits, 2)
+
+
+def test_one_value_no_rows_and_too_many_bits(spark, tmp_path):
+    same = spark.createDataFrame([(1, "x")] * 20, "day int, customer string")
+    layout.write_z_ordered(same, str(tmp_path / "same"), ["day", "customer"], files=4)
+    assert spark.read.parquet(str(tmp_path / "same")).count() == 20
+    layout.write_z_ordered(same.limit(0), str(tmp_path / "none"), ["day", "customer"], files=4)
+    assert spark.read.parquet(str(tmp_path / "none")).count() == 0
+    with pytest.raises(ValueError):
+        layout.write_z_ordered(same, str(tmp_path / "wide"), ["day", "customer"], bits=40)

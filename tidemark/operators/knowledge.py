@@ -26,12 +26,13 @@ def chunk_documents(
     document share a chunk_id.
     """
     marked = F.regexp_replace(F.col(text), "(^|\\n)(#{1,6} )", f"$1{SECTION_MARK}$2")
-    parts = F.filter(F.split(marked, SECTION_MARK), lambda p: F.length(F.regexp_replace(p, BLANKS, "")) > 0)
+    trimmed = lambda c: F.btrim(c, F.lit(" \t\n\r"))
+    parts = F.filter(F.split(marked, SECTION_MARK), lambda p: trimmed(p) != "")
     sections = docs.select(
         F.col(path).alias("path"), version.cast("string").alias("version"), F.posexplode(parts).alias("section_no", "body")
     )
     heading = F.nullif(F.regexp_extract("body", "^#{1,6} ([^\\n]*)", 1), F.lit(""))
-    words = F.filter(F.split("body", BLANKS), lambda w: w != "")
+    words = F.split(trimmed(F.col("body")), BLANKS)
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - (tokens - step) - 1, F.lit(0)), F.lit(step))
     return (
         sections.select("path", "version", "section_no", heading.alias("section"), words.alias("words"))

@@ -2,70 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
-
-from tidemark.operators.ranking import exact_quantiles
-
-# The handoff message contract.
-AGENTS = (
-    "orchestrator", "platform", "data_engineer", "analytics_engineer", "ds_mlops", "bi_viz", "governance",
-)
-INTENTS = ("stack_ops", "ingestion", "modeling", "science", "visualization", "assurance", "ambiguous")
-STATUSES = ("ok", "parcial", "fallido")
-NEXT_AGENTS = (*AGENTS, "ninguno")
-REQUIRED = (
-    "run_id", "from", "to", "intent", "status", "artifacts", "contracts", "preconditions_met", "metrics",
-    "next_agent", "ts",
-)
-ENUMS = {"from": AGENTS, "to": AGENTS, "intent": INTENTS, "status": STATUSES, "next_agent": NEXT_AGENTS}
-MIN_RUN_ID = 8
-LISTS = ("artifacts", "preconditions_met")
-OBJECTS = ("contracts", "metrics")
-TS_PATTERN = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
-
-
-def parsed(message: str) -> Column:
-    """The message as a map of typed JSON values; NULL unless it is a JSON object."""
-    return F.try_variant_get(F.try_parse_json(F.col(message)), "$", "map<string,variant>")
+import json
+from importlib.resources import files
+from typing import Any
 
+from pyspark.sql import DataFrame, functions as F
 
-def handoff_errors(fields: str) -> Column:
-    """Array of the rules that a message breaks, from its `parsed` map; empty for a valid one."""
-    keys = F.map_keys(fields)
-
-    def has(key: str) -> Column:
-        return F.array_contains(keys, key)
-
-    def kind(key: str) -> Column:
-        return F.coalesce(F.schema_of_variant(F.col(fields)[key]), F.lit("VOID"))
-
-    def text(key: str) -> Column:
-        """The value of a JSON string; NULL for other types."""
-        return F.when(kind(key) == "STRING", F.try_variant_get(F.col(fields)[key], "$", "string"))
-
-    def wrong(key: str, good: Column) -> Column:
-        return has(key) & ~F.coalesce(good, F.lit(False))
+from tidemark.operators.json_schema import validate
+from tidemark.operators.ranking import exact_quantiles
 
-    rules = [(f"missing:{k}", ~has(k)) for k in REQUIRED]
-    rules += [(f"enum:{k}", wrong(k, text(k).isin(*allowed))) for k, allowed in ENUMS.items()]
-    rules.append(("short:run_id", wrong("run_id", F.length(text("run_id")) >= MIN_RUN_ID)))
-    for k in LISTS:
-        items = F.try_variant_get(F.col(fields)[k], "$", "array<variant>")
-        blank = F.exists(items, lambda v: F.coalesce(F.length(F.try_variant_get(v, "$", "string")), F.lit(0)) < 1)
-        rules.append((f"type:{k}", wrong(k, kind(k).rlike("^ARRAY<(STRING|VOID)>$"))))
-        rules.append((f"empty:{k}", F.coalesce(blank, F.lit(False))))
-    rules += [(f"type:{k}", wrong(k, kind(k).startswith("OBJECT<"))) for k in OBJECTS]
-    moment = F.try_to_timestamp(F.upper(text("ts")))
-    rules.append(("format:ts", wrong("ts", text("ts").rlike(TS_PATTERN) & moment.isNotNull())))
-    rules.append(("extra", F.size(F.array_except(keys, F.array(*[F.lit(k) for k in REQUIRED]))) > 0))
-    found = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]))
-    return F.when(F.col(fields).isNull(), F.array(F.lit("not_an_object"))).otherwise(found)
+HANDOFF: dict[str, Any] = json.loads((files("tidemark") / "data" / "handoff.schema.json").read_text())
+REQUIRED = tuple(HANDOFF["required"])
+AGENTS, INTENTS, STATUSES, NEXT_AGENTS = (tuple(HANDOFF["properties"][k]["enum"]) for k in ("from", "intent", "status", "next_agent"))
 
 
-def validate_handoffs(messages: DataFrame, column: str = "message") -> DataFrame:
-    """Adds `errors` and `valid`; every message is parsed once."""
-    checked = messages.withColumn("_fields", parsed(column)).withColumn("errors", handoff_errors("_fields"))
-    return checked.drop("_fields").withColumn("valid", F.size("errors") == 0)
+def validate_handoffs(messages: DataFrame, column: str = "message", schema: dict[str, Any] | None = None) -> DataFrame:
+    """Adds `errors` and `valid` by a schema, that of the handoff contract if none is given."""
+    return validate(messages, schema or HANDOFF, column)
 
 
 def run_results_summary(results: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ class Stored:
     version: int
     model: PipelineModel
     features: tuple[str, ...]
+    path: str
 
 
 def _log(spark: SparkSession, home: str, name: str, schema: str) -> DataFrame:
@@ -77,7 +78,7 @@ def load(spark: SparkSession, home: str, stage: str = PRODUCTION) -> Stored:
     row = versions(spark, home).where(F.col("stage") == stage).orderBy(F.desc("version")).first()
     if row is None:
         raise LookupError(f"no model in stage {stage!r} under {home}")
-    return Stored(row.version, PipelineModel.load(row.path), tuple(row.features.split(",")))
+    return Stored(row.version, PipelineModel.load(row.path), tuple(row.features.split(",")), row.path)
 
 
 def score(stored: Stored, frame: DataFrame) -> DataFrame:

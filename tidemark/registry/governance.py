@@ -5,9 +5,10 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.operators import churn, drift, evaluation, fairness, ranking, sketches
+from tidemark.operators import churn, drift, evaluation, explain, fairness, ranking, sketches
 from tidemark.operators.quality import quality_gate
 from tidemark.plans import jobs, models
 from tidemark.registry.core import query
@@ -298,3 +299,26 @@ def feature_importance(b):
         "feature", F.round("mean", 6).alias("mean"), F.col("importance").between(0, 1).alias("in_range"),
         (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
     )
+
+
+@query(
+    "customer_id:s rank:i known:i value_ok:i ordered:i margin_ok:i",
+    "SELECT customer_id, unnest([1, 2, 3]) AS rank, 1 AS known, 1 AS value_ok, 1 AS ordered, 1 AS margin_ok FROM customer_features",
+)
+def churn_factors(b):
+    """Three factors of every customer's score. The flags hold each row against another source: the factor's value
+    against the customer's features, the sum of all attributions against the model's own margin."""
+    stored = models.load(b.spark, model_home(b))
+    frame = settle(Planned(b).features().select("customer_id", *churn.FEATURES), "explained")
+    trees = explain.load_trees(b.spark, stored.path)
+    found = explain.churn_factors(frame, trees)
+    margins = stored.model.transform(frame).select("customer_id", vector_to_array("rawPrediction").getItem(1).alias("own"))
+    values = frame.select(F.col("customer_id").alias("_id"), F.create_map(*[x for c in churn.FEATURES for x in (F.lit(c), F.col(c).cast("double"))]).alias("of"))
+    joined = found.join(margins, "customer_id").join(values, F.col("customer_id") == F.col("_id"))
+    before = F.lag(F.abs("attribution")).over(Window.partitionBy("customer_id").orderBy("rank"))  # three rows each
+    return joined.select(
+        "customer_id", "rank", F.col("feature").isin(*churn.FEATURES).alias("known"),
+        F.col("value").eqNullSafe(F.col("of")[F.col("feature")]).alias("value_ok"),
+        F.coalesce(before >= F.abs("attribution"), F.lit(True)).alias("ordered"),
+        (F.abs(F.col("margin") - F.col("own")) < 1e-9).alias("margin_ok"),
+    )

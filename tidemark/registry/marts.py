@@ -15,7 +15,7 @@ from tidemark.plans import jobs, marts
 from tidemark.registry.core import query
 from tidemark.registry.ctes import AS_OF
 from tidemark.session import scratch_path, settle
-from tidemark.sources import adapter, tables
+from tidemark.sources import adapter, layout, tables
 from tidemark.sources.bronze import write_partitions
 from tidemark.sources.adapter import Bronze
 
@@ -325,6 +325,19 @@ def fct_orders_history(b):
     return found.join(at, "customer_sk", "left")
 
 
+@query(
+    "order_id:s product_id:s customer_id:s order_date:s line_total:d",
+    """SELECT order_id, product_id, customer_id, order_date, line_total FROM fct_orders
+       WHERE customer_id BETWEEN 'CUS-0000400' AND 'CUS-0000480'""",
+)
+def fct_orders_z_ordered(b):
+    """A range of customers, the second key, from a fact in Z-order: other files are skipped by their bounds."""
+    path, keys = scratch_path(b.spark, "z-ordered"), ["order_date", "customer_id"]
+    layout.write_z_ordered(settle(Planned(b).fct_orders(), "fact"), path, keys, files=32)
+    bounds = settle(layout.file_bounds(b.spark, path, keys), "file_bounds")
+    return layout.read_within(b.spark, path, bounds, {"customer_id": ("CUS-0000400", "CUS-0000480")})
+
+
 LOADED = f"{AS_OF} - 10"
 
 
