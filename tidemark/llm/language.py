@@ -280,19 +280,19 @@ def _identify(shared, others):
     def run(batches):
         model = Model(*shared.value)
         automaton, lengths = matcher(model.pieces), np.array([len(p) for p in model.pieces])
-        number, scores, letters = {}, np.empty((0, len(model.names))), 0
+        number, scores, sizes = {}, np.empty((0, len(model.names))), np.empty(0, np.int64)
         most = HELD_WORDS * 4 // max(len(model.names), 4)
 
         def known(counters):
             """Scores of all words so far, with those of the new ones; starts anew where the bounds are reached."""
-            nonlocal number, scores, letters
+            nonlocal number, scores, sizes
             new = [w for w in dict.fromkeys(w for c in counters for w in c) if w not in number]
-            if len(number) + len(new) > most or letters > HELD_LETTERS:
-                number, scores, letters = {}, scores[:0], 0
+            if len(number) + len(new) > most or sizes.sum() > HELD_LETTERS:
+                number, scores, sizes = {}, scores[:0], sizes[:0]
                 new = list(dict.fromkeys(w for c in counters for w in c))
             if new:
                 number.update(zip(new, range(len(number), len(number) + len(new))))
-                letters += sum(map(len, new))
+                sizes = np.concatenate([sizes, letters_of(new)])
                 parts = [word_scores(new[i : i + 20_000], automaton, lengths, model.table) for i in range(0, len(new), 20_000)]
                 scores = np.concatenate([scores, *parts])
 
@@ -313,8 +313,8 @@ def _identify(shared, others):
                     k = int(s.argmax())
                     best.append(model.names[k])
                     sure.append(float(1 / np.exp(s - s.max()).sum()))
-                    z = (per_letter(list(counter), scores[at, k]) - model.mean[k]) / model.spread[k]
-                    w = n * letters_of(list(counter))
+                    z = (scores[at, k] / sizes[at] - model.mean[k]) / model.spread[k]
+                    w = n * sizes[at]
                     fit.append(float(w @ np.maximum(z, -WORST) / w.sum() / (LOOSE + (w.sum() / LETTERS_A_WORD) ** -0.5)))
                 columns = [pa.array(best), pa.array(sure), pa.array(fit, pa.float64())]
                 yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in others], *columns], [*others, "lang_pred", "score", "fit"])

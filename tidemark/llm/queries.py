@@ -135,7 +135,28 @@ def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turned.select("conv_id", "speaker", "part", "offset", "n_turns", F.sha2("text", 256).alias("text_sha256"), spans.alias("spans"))
 
 
-@query()
+@query(
+    """
+    WITH docs AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    parts AS (SELECT k, c, substr(h, 2 * c + 1, 2398) AS part FROM (SELECT k, h, unnest(range(0, len(h) // 2 - 199, 1000)) AS c FROM docs)),
+    starts AS (
+        SELECT k, c + i AS p, md5(substr(part, 2 * i + 1, 400)) AS s
+        FROM (SELECT k, c, part, unnest(range(least(1000, len(part) // 2 - 199))) AS i FROM parts)
+    ),
+    repeated AS (SELECT s FROM starts GROUP BY s HAVING count(*) > 1),
+    hits AS (SELECT k, p, p - lag(p) OVER (PARTITION BY k ORDER BY p) > 200 AS apart FROM starts WHERE s IN (FROM repeated)),
+    numbered AS (SELECT k, p, count(*) FILTER (WHERE apart) OVER (PARTITION BY k ORDER BY p) AS run FROM hits),
+    runs AS (SELECT k, min(p) AS a, max(p) + 200 AS b FROM numbered GROUP BY k, run),
+    gaps AS (
+        SELECT k, b AS a, coalesce(lead(a) OVER (PARTITION BY k ORDER BY a), 1000000000) AS b FROM runs
+        UNION ALL SELECT k, 0, coalesce(min(a), 1000000000) FROM docs LEFT JOIN runs USING (k) GROUP BY k
+    ),
+    kept AS (SELECT k, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM gaps JOIN docs USING (k) GROUP BY k)
+    SELECT doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(sum(b - a), 0) AS BIGINT) AS n_removed,
+           count(a) AS n_spans, sha256(unhex(any_value(kept.h))) AS kept_sha256
+    FROM docs AS d JOIN kept USING (k) LEFT JOIN runs USING (k) GROUP BY k, doc_id, d.h
+    """
+)
 def op7_repeated_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = substrings.remove_repeats(read(spark, sf_dir, "documents"))
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
