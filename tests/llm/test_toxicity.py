@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import ngrams, toxicity
@@ -65,6 +66,37 @@ def test_odd_texts_and_labels(spark, texts):
     assert got[901] == got[902] < 0.5 < got[903] and len(got) == 5
 
 
+def test_ratios_are_those_of_plain_counts(monkeypatch):
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice("abcd ") for _ in range(rnd.randint(5, 60))) for _ in range(300)]
+    label = [int("abc" in t) for t in texts]
+    grams = [{t[k : k + n] for n in toxicity.ORDERS for k in range(len(t) - n + 1)} for t in texts]
+    n0, n1 = label.count(0), label.count(1)
+    want = {}
+    for g in set().union(*grams):
+        toxic, other = (sum(g in gs for gs, y in zip(grams, label) if y == k) for k in (1, 0))
+        ratio = np.log((toxic + 0.5) / (n1 + 1)) - np.log((other + 0.5) / (n0 + 1))
+        rate = (toxic + other + 0.5) / (n0 + n1 + 1)
+        z = abs(toxic / n1 - other / n0) / np.sqrt(rate * (1 - rate) * (1 / n0 + 1 / n1) + 1e-12)
+        if toxic + other > 2 and z > toxicity.SURE:
+            p, _ = ngrams.code_points([g])
+            want[int(ngrams.hashed(p, len(g), toxicity.BITS)[0])] = (ratio, z)
+    batch = pa.RecordBatch.from_pydict({"text": texts, "label": label})
+    got = {}
+    for part in toxicity._counts([batch]):
+        told = toxicity._telling((n0, n1))(pa.Table.from_batches([part])).to_pydict()
+        got.update(zip(told["bucket"], zip(told["ratio"], told["z"])))
+    assert len(want) > 3 and set(got) == set(want)  # the few n-grams of five letters share no bucket
+    assert all(np.allclose(got[b], want[b]) for b in want)
+
+
+def test_repeated_rows_do_not_swell_the_sample(spark, texts):
+    labels = texts.select("doc_id", "label")
+    once = toxicity.fit(texts, labels)
+    again = toxicity.fit(texts.unionByName(spark.range(40).crossJoin(texts.where("doc_id = 10")).drop("id")), labels)
+    assert np.allclose(once[0], again[0]) and np.isclose(once[1], again[1])
+
+
 def test_one_class_or_none(texts):
     rows = texts.select("doc_id", "text", "label")
     assert toxicity.fit(rows, rows.limit(0))[1] == 0.0

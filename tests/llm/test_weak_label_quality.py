@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -19,6 +20,51 @@ def test_estimate_finds_classes_and_rates():
     assert ((posterior[inverse.ravel()] > 0.5) == truth).mean() > 0.97
 
 
+def test_estimate_equals_plain_rounds_over_rows():
+    rnd = random.Random(6)
+    rows = [[rnd.choice([quality.GOOD, quality.GOOD, quality.BAD, quality.ABSTAIN]) for _ in range(4)] for _ in range(400)]
+    clip = lambda x, low: min(max(x, low), 1 - low)
+    logistic = lambda x: 1 / (1 + math.exp(-x))
+    usual = []
+    for j in range(4):
+        cast = [r[j] for r in rows if r[j] != quality.ABSTAIN]
+        usual.append(clip(cast.count(quality.GOOD) / len(cast), 1e-4))
+    post = [logistic(sum((-math.log(u) if v == quality.GOOD else math.log(1 - u)) for v, u in zip(r, usual) if v != quality.ABSTAIN)) for r in rows]
+    for _ in range(500):
+        share = clip(sum(post) / len(rows), 1e-3)
+        rate = [[0.0] * 4, [0.0] * 4]
+        for k in (0, 1):
+            for j in range(4):
+                own = [(p if k else 1 - p) / len(rows) for p in post]
+                good = sum(w for w, r in zip(own, rows) if r[j] == quality.GOOD)
+                cast = sum(w for w, r in zip(own, rows) if r[j] != quality.ABSTAIN)
+                rate[k][j] = (good + 1e-4) / (cast + 2e-4)
+        new = []
+        for r in rows:
+            odds = math.log(share / (1 - share))
+            for j, v in enumerate(r):
+                if v != quality.ABSTAIN:
+                    odds += math.log(rate[1][j] / rate[0][j]) if v == quality.GOOD else math.log((1 - rate[1][j]) / (1 - rate[0][j]))
+            new.append(logistic(odds))
+        moved, post = max(abs(a - b) for a, b in zip(post, new)), new
+        if moved < 1e-9:
+            break
+    patterns, inverse, counts = np.unique(np.array(rows), axis=0, return_inverse=True, return_counts=True)
+    got, got_share, got_rates = quality.estimate(patterns, counts.astype(float))
+    assert np.allclose(got[inverse.ravel()], post, atol=1e-6) and np.isclose(got_share, share, atol=1e-6)
+    assert np.allclose(got_rates, rate, atol=1e-6)
+
+
+def test_repeated_rows_do_not_swell_the_sample(spark, corpus):
+    rows = corpus.select("doc_id", "text")
+    known = quality.weak_labels(rows)
+    many = rows.unionByName(spark.range(400).crossJoin(rows.where("doc_id = 7")).drop("id"))
+    read = many.where("doc_id = 7").dropDuplicates(["doc_id", "text"]).count()
+    assert read == 1
+    once, again = quality.fit(rows, known, sample=10_000), quality.fit(many, known, sample=10_000)
+    assert np.allclose(once[0], again[0]) and np.isclose(once[1], again[1])
+
+
 def test_votes_see_each_defect():
     kinds, at = quality._kinds(), {n: i for i, n in enumerate(quality.LABELLERS)}
     prose = " ".join(f"Word{chr(97 + i)} walks the {chr(97 + i)}ong road, it seems." for i in range(20)).replace("W", "w")

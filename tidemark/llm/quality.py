@@ -182,11 +182,13 @@ def _train_rows(known: dict[str, float]):
 def fit(documents: DataFrame, known: dict[str, float], sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """(weight of each bucket, bias) of a scorer trained to the posteriors of about `sample` documents.
 
-    They are chosen by a hash of id and text; only their n-gram rates come to the driver. An empty
-    table gives weights and bias 0.
+    They are chosen by a hash of id and text, and rows that repeat both are one, so however often a row
+    occurs, the sample keeps its bound; only its n-gram rates come to the driver. An empty table gives
+    weights and bias 0.
     """
     n = documents.count()
     chosen = documents.where(uniform(F.lit(11), "doc_id", "text") < F.lit(min(1.0, sample / max(n, 1))))
+    chosen = chosen.dropDuplicates(["doc_id", "text"])
     rows = chosen.mapInArrow(_train_rows(known), "doc_id long, posterior double, buckets binary, rates binary").toPandas()
     rows = rows.sort_values(["doc_id", "posterior", "buckets"])
     if rows.empty:

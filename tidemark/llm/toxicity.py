@@ -85,9 +85,10 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, features:
         n1, n = sizes.get(1, 0), sum(sizes.values())
         return weights, float(np.log((n1 + 1) / (n - n1 + 1)))
     share = F.when(F.col("label") == 1, min(1.0, sample / sizes[1])).otherwise(min(1.0, sample / sizes[0]))
-    few = labels.where(uniform(F.lit(8), "doc_id") < share)
+    # An id or a row that is repeated counts once, so the sample keeps its bound.
+    few = labels.where(uniform(F.lit(8), "doc_id") < share).distinct()
     chosen = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(few), "doc_id")
-    chosen = settle(chosen, "toxicity_sample")
+    chosen = settle(chosen.dropDuplicates(["doc_id", "text", "label"]), "toxicity_sample")
     read = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
     if len(read) < 2:
         return weights, float(np.log((sizes[1] + 1) / (sizes[0] + 1)))
