@@ -19,5 +19,5 @@ def test_matches_sql(spark, key):
 
 def test_each_operator_has_a_query_and_the_pipeline_is_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14))
     assert "pipeline" in names
