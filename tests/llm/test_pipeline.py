@@ -133,11 +133,10 @@ NAMES = (
 ).split()
 
 
-@pytest.mark.parametrize("spelled", [str.lower, str.upper])
-def test_rows_survive_columns_with_any_name(spark, spelled):
-    """Columns named as the operators name theirs, in either case, and a map: values stay with their rows."""
+def test_rows_survive_columns_with_any_name(spark):
+    """Columns named as the operators name theirs, every other one in capitals, and a map: values stay with their rows."""
     rows, _ = documents()
-    names = [spelled(n) for n in NAMES]
+    names = [n.upper() if i % 2 else n for i, n in enumerate(NAMES)]
     docs = spark.createDataFrame(rows, KINDS).repartition(4)
     docs = docs.select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names])
     docs = docs.withColumn("bag", F.create_map(F.lit("d"), F.col("doc_id"))).cache()
