@@ -151,3 +151,18 @@ def test_words_are_scored_the_same_when_the_cache_starts_anew(corpus, monkeypatc
     want = key(language.identify(texts, model).collect())
     monkeypatch.setattr(language, "HELD_WORDS", 10)
     assert key(language.identify(texts, model).collect()) == want
+
+
+def test_short_words_need_no_list_of_matches(monkeypatch):
+    table = np.vstack([np.random.default_rng(4).dirichlet(np.ones(len(PIECES)), 3).T, np.full((1, 3), language.UNSEEN)])
+    words = ["abba", "c", "é", "𝒳ab", "cabbabac" * 3, "xa"]
+    monkeypatch.setattr(language, "Lattice", None)  # made and sorted for every word, it took most of the time
+    got = language.word_scores(words, language.matcher(PIECES), np.array([len(p) for p in PIECES]), table)
+    assert np.allclose(got, [[brute_log(w, table[:, k]) for k in range(3)] for w in words])
+
+
+def test_letters_used_seldom_are_followed_too(monkeypatch):
+    monkeypatch.setattr(language, "USUAL", 2)
+    trie, text = language.matcher(PIECES), language.START + "abcab" + language.START + "xcba"
+    found = sorted(zip(*(x.tolist() for x in trie.matches(trie.codes(text)))))
+    assert found == sorted((at, at + len(p) - 1, i) for at in range(len(text)) for i, p in enumerate(PIECES) if text.startswith(p, at))

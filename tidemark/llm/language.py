@@ -16,8 +16,8 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import chain, filterfalse
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,6 +32,7 @@ UNSEEN = 1e-8  # probability of a letter outside the vocabulary, and least proba
 HELD_WORDS = 150_000  # words whose scores a task keeps, in four languages; fewer in more
 HELD_LETTERS = 2_400_000  # and the letters of these words, about
 CELLS = 80_000  # words times languages of a pass
+USUAL = 64  # letters of a node's row, from the most used; the steps by others are looked up
 SAMPLE = 1500  # labelled documents of a language that the fit reads, about
 ROUNDS = 4
 LOOSE = 0.35  # spreads of a word by which texts may differ in kind
@@ -58,18 +59,65 @@ def words_of(text: str) -> list[str]:
     return LETTERS.findall(text.lower())
 
 
-def matcher(pieces: list[str]):
-    automaton = ahocorasick.Automaton()
-    for i, piece in enumerate(pieces):
-        automaton.add_word(piece, i)
-    automaton.make_automaton()
-    return automaton
+class Trie:
+    """Beginnings of pieces as numbered nodes, stepped through for many places at once: 0 begins no piece, 1 is the empty one."""
+
+    def __init__(self, pieces: list[str]):
+        nodes, ends = {}, []
+        for piece in pieces:
+            at = 1
+            for letter in piece:
+                at = nodes.setdefault((at, letter), len(nodes) + 2)
+            ends.append(at)
+        self.piece = np.full(len(nodes) + 2, -1)  # -1: a beginning that is no piece
+        self.piece[ends] = np.arange(len(pieces))
+        often = Counter(chain.from_iterable(pieces)).most_common()
+        self.code = np.zeros(0x110000, np.int32)  # letters by falling use, from 1; 0: in no piece
+        self.code[[ord(letter) for letter, _ in often]] = np.arange(1, len(often) + 1)
+        self.width = len(often) + 1
+        above, code = np.array([at for at, _ in nodes], np.int64), self.code[[ord(letter) for _, letter in nodes]]
+        below, usual = np.arange(2, len(nodes) + 2), code < USUAL
+        # One row a node for the letters used most, a sorted list for the many others.
+        self.steps = np.zeros((len(nodes) + 2, USUAL + 1), np.int32)
+        self.steps[above[usual], code[usual]] = below[usual]
+        keys = above[~usual] * self.width + code[~usual]
+        order = np.argsort(keys)
+        self.keys, self.below = np.append(keys[order], -1), np.append(below[~usual][order], 0)
+
+    def codes(self, text: str) -> np.ndarray:
+        return self.code[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+
+    def step(self, node: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Node after one more letter, for each node and letter."""
+        found = self.steps[node, np.minimum(code, USUAL)]
+        rare = np.flatnonzero(code >= USUAL)
+        if len(rare):
+            key = node[rare] * np.int64(self.width) + code[rare]
+            at = np.searchsorted(self.keys[:-1], key)
+            found[rare] = np.where(self.keys[at] == key, self.below[at], 0)
+        return found
+
+    def matches(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First place, last place and piece of every match."""
+        begin, node, found = np.arange(len(codes)), np.ones(len(codes), np.int64), []
+        codes, ahead = np.append(codes, 0), 0
+        while len(begin):
+            node = self.step(node, codes[np.minimum(begin + ahead, len(codes) - 1)])
+            begin, node = begin[node > 0], node[node > 0]
+            whole = self.piece[node] >= 0
+            found.append((begin[whole], begin[whole] + ahead, self.piece[node[whole]]))
+            ahead += 1
+        return tuple(np.concatenate(column) for column in zip(*found))
+
+
+def matcher(pieces: list[str]) -> Trie:
+    return Trie(pieces)
 
 
 class Lattice:
     """All pieces within a list of words, ordered for passes over the places in a word."""
 
-    def __init__(self, words: list[str], automaton, lengths: np.ndarray):
+    def __init__(self, words: list[str], trie: Trie, lengths: np.ndarray):
         joined = "".join(START + w for w in words)
         n = self.n = len(joined)
         sizes = np.array([len(w) + 1 for w in words])
@@ -78,9 +126,7 @@ class Lattice:
         inside = np.arange(n) - np.repeat(first, sizes)  # place in the word
         self.word = np.repeat(np.arange(len(words)), sizes)
         # A piece that holds nothing but the start mark matches too; pieces never cross words.
-        found = np.array(list(automaton.iter(joined)), np.int64).reshape(-1, 2)
-        end, piece = found[:, 0], found[:, 1]
-        begin = end - lengths[piece] + 1
+        begin, end, piece = trie.matches(trie.codes(joined))
         # Any one letter, from a constant: piece number -1.
         end, piece, begin = (np.concatenate([x, y]) for x, y in ((end, np.arange(n)), (piece, np.full(n, -1)), (begin, np.arange(n))))
         order = np.lexsort((end, inside[end]))
@@ -126,7 +172,40 @@ class Lattice:
         return state
 
 
-def word_scores(words: list[str], automaton, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
+def forward_words(words: list[str], trie: Trie, table: np.ndarray) -> np.ndarray:
+    """Probability of each word in each language, for words whose products stay within doubles.
+
+    The pieces that begin at a place are followed letter by letter for all words at once, each found
+    piece adds to the state after its last letter; no list of matches is made or sorted.
+    """
+    sizes = np.array([len(w) + 1 for w in words])
+    order = np.argsort(-sizes, kind="stable")  # the words that reach a place come first
+    sizes = sizes[order]
+    places, word = sizes[0], np.repeat(np.arange(len(words)), sizes)
+    codes = np.zeros((places, len(words)), np.int32)  # 0 behind a word's end
+    codes[np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes), word] = trie.codes("".join([START + words[i] for i in order]))
+    state = np.zeros((places + 1, len(words), table.shape[1]))
+    state[0] = 1
+    for first in range(places):
+        reach = np.searchsorted(-sizes, -first)  # words of more than `first` places
+        at, node = np.arange(reach), np.ones(reach, np.int64)
+        state[first + 1, :reach] += state[first, :reach] * table[-1]
+        for last in range(first, places):
+            node = trie.step(node, codes[last, at])
+            on = np.flatnonzero(node)
+            if not len(on):
+                break
+            at, node = at[on], node[on]
+            piece = trie.piece[node]
+            whole = np.flatnonzero(piece >= 0)
+            mine = at[whole]
+            state[last + 1, mine] += state[first, mine] * table[piece[whole]]
+    out = np.empty(state.shape[1:])
+    out[order] = state[sizes, np.arange(len(words))]
+    return out
+
+
+def word_scores(words: list[str], trie: Trie, lengths: np.ndarray, table: np.ndarray) -> np.ndarray:
     """Log-probability of each word in each language; `table` is (pieces + 1, languages), the last row UNSEEN."""
     out, sizes = np.empty((len(words), table.shape[1])), np.array([len(w) for w in words], np.int64)
     # Runs of like length go together, so that short words do not wait for the steps of a long one.
@@ -138,13 +217,15 @@ def word_scores(words: list[str], automaton, lengths: np.ndarray, table: np.ndar
             if lo == hi:
                 continue
             part = some[lo:hi]
-            lattice = Lattice([words[i] for i in part], automaton, lengths)
-            long = int(sizes[part].max()) > RUN
-            columns = max(1, 16_000_000 // (lattice.n + 1)) if long else max(1, table.shape[1])
+            mine = [words[i] for i in part]
+            if int(sizes[part].max()) <= RUN:
+                out[part] = np.log(forward_words(mine, trie, table))
+                continue
+            lattice = Lattice(mine, trie, lengths)
+            columns = max(1, 16_000_000 // (lattice.n + 1))
             for at in range(0, table.shape[1], columns):
                 p = table[lattice.piece, at : at + columns]
-                told = lattice.forward_log(np.log(p)) if long else np.log(lattice.forward(p))
-                out[part, at : at + columns] = told[lattice.last]
+                out[part, at : at + columns] = lattice.forward_log(np.log(p))[lattice.last]
     return out
 
 
@@ -163,7 +244,7 @@ def _expect(pieces, names, shared):
     """Expected uses of each piece in each language, summed over a partition of (lang, word, n) rows."""
 
     def run(batches):
-        automaton, lengths = matcher(pieces), np.array([len(p) for p in pieces])
+        trie, lengths = matcher(pieces), np.array([len(p) for p in pieces])
         table, number = shared.value, {name: i for i, name in enumerate(names)}
         total = np.zeros(table.shape)
         for whole in batches:
@@ -174,7 +255,7 @@ def _expect(pieces, names, shared):
                 for some in [short, *[long[i : i + 1] for i in range(len(long))]]:
                     if not len(some):
                         continue
-                    lattice = Lattice([words[i] for i in some], automaton, lengths)
+                    lattice = Lattice([words[i] for i in some], trie, lengths)
                     at = lattice.word[lattice.end]
                     own = lang[some][at]
                     p = table[lattice.piece, own]
@@ -196,7 +277,7 @@ def _fitness(pieces, names, shared):
     """Sums over a partition of (lang, word, n) rows, by language: letters, and their words' log-probability a letter and its square."""
 
     def run(batches):
-        automaton, lengths = matcher(pieces), np.array([len(p) for p in pieces])
+        trie, lengths = matcher(pieces), np.array([len(p) for p in pieces])
         table, number = shared.value, {name: i for i, name in enumerate(names)}
         for whole in batches:
             for batch in slices(whole, 20_000):
@@ -204,7 +285,7 @@ def _fitness(pieces, names, shared):
                 lang = np.array([number.get(x, -1) for x in batch.column("lang").to_pylist()])
                 for k in np.unique(lang[lang >= 0]):
                     mine = np.flatnonzero(lang == k)
-                    x = per_letter(words[mine], word_scores(list(words[mine]), automaton, lengths, table[:, [k]])[:, 0])
+                    x = per_letter(words[mine], word_scores(list(words[mine]), trie, lengths, table[:, [k]])[:, 0])
                     w = n[mine] * letters_of(words[mine])
                     yield pa.RecordBatch.from_pydict({"lang": pa.array([k], pa.int32()), "letters": [int(w.sum())], "x": [float(w @ x)], "xx": [float(w @ (x * x))]})
 
@@ -279,25 +360,25 @@ def fit(labelled: DataFrame, pieces: list[str], sample: int = SAMPLE, rounds: in
 def _identify(shared, others):
     def run(batches):
         model = Model(*shared.value)
-        automaton, lengths = matcher(model.pieces), np.array([len(p) for p in model.pieces])
+        trie, lengths = matcher(model.pieces), np.array([len(p) for p in model.pieces])
         number, scores, sizes = {}, np.empty((0, len(model.names))), np.empty(0, np.int64)
         most = HELD_WORDS * 4 // max(len(model.names), 4)
 
         def known(counters):
             """Scores of all words so far, with those of the new ones; starts anew where the bounds are reached."""
             nonlocal number, scores, sizes
-            new = [w for w in dict.fromkeys(w for c in counters for w in c) if w not in number]
+            new = list(dict.fromkeys(filterfalse(number.__contains__, chain.from_iterable(counters))))
             if len(number) + len(new) > most or sizes.sum() > HELD_LETTERS:
                 number, scores, sizes = {}, scores[:0], sizes[:0]
-                new = list(dict.fromkeys(w for c in counters for w in c))
+                new = list(dict.fromkeys(chain.from_iterable(counters)))
             if new:
                 number.update(zip(new, range(len(number), len(number) + len(new))))
                 sizes = np.concatenate([sizes, letters_of(new)])
-                parts = [word_scores(new[i : i + 20_000], automaton, lengths, model.table) for i in range(0, len(new), 20_000)]
+                parts = [word_scores(new[i : i + 20_000], trie, lengths, model.table) for i in range(0, len(new), 20_000)]
                 scores = np.concatenate([scores, *parts])
 
         for whole in batches:
-            for batch in slices(whole, 64):
+            for batch in slices(whole, 256):
                 counters = [Counter(words_of(t)) if t else Counter() for t in batch.column("text").to_pylist()]
                 known(counters)
                 best, sure, fit = [], [], []
