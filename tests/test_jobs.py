@@ -147,3 +147,25 @@ def test_ingest_is_repeatable_and_audited(spark, tmp_path, rows):
     assert len(bronze_rows()) == 3 and len(audit()) == 2
     jobs.ingest(source(spark, (1, "a", noon)), "things", lake, "r1", day, noon, eve)
     assert bronze_rows() == [(4, "d", date(2024, 1, 3))]  # an empty window empties its day only
+
+
+def test_a_refresh_computes_its_batch_once(spark, tmp_path, rows, monkeypatch):
+    """The upsert reads a later batch several times; it gets a settled one, which is deleted afterwards."""
+    given, real, path = [], jobs.tables.upsert, str(tmp_path / "once")
+
+    def seen(batch, *rest, **more):
+        given.append(batch.inputFiles())
+        real(batch, *rest, **more)
+
+    monkeypatch.setattr(jobs.tables, "upsert", seen)
+    days = [date(2024, 1, 30), date(2024, 1, 31), date(2024, 2, 1), None]
+    table = [(i % 40 or None, f"v{i}", days[i % 4]) for i in range(80)]
+
+    def build(since):
+        df = spark.createDataFrame(table, "k int, v string, day date").withColumn("month", F.date_format("day", "yyyy-MM"))
+        return df if since is None else df.where(F.col("day") >= F.lit(since))
+
+    steps = [jobs.refresh_fact(spark, path, build, ["k"], "month", "day", rounds=2) for _ in range(2)]
+    assert steps == [None, date(2024, 2, 1)]
+    assert not given[0] and given[1] and not any(Files(spark, f).exists(f) for f in given[1])
+    assert rows(spark.read.parquet(path), "k", "v", "day", "month") == rows(build(None), "k", "v", "day", "month")

@@ -1,3 +1,4 @@
+import time
 from datetime import date
 from functools import partial
 
@@ -5,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.merge import delete_insert, merge_latest
+from tidemark.session import LEAN, settings
 from tidemark.sources import tables
 from tidemark.sources.files import Files
 
@@ -157,3 +159,45 @@ def test_append_and_high_water(spark, tmp_path):
         tables.append(frame(spark, [(n, "a", "x")]), path)
     assert tables.high_water(spark.read.parquet(path), "k") == 2
     assert tables.high_water(spark.read.parquet(path).where("k > 5"), "k") is None
+
+
+def test_a_first_load_looks_nothing_up_in_the_empty_table(spark, tmp_path, rows, monkeypatch):
+    plans, real = [], tables.replace_partitions
+
+    def seen(df, *rest):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        real(df, *rest)
+
+    monkeypatch.setattr(tables, "replace_partitions", seen)
+    batch, path = frame(spark, [(1, "a", "x"), (1, "a", "x"), (None, "b", None)]), str(tmp_path / "first")
+    tables.upsert(batch, path, ["k"], "p", MERGE)
+    assert "Join" not in plans[0]
+    assert read(spark, path, rows) == rows(batch)
+
+
+@pytest.mark.parametrize("rounds", [2, 3, 50])
+def test_rounds_write_every_partition_once(spark, tmp_path, rows, rounds):
+    table = [(i, None if i % 9 == 0 else f"v{i}", None if i % 7 == 0 else f"p{i % 5}") for i in range(200)] * 2 + [(None, None, None)]
+    path, batch = str(tmp_path / "rounds"), frame(spark, table).repartition(4)
+    tables.upsert(batch, path, ["k"], "p", MERGE, rounds=rounds)
+    assert read(spark, path, rows) == rows(batch)
+    assert stamps(path, "p=p1") and Files(spark, path).names(path) == ["_staged", f"p={tables.NULL_PARTITION}", *(f"p=p{i}" for i in range(5))]
+    none = str(tmp_path / "none")
+    tables.upsert(batch.limit(0), none, ["k"], "p", MERGE, rounds=rounds)
+    assert Files(spark, none).names(none) == ["_staged"]
+
+
+def test_rounds_shuffle_a_part_of_the_rows_at_once(spark, tmp_path):
+    """A round shuffles its own partitions, and its files go when it ends."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    path, before = str(tmp_path / "part"), manager.getAllFiles().mkString(" ").count("shuffle_")
+    batch = spark.range(400_000).select(F.xxhash64("id").alias("k"), F.md5(F.col("id").cast("string")).alias("v"), (F.col("id") % 8).alias("p"))
+    assert [part.count() for part in tables._rounds(batch, "p", 4)] == [100_000] * 4
+    with settings(spark, LEAN):
+        tables.upsert(batch, path, ["k"], "p", MERGE, rounds=8)
+    left = lambda: manager.getAllFiles().mkString(" ").count("shuffle_")
+    until = time.time() + 20
+    while left() > before and time.time() < until:
+        time.sleep(0.2)  # files are removed in the background
+    assert left() <= before
+    assert spark.read.parquet(path).count() == 400_000

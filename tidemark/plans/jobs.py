@@ -158,17 +158,22 @@ def refresh_fact(
     partition: str,
     business_day: str,
     moving: bool = True,
+    rounds: int = 1,
 ) -> date | None:
     """Incremental delete+insert of a fact stored at `path`; returns the day it restarted from.
 
     `build(since)` gives the rows from the last loaded business day on (everything on the first
     load). That day is a literal, so it prunes the source. Changes to older rows are not seen: build
-    by arrival date to catch them. `moving=False` states that a key never changes its partition.
+    by arrival date to catch them. `moving=False` states that a key never changes its partition. The
+    first load is written in `rounds`; a later batch, which the upsert reads several times, is settled.
     """
     tables.finish_publish(spark, path)
     loaded = any(n.startswith(f"{partition}=") for n in Files(spark, path).names(path))
     since = tables.high_water(spark.read.parquet(path), business_day) if loaded else None
-    tables.upsert(build(since), path, keys, partition, partial(merge.delete_insert, keys=keys), moving)
+    batch = build(since)
+    with scratch_scope(spark):
+        batch = settle(batch, "batch") if loaded else batch
+        tables.upsert(batch, path, keys, partition, partial(merge.delete_insert, keys=keys), moving, rounds=rounds)
     return since
 
 

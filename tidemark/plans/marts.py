@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 from importlib.resources import files
 
@@ -216,15 +217,20 @@ def fct_orders(
     calendar: DataFrame,
     since: date | None = None,
     by: str = "order_date",
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Order-line fact.
 
     `since` keeps lines whose `by` column reaches it: `order_date` re-reads from the last loaded
     business day, `ingested_dt` also picks up late changes to older orders. The filter is on the
-    order side, so it is pushed into the scan.
+    order side, so it is pushed into the scan. `keep` stores the lines before products are joined to
+    them (e.g. `settle`), for a fact that is written in rounds.
     """
     if since is not None:
         orders = orders.where(F.col(by) >= F.lit(since))
+    sales = sales_lines(orders, lines, calendar)
+    if keep is not None:
+        sales = keep(sales)
     p = products.select(
         "product_id", "category", "brand", "cost_amount", "seller_id",
         surrogate("product_id").alias("product_sk"),
@@ -233,7 +239,7 @@ def fct_orders(
     margin = F.col("line_total") - F.col("quantity") * F.col("cost_amount")
     margin_cents = cents("line_total") - F.col("quantity") * cents("cost_amount")
     rate = F.when(F.col("line_total") > 0, ratio4(margin_cents, cents("line_total"))).otherwise(F.lit(0.0))
-    return sales_lines(orders, lines, calendar).join(p, "product_id", "left").select(
+    return sales.join(p, "product_id", "left").select(
         "order_id", "product_id", "customer_id", "date_key", "order_date", "ordered_at", "status", "channel",
         "seller_id", "product_sk", "category", "brand", "quantity", "unit_price", "discount_pct", "line_total",
         "total_amount",

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.registry.ctes import CTES
+from tidemark.session import settings
 from tidemark.sources.adapter import Bronze
 
 SPARK_KIND = {"s": "string", "i": "bigint", "d": "double"}
@@ -25,18 +25,6 @@ SQL_KIND = {"s": "VARCHAR", "i": "BIGINT", "d": "DOUBLE"}
 PLANNING = {"spark.sql.session.timeZone": "UTC", "spark.sql.adaptive.forceOptimizeSkewedJoin": "true"}
 
 
-@contextmanager
-def settings(spark: SparkSession, values: dict[str, str]):
-    before = {key: spark.conf.get(key, None) for key in values}
-    try:
-        for key, value in values.items():
-            spark.conf.set(key, value)
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
 @dataclass(frozen=True)
 class Query:
     key: str

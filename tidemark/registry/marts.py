@@ -14,12 +14,13 @@ from tidemark.operators.staging import STAGING
 from tidemark.plans import jobs, marts
 from tidemark.registry.core import query
 from tidemark.registry.ctes import AS_OF
-from tidemark.session import scratch_path, settle
+from tidemark.session import LEAN, scratch_path, scratch_scope, settings, settle
 from tidemark.sources import adapter, layout, tables
 from tidemark.sources.bronze import write_partitions
 from tidemark.sources.adapter import Bronze
 
 CAL_START = date(1995, 1, 1)
+ROUNDS = 8  # a stored fact is written in so many parts, so that shuffles of a part of it are on disk at once
 
 
 class Planned:
@@ -42,9 +43,9 @@ class Planned:
     def sales(self, **bounds) -> DataFrame:
         return marts.sales_lines(self.stg("orders", **bounds), self.stg("order_items"), self.calendar)
 
-    def fct_orders(self, since: date | None = None, **bounds) -> DataFrame:
+    def fct_orders(self, since: date | None = None, keep=None, **bounds) -> DataFrame:
         return marts.fct_orders(
-            self.stg("orders", **bounds), self.stg("order_items"), self.stg("products"), self.calendar, since
+            self.stg("orders", **bounds), self.stg("order_items"), self.stg("products"), self.calendar, since, keep=keep
         )
 
     def fct_payments(self, since: date | None = None) -> DataFrame:
@@ -360,15 +361,20 @@ def fct_orders_incremental(b):
     return merge.delete_insert(loaded, p.fct_orders(since=since, first=since), ["order_id"])
 
 
-def refreshed(b: Bronze, name: str, build, keys: list[str], day: str) -> DataFrame:
-    """A fact stored by month: loaded up to ten days ago, then refreshed from its own last business day."""
+def refreshed(b: Bronze, name: str, build, keys: list[str], day: str, rounds: int = 1) -> DataFrame:
+    """A fact stored by month: loaded up to ten days ago, in `rounds`, then refreshed from its own last business day.
+
+    What `build` settles is deleted after each of the two.
+    """
     path, cutoff = scratch_path(b.spark, name), b.as_of - timedelta(days=10)
 
     def monthly(until):
         return lambda since: build(since).where(F.col(day) <= F.lit(until)).withColumn("month", F.date_format(day, "yyyy-MM"))
 
-    jobs.refresh_fact(b.spark, path, monthly(cutoff), keys, "month", day)
-    jobs.refresh_fact(b.spark, path, monthly(b.as_of), keys, "month", day, moving=False)
+    with scratch_scope(b.spark):
+        jobs.refresh_fact(b.spark, path, monthly(cutoff), keys, "month", day, rounds=rounds)
+    with scratch_scope(b.spark):
+        jobs.refresh_fact(b.spark, path, monthly(b.as_of), keys, "month", day, moving=False, rounds=rounds)
     return b.spark.read.parquet(path)
 
 
@@ -378,7 +384,14 @@ def refreshed(b: Bronze, name: str, build, keys: list[str], day: str) -> DataFra
         FROM fct_orders WHERE order_date <= {AS_OF}""",
 )
 def fct_orders_stored_refresh(b):
-    return refreshed(b, "fact-orders", Planned(b).fct_orders, ["order_id"], "order_date")
+    """The order-line fact; its rounds read the joined lines from a settled table."""
+    p = Planned(b)
+
+    def build(since):
+        return p.fct_orders(since, keep=None if since else lambda sales: settle(sales, "sales"))
+
+    with settings(b.spark, LEAN):
+        return refreshed(b, "fact-orders", build, ["order_id"], "order_date", ROUNDS)
 
 
 @query(

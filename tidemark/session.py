@@ -54,6 +54,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/tidemark/{app}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Shuffle files go when the job that made them ends, not when the driver collects its garbage.
+LEAN = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.parquet.compression.codec": "zstd"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Sets `values` and puts the settings before them back at the end."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 _SCOPES: list[list[str]] = []
 
 
@@ -67,7 +84,7 @@ def scratch_scope(spark: SparkSession):
     try:
         yield
     finally:
-        _SCOPES.remove(made)
+        _SCOPES[:] = [scope for scope in _SCOPES if scope is not made]  # an outer one may be equal
         for path in made:
             Files(spark, path).delete(path)
 

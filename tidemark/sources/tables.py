@@ -99,17 +99,33 @@ def _partitions(fs: Files, path: str, partition: str) -> set[str]:
     return {n for n in fs.names(path) if n.startswith(f"{partition}=")}
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str, touched: DataFrame) -> None:
+def _rounds(df: DataFrame, partition: str, rounds: int) -> list[DataFrame]:
+    """The rows of `df` in up to `rounds` parts of about as many partitions each, none of them in two parts."""
+    found = sorted((r[0] for r in df.select(partition).distinct().collect()), key=lambda v: (v is not None, v))  # at most one per folder
+    n = min(rounds, len(found))
+    if n < 2:
+        return [df]
+    groups = [found[len(found) * i // n : len(found) * (i + 1) // n] for i in range(n)]
+    named = [F.col(partition).isin([v for v in group if v is not None]) for group in groups]
+    if found[0] is None:
+        named[0] = F.col(partition).isNull() | named[0]
+    return [df.where(c) for c in named]
+
+
+def replace_partitions(df: DataFrame, path: str, partition: str, touched: DataFrame, rounds: int = 1) -> None:
     """Replaces the `touched` partitions (one column of that name) of the table at `path` by the rows of `df`.
 
     Data is complete in the staging folder before the markers that allow the swap appear. Touched
-    partitions are written as folders by the cluster, so their names come from a listing.
+    partitions are written as folders by the cluster, so their names come from a listing. With
+    `rounds`, so many groups of partitions are written one after another: `df` is computed for each,
+    and has to give the same rows every time, but only a group's rows are shuffled at once.
     """
     spark = df.sparkSession
     fs = Files(spark, path)
     run = f"{path}/{STAGED}/{uuid.uuid4().hex}"
     touched.select(partition, F.lit(1).alias("touched")).write.partitionBy(partition).parquet(f"{run}/touched")
-    df.hint("rebalance", F.col(partition)).write.partitionBy(partition).parquet(f"{run}/data")
+    for part in _rounds(df, partition, rounds) if rounds > 1 else [df]:
+        part.hint("rebalance", F.col(partition)).write.mode("append").partitionBy(partition).parquet(f"{run}/data")
     fresh = _partitions(fs, f"{run}/data", partition)
     for name in sorted(fresh):
         fs.make(f"{run}/kept/{name}")
@@ -129,6 +145,7 @@ def upsert(
     merge: Callable[[DataFrame, DataFrame], DataFrame],
     moving: bool = True,
     indexed: bool = False,
+    rounds: int = 1,
 ) -> None:
     """Merges `batch` into the partitioned table at `path`, rewriting only the partitions it touches.
 
@@ -137,16 +154,18 @@ def upsert(
     cannot (`moving=False`) the partitions are those of the batch, and the scan of the target is
     pruned to them. With `indexed`, Bloom filters kept with the table name the partitions that the
     batch's keys may be in, and only these are scanned for them; every writer of the table then has to
-    say so. The partition column is text, a date or a whole number.
+    say so. The partition column is text, a date or a whole number. The first load is written in
+    `rounds`, see `replace_partitions`.
     """
     spark = batch.sparkSession
     fs = Files(spark, path)
     finish_publish(spark, path)
     touched = batch.select(partition)
     if not _partitions(fs, path, partition):
-        empty = spark.createDataFrame([], batch.schema)
+        nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in batch.schema]
+        empty = spark.range(1).select(*nothing).limit(0)  # known as empty when planned: no key of the batch is looked up in it
         first = merge(empty, batch)
-        replace_partitions(first, path, partition, touched.limit(0))
+        replace_partitions(first, path, partition, touched.limit(0), rounds)
         if indexed:
             key_index.refresh(spark, path, batch.schema, keys, partition, None, replace_partitions)
         return
