@@ -53,3 +53,26 @@ def test_a_scope_deletes_what_was_settled_inside(spark):
         files = Files(spark, path)
         assert files.exists(path)
     assert not files.exists(path) and outer.count() == 3
+
+
+def test_settle_in_rounds_writes_every_row_once(spark, rows):
+    df = spark.createDataFrame([(i % 30 if i % 11 else None, f"v{i % 50}") for i in range(300)], "k int, v string").repartition(3)
+    several = session.settle(df, "several", "k", 4)
+    assert rows(several) == rows(df) and several.schema == df.schema
+    assert rows(session.settle(df.limit(0), "none", "k", 4)) == []
+
+
+def test_a_nested_empty_scope_leaves_the_outer_one(spark):
+    with session.scratch_scope(spark):
+        with session.scratch_scope(spark):
+            pass
+        path = session.settle(spark.range(5), "after").inputFiles()[0].rsplit("/", 1)[0]
+        assert Files(spark, path).exists(path)
+    assert not Files(spark, path).exists(path)
+
+
+def test_settings_are_put_back(spark):
+    before = {k: spark.conf.get(k, None) for k in session.LEAN}
+    with session.settings(spark, session.LEAN):
+        assert {k: spark.conf.get(k) for k in session.LEAN} == session.LEAN
+    assert {k: spark.conf.get(k, None) for k in session.LEAN} == before

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
 from datetime import date, timedelta
 from functools import cached_property, reduce
 
@@ -334,8 +335,15 @@ def fct_orders_history(b):
 def fct_orders_z_ordered(b):
     """A range of customers, the second key, from a fact in Z-order: other files are skipped by their bounds."""
     path, keys = scratch_path(b.spark, "z-ordered"), ["order_date", "customer_id"]
-    layout.write_z_ordered(settle(Planned(b).fct_orders(), "fact"), path, keys, files=32)
-    bounds = settle(layout.file_bounds(b.spark, path, keys), "file_bounds")
+    with settings(b.spark, LEAN):
+        with ExitStack() as lines, ExitStack() as facts:  # each is deleted when it was read for the last time
+            lines.enter_context(scratch_scope(b.spark))
+            planned = Planned(b).fct_orders(keep=lambda sales: settle(sales, "sales"))
+            facts.enter_context(scratch_scope(b.spark))
+            fact = settle(planned, "fact", "order_id", ROUNDS // 2)
+            lines.close()
+            layout.write_z_ordered(fact, path, keys, files=32, rounds=ROUNDS, read=facts.close)
+        bounds = settle(layout.file_bounds(b.spark, path, keys), "file_bounds")
     return layout.read_within(b.spark, path, bounds, {"customer_id": ("CUS-0000400", "CUS-0000480")})
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # AQE sizes shuffle partitions from real bytes, splits skewed join sides and rebalanced write
 # partitions, and swaps in a broadcast only after it has measured the side. The broadcast threshold
@@ -89,16 +89,20 @@ def scratch_scope(spark: SparkSession):
             Files(spark, path).delete(path)
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, by: str | None = None, rounds: int = 1) -> DataFrame:
     """Writes `df` to the shared folder and returns the written table. Runs a job.
 
     For a frame that is read several times: the work behind it runs once, a lost executor costs a
-    re-read instead of a recomputation, and later plans know its size.
+    re-read instead of a recomputation, and later plans know its size. With `rounds`, the rows are
+    written one share of the values of column `by` after another: `df` is computed for each, and has
+    to give the same rows every time, but only a share of them is shuffled at once.
     """
     path = scratch_path(df.sparkSession, name)
     if _SCOPES:
         _SCOPES[-1].append(path)
-    df.write.parquet(path)
+    for i in range(rounds):
+        part = df.where(F.pmod(F.xxhash64(by), F.lit(rounds)) == i) if rounds > 1 else df
+        part.write.mode("append" if i else "error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

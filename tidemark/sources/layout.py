@@ -7,11 +7,14 @@ of that number, so that every file spans a small range of each key.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.session import scratch_path
+from tidemark.sources.files import Files
+
 BITS = 6  # 64 ranges of each key
 
 
@@ -44,17 +47,62 @@ def z_number(numbers: Sequence[Column], bits: int = BITS) -> Column:
     return total
 
 
-def write_z_ordered(df: DataFrame, path: str, keys: Sequence[str], files: int | None = None, bits: int = BITS) -> None:
+def _shares(numbered: DataFrame, files: int, rounds: int) -> dict[int, int]:
+    """Least Z-number of each round and how many of `files` it gets, for rounds of about as many rows; one pass."""
+    ends = [i / files for i in range(1, files)]
+    cuts = [0, *(numbered.agg(F.percentile_approx("_z", ends, 100 * files)).first()[0] or [])] if ends else [0]
+    shares: dict[int, int] = {}
+    for r in range(n := min(rounds, len(cuts))):
+        first, after = len(cuts) * r // n, len(cuts) * (r + 1) // n
+        shares[cuts[first]] = shares.get(cuts[first], 0) + after - first  # a number that fills several rounds is in one
+    return shares
+
+
+def _write_rounds(numbered: DataFrame, path: str, keys: Sequence[str], files: int | None, rounds: int, read: Callable[[], None] | None) -> None:
+    """Sets the rows aside by round, then lays out one round after another and deletes what it was read from."""
+    spark = numbered.sparkSession
+    shares = _shares(numbered, files or rounds, rounds)
+    aside = scratch_path(spark, "z-rounds")
+    numbered.withColumn("_round", range_number("_z", [*shares])).write.partitionBy("_round").parquet(aside)
+    if read is not None:
+        read()
+    fs = Files(spark, aside)
+    held = [(f"{aside}/_round={i}", share) for i, share in enumerate(shares.values())]
+    held = [(folder, share) for folder, share in held if fs.exists(folder)] or [(aside, 1)]
+    for i, (folder, share) in enumerate(held):
+        part = spark.read.schema(numbered.schema).parquet(folder)
+        dealt = part.repartitionByRange(share, "_z") if files else part.repartitionByRange("_z")
+        dealt.sortWithinPartitions("_z", *keys).drop("_z").write.mode("append" if i else "error").parquet(path)
+        fs.delete(folder)
+    fs.delete(aside)
+
+
+def write_z_ordered(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    files: int | None = None,
+    bits: int = BITS,
+    rounds: int = 1,
+    read: Callable[[], None] | None = None,
+) -> None:
     """Writes `df` to `path` in Z-order of `keys`; reads each key once more to find its ranges.
 
     A key value that fills several ranges is one of them, and its rows are dealt by the other keys.
+    With `rounds`, the order is cut into so many stretches of about as many rows, written one after
+    another: the rows of one are shuffled at once. They wait in a scratch table that shrinks meanwhile.
+    `read` is called when `df` was read for the last time, e.g. to delete the table behind it.
     """
     if not 0 < bits * len(keys) <= 62:
         raise ValueError("the interleaved bits must fit a long")
     z = z_number([range_number(k, range_starts(df, k, 1 << bits)) for k in keys], bits)
     numbered = df.withColumn("_z", z)
+    if rounds > 1:
+        return _write_rounds(numbered, path, keys, files, rounds, read)
     dealt = numbered.repartitionByRange(files, "_z") if files else numbered.repartitionByRange("_z")
     dealt.sortWithinPartitions("_z", *keys).drop("_z").write.parquet(path)
+    if read is not None:
+        read()
 
 
 def file_bounds(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
