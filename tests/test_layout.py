@@ -123,3 +123,13 @@ def test_a_round_is_shuffled_alone_and_set_aside_rows_go_with_it(spark, facts, t
     assert max(held) <= 1.3 * sum(held) / 8
     root = f"{checkpoint_root(spark)}/tidemark/{spark.sparkContext.applicationId}"
     assert not [n for n in layout.Files(spark, root).names(root) if n.startswith("z-rounds")]
+
+
+def test_rows_are_set_aside_without_a_sort(spark, facts, tmp_path, monkeypatch):
+    """A sort by round spilled more than the table itself, at 36 times sf0.1."""
+    seen, real = [], layout.settings
+    monkeypatch.setattr(layout, "settings", lambda s, values: (seen.append(values), real(s, values))[1])
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    layout.write_z_ordered(facts, str(tmp_path / "t"), ["day", "customer"], files=16, rounds=8)
+    assert seen == [{"spark.sql.maxConcurrentOutputFileWriters": "9"}]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before

@@ -12,10 +12,11 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, settings
 from tidemark.sources.files import Files
 
 BITS = 6  # 64 ranges of each key
+ROW_GROUP = 16 << 20  # bytes a task holds for each round it sets rows aside for
 
 
 def range_starts(df: DataFrame, column: str, ranges: int) -> list[Any]:
@@ -63,7 +64,10 @@ def _write_rounds(numbered: DataFrame, path: str, keys: Sequence[str], files: in
     spark = numbered.sparkSession
     shares = _shares(numbered, files or rounds, rounds)
     aside = scratch_path(spark, "z-rounds")
-    numbered.withColumn("_round", range_number("_z", [*shares])).write.partitionBy("_round").parquet(aside)
+    # A task keeps a file open for each round, with small row groups, and so has nothing to sort and spill.
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(len(shares) + 1)}):
+        placed = numbered.withColumn("_round", range_number("_z", [*shares]))
+        placed.write.option("parquet.block.size", ROW_GROUP).partitionBy("_round").parquet(aside)
     if read is not None:
         read()
     fs = Files(spark, aside)
